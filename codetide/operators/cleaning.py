@@ -25,14 +25,13 @@ def parse_time(raw: DataFrame) -> DataFrame:
 
 
 def has_identity(raw: DataFrame) -> DataFrame:
-    """Events with an id, a repository id, a repository name and a time."""
-    return raw.dropna(subset=["id", "created_at"]).where(
-        F.col("repo.id").isNotNull() & F.col("repo.name").isNotNull() & (F.col("repo.name") != "")
-    )
+    """Events with an id, a repository id and a repository name that is not empty."""
+    # The comparison with the empty name also drops the missing name.
+    return raw.where(F.col("id").isNotNull() & F.col("repo.id").isNotNull() & (F.col("repo.name") != ""))
 
 
 def plausible_time(raw: DataFrame, as_of: dt.datetime | None = None) -> DataFrame:
-    """Events between 2020 and ``as_of`` (default: now)."""
+    """Events between 2020 and ``as_of`` (default: now); one without a time drops out, too."""
     latest = F.current_timestamp() if as_of is None else instant(as_of)
     return raw.where(F.col("created_at").between(instant(EARLIEST), latest))
 

@@ -57,40 +57,73 @@ def snapshot_calendar(bounds: DataFrame, windows: Windows) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Calendar:
+    """The snapshots that a history allows, as arithmetic on a one-row scalar subquery."""
+
+    windows: Windows
+    limits: DataFrame
+
+    def attach(self, df: DataFrame) -> DataFrame:
+        """Adds ``calendar``: first snapshot day, last data day, number of the last snapshot.
+
+        Attach once per projection: each reference to a scalar subquery repeats its plan.
+        """
+        days = self.limits.select(
+            F.date_add(F.to_date("first_event"), self.windows.obs_days).alias("first_day"),
+            F.to_date("last_event").alias("last_day"),
+        )
+        last_step = floor_div(F.datediff("last_day", "first_day"), self.windows.stride_days)
+        row = days.select(F.struct("first_day", "last_day", last_step.alias("last_step")).alias("c"))
+        return df.withColumn("calendar", row.scalar())
+
+    def steps(self, age: Column, per_day: int = 1, outcome: bool = True) -> Column:
+        """Array of the snapshot numbers whose windows hold something of this age, or null.
+
+        ``age`` counts from the first snapshot in units of ``1 / per_day`` days, rounded down.
+        The numbers are consecutive and follow from the age, so nothing is compared with the
+        calendar: there are about (obs_days + future_days) / stride_days, however long the
+        history is.
+        """
+        w = self.windows
+        stride = w.stride_days * per_day
+        ahead = w.future_days * per_day if outcome else 0
+        low = F.greatest(floor_div(age - ahead, stride) + 1, F.lit(0))
+        high = F.least(floor_div(age + w.obs_days * per_day, stride), F.col("calendar.last_step"))
+        return F.when(low <= high, F.sequence(low, high))
+
+    def snapshot_date(self, step: Column) -> Column:
+        return F.date_add(F.col("calendar.first_day"), step * self.windows.stride_days)
+
+    def is_closed(self, snapshot_date: Column) -> Column:
+        """Whether the outcome window of the snapshot lies within the data."""
+        return F.date_add(snapshot_date, self.windows.future_days) <= F.col("calendar.last_day")
+
+
 def assign_snapshots(
     events: DataFrame, windows: Windows, bounds: DataFrame | None = None, outcome: bool = True
 ) -> DataFrame:
     """Each event once per snapshot whose windows hold it.
 
     Adds ``snapshot_date``, ``label_available`` and ``observed`` (true in the observation
-    window, false in the outcome window). The snapshots of an event are consecutive, their
-    numbers follow from its day, so no event is compared with the calendar: the copies per
-    event are about (obs_days + future_days) / stride_days, however long the history is.
+    window, false in the outcome window).
     """
-    limits = data_bounds(events) if bounds is None else bounds
-    first_day = F.date_add(F.to_date(limits.select("first_event").scalar()), windows.obs_days)
-    last_day = F.to_date(limits.select("last_event").scalar())
-    stride = F.lit(windows.stride_days)
-
-    age = F.datediff(F.to_date("created_at"), first_day)
-    earliest = _floor_div(age - (windows.future_days if outcome else 0), stride) + 1
-    latest = _floor_div(age + windows.obs_days, stride)
-    in_calendar = _floor_div(F.datediff(last_day, first_day), stride)
-    low = F.greatest(earliest, F.lit(0))
-    high = F.least(latest, in_calendar)
-
-    placed = events.withColumn(
-        "_step", F.explode(F.when(low <= high, F.sequence(low, high)))
-    ).withColumn("snapshot_date", F.date_add(first_day, F.col("_step") * stride))
-    closed = F.date_add("snapshot_date", windows.future_days) <= last_day
-    return placed.select(
-        *events.columns,
-        "snapshot_date",
-        closed.alias("label_available"),
-        (F.to_date("created_at") < F.col("snapshot_date")).alias("observed"),
+    calendar = Calendar(windows, data_bounds(events) if bounds is None else bounds)
+    age = F.datediff(F.to_date("created_at"), F.col("calendar.first_day"))
+    t1 = F.col("snapshot_date")
+    return (
+        calendar.attach(events)
+        .withColumn("step", F.explode(calendar.steps(age, outcome=outcome)))
+        .withColumn("snapshot_date", calendar.snapshot_date(F.col("step")))
+        .select(
+            *events.columns,
+            "snapshot_date",
+            calendar.is_closed(t1).alias("label_available"),
+            (F.to_date("created_at") < t1).alias("observed"),
+        )
     )
 
 
-def _floor_div(value: Column, divisor: Column) -> Column:
+def floor_div(value: Column, divisor: int) -> Column:
     """Integer division rounding down, also for negative values."""
-    return ((value - F.pmod(value, divisor)) / divisor).cast("int")
+    return ((value - F.pmod(value, F.lit(divisor))) / divisor).cast("int")

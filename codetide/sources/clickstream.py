@@ -8,9 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from codetide.schemas import FORK, PULL_REQUEST, PUSH, RAW_EVENT, STAR
+from codetide.schemas import FORK, PULL_REQUEST, PUSH, STAR
 from codetide.session import use_utc
 from codetide.sources.archives import archive_name
 
@@ -33,46 +32,47 @@ def _chosen(key: Column, values: dict) -> Column:
 
 def raw_events(clicks: DataFrame) -> DataFrame:
     """Rows of the raw schema; every fiftieth event comes twice."""
-    event_id, user = F.col("event_id"), F.col("user_id")
-    k = F.regexp_extract("props", "([0-9]+)", 1).cast("int")
+    event_id, user, k, kind = (F.col(c) for c in ("event_id", "user_id", "k", "kind"))
     at = F.col("ts").cast("timestamp")
     shifted = (
         F.when(event_id % 97 == 0, at - F.expr("interval 10 years"))
         .when(event_id % 101 == 0, at + F.expr("interval 50 years"))
         .otherwise(at)
     )
+    keyed = clicks.select(
+        "event_id",
+        "user_id",
+        F.translate("props", '{"k": }', "").cast("int").alias("k"),
+        _chosen(F.col("event_type"), TYPE_OF).alias("kind"),
+        F.floor(F.col("value") * 60).cast("int").alias("size"),
+        F.date_format(shifted, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("created_at"),
+    )
     actor = F.when(event_id % 71 != 0, user * 3 + F.floor(k / 10).cast("int") % 3)
-    kind = _chosen(F.col("event_type"), TYPE_OF)
     language = _chosen(k % 6, dict(enumerate(LANGUAGES)))
-    language = F.when(kind.isin(FORK, PULL_REQUEST), language)
     in_fork = F.when(kind == FORK, language)
     in_base = F.when(kind == PULL_REQUEST, language)
-    action = _chosen(kind, {PULL_REQUEST: "opened", STAR: "started"})
-    size = F.when(k % 7 != 0, F.floor(F.col("value") * 60).cast("int"))
-    payload = F.struct(
-        action.alias("action"),
-        size.alias("size"),
-        F.struct(in_fork.alias("language")).alias("forkee"),
-        F.struct(
-            F.struct(F.struct(in_base.alias("language")).alias("repo")).alias("base")
-        ).alias("pull_request"),
-    )
     repo_name = F.when(event_id % 83 == 0, "").otherwise(
         F.concat(F.lit("org"), user.cast("string"), F.lit("/r"), (k % 10).cast("string"))
     )
-    copies = F.when(event_id % 50 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    rows = clicks.select(
+    record = F.struct(
         event_id.cast("string").alias("id"),
         kind.alias("type"),
         F.struct(actor.alias("id"), F.concat(F.lit("dev"), actor.cast("string")).alias("login")).alias("actor"),
         F.struct(
             F.when(event_id % 89 != 0, user * 10 + k % 10).alias("id"), repo_name.alias("name")
         ).alias("repo"),
-        payload.alias("payload"),
-        F.date_format(shifted, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("created_at"),
-        F.explode(copies).alias("copy"),
+        F.struct(
+            _chosen(kind, {PULL_REQUEST: "opened", STAR: "started"}).alias("action"),
+            F.when(k % 7 != 0, F.col("size")).alias("size"),
+            F.struct(in_fork.alias("language")).alias("forkee"),
+            F.struct(
+                F.struct(F.struct(in_base.alias("language")).alias("repo")).alias("base")
+            ).alias("pull_request"),
+        ).alias("payload"),
+        F.col("created_at").alias("created_at"),
     )
-    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(RAW_EVENT)])
+    copies = F.when(event_id % 50 == 0, 2).otherwise(1)
+    return keyed.select(F.inline(F.array_repeat(record, copies)))
 
 
 def raw_lines(clicks: DataFrame) -> DataFrame:

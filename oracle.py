@@ -117,8 +117,8 @@ cte("observed", "clean calendar", """
 
 cte("windowed", "observed", """
   SELECT snapshot_date, repo_id,
-    arg_max(repo_name, struct_pack(a := created_at, b := event_id)) AS repo_name,
-    arg_max(language, struct_pack(a := created_at, b := event_id)) AS language,
+    arg_max(repo_name, struct_pack(a := created_at, b := repo_name, c := language)) AS repo_name,
+    arg_max(language, struct_pack(a := created_at, b := repo_name, c := language)) AS language,
     count(*) AS events_total,
     count(*) FILTER (event_type = 'PushEvent') AS pushes,
     CAST(coalesce(sum(commits_count) FILTER (event_type = 'PushEvent'), 0) AS BIGINT) AS commits_total,
@@ -411,8 +411,8 @@ ORACLES: dict[str, str] = {
   SELECT event_id, snapshot_date, created_at < t1 AS observed, label_available
   FROM clean JOIN calendar ON created_at >= w_start AND created_at < w_end"""),
     "repo_latest_attrs": query("clean", """
-  SELECT repo_id, arg_max(repo_name, struct_pack(a := created_at, b := event_id)) AS repo_name,
-         arg_max(language, struct_pack(a := created_at, b := event_id)) AS language
+  SELECT repo_id, arg_max(repo_name, struct_pack(a := created_at, b := repo_name, c := language)) AS repo_name,
+         arg_max(language, struct_pack(a := created_at, b := repo_name, c := language)) AS language
   FROM clean GROUP BY repo_id"""),
     "top_actor": query("top_actor", "SELECT * FROM top_actor"),
     "labels": query("train", "SELECT snapshot_date, repo_id, future_events, abandoned FROM train"),

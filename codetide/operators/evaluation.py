@@ -1,9 +1,8 @@
-"""Ranking and threshold metrics of scored rows, without a global sort.
+"""Ranking and threshold metrics of scored rows.
 
 Scored rows have ``probability`` (0 to 1), ``label`` (0 or 1) and, for top-K, the unique key
-``snapshot_date, repo_id``. Rows are first combined per distinct score. Cumulative counts
-over descending score are taken inside value-based score buckets, which run in parallel; the
-bucket totals, at most ``2 * BUCKET_LIMIT + 1`` rows, give each bucket its starting count.
+``snapshot_date, repo_id``. The ranking metrics are read off a curve: one row per distinct
+score with the counts at and above it, computed once and stored.
 """
 
 from __future__ import annotations
@@ -13,10 +12,9 @@ from pyspark.sql import functions as F
 
 from codetide.functions.hashing import hash32
 from codetide.functions.numeric import share
+from codetide.session import materialise
 
-BUCKETS_PER_LOGIT = 256
-BUCKET_LIMIT = 10_000
-TIE_BUCKET_SIZE = 1 << 16
+TIE_RANGE_SIZE = 1 << 16
 THRESHOLD_STEPS = 1000
 
 # Size of the reported top list, and the threshold of an empty sample.
@@ -25,52 +23,42 @@ TOP_MINIMUM = 10
 DEFAULT_THRESHOLD = 0.5
 
 
-def score_bucket(score: Column) -> Column:
-    """A bucket number that never decreases with the score.
+def score_curve(scored: DataFrame) -> DataFrame:
+    """Per distinct score: positives and negatives at it, and at or above it (``tp``, ``fp``).
 
-    Buckets are even on the log-odds scale, so they stay fine where classifiers crowd their
-    scores, near 0 and near 1.
+    Rows are combined per score, then the scores are cut into ranges of about equal size,
+    however they are distributed, and counted up inside each range; the totals of the ranges,
+    of which there are as many as shuffle partitions, give each range its start. The cut
+    depends on a sample, so it is stored before anything refers to it twice. ``next`` holds
+    the counts at the next lower score.
     """
-    logit = F.floor(F.log(score / (1 - score)) * BUCKETS_PER_LOGIT)
-    inner = F.least(F.greatest(logit, F.lit(-BUCKET_LIMIT)), F.lit(BUCKET_LIMIT))
-    return (
-        F.when(score <= 0, F.lit(-BUCKET_LIMIT))
-        .when(score >= 1, F.lit(BUCKET_LIMIT))
-        .otherwise(inner)
-        .cast("int")
+    positive, negative = F.col("label") == 1, F.col("label") == 0
+    per_score = scored.groupBy("probability").agg(
+        F.count_if(positive).alias("pos"), F.count_if(negative).alias("neg")
     )
+    cut = per_score.repartitionByRange(F.desc("probability")).withColumn("part", F.spark_partition_id())
+    ranges = materialise(cut, "score_ranges")
 
-
-def cumulative_counts(scored: DataFrame) -> DataFrame:
-    """Per distinct score: positives and negatives at it, and at or above it (``tp``, ``fp``)."""
-    per_score = (
-        scored.groupBy("probability")
-        .agg(
-            F.count_if(F.col("label") == 1).alias("pos"),
-            F.count_if(F.col("label") == 0).alias("neg"),
-        )
-        .withColumn("bucket", score_bucket(F.col("probability")))
-    )
-    descending = Window.orderBy(F.desc("bucket"))
-    above = descending.rowsBetween(Window.unboundedPreceding, -1)
+    order = Window.orderBy("part")
+    above = order.rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        per_score.groupBy("bucket")
+        ranges.groupBy("part")
         .agg(
-            F.sum("pos").alias("bucket_pos"),
-            F.sum("neg").alias("bucket_neg"),
+            F.sum("pos").alias("pos_here"),
+            F.sum("neg").alias("neg_here"),
             F.max_by(F.struct("pos", "neg"), "probability").alias("top"),
         )
         .select(
-            "bucket",
-            F.coalesce(F.sum("bucket_pos").over(above), F.lit(0)).alias("pos_above"),
-            F.coalesce(F.sum("bucket_neg").over(above), F.lit(0)).alias("neg_above"),
-            F.lead("top").over(descending).alias("next_top"),
+            "part",
+            F.coalesce(F.sum("pos_here").over(above), F.lit(0)).alias("pos_above"),
+            F.coalesce(F.sum("neg_here").over(above), F.lit(0)).alias("neg_above"),
+            F.lead("top").over(order).alias("next_top"),
         )
     )
-    inside = Window.partitionBy("bucket").orderBy(F.desc("probability"))
+    inside = Window.partitionBy("part").orderBy(F.desc("probability"))
     so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # At most 2 * BUCKET_LIMIT + 1 rows of five numbers: safe to broadcast at any scale.
-    return per_score.join(F.broadcast(starts), "bucket").select(
+    # One row per shuffle partition: safe to broadcast at any scale.
+    curve = ranges.join(F.broadcast(starts), "part").select(
         "probability",
         "pos",
         "neg",
@@ -78,19 +66,19 @@ def cumulative_counts(scored: DataFrame) -> DataFrame:
         (F.col("neg_above") + F.sum("neg").over(so_far)).alias("fp"),
         F.coalesce(F.lead(F.struct("pos", "neg")).over(inside), F.col("next_top")).alias("next"),
     )
+    return materialise(curve, "score_curve")
 
 
-def ranking_metrics(scored: DataFrame) -> DataFrame:
+def ranking_metrics(curve: DataFrame) -> DataFrame:
     """One row: ``roc_auc`` (null with one class only) and ``pr_auc`` (average precision).
 
     ROC-AUC is the share of (positive, negative) pairs ranked rightly, ties counted half; its
     pair counts are exact integers. Average precision is the sum of precision times the step
     in recall, 0 without positives.
     """
-    per_score = cumulative_counts(scored)
     margin = (F.col("neg") - 2 * F.col("fp")).cast("decimal(19,0)")
     wins = F.sum(F.col("pos").cast("decimal(18,0)") * margin)
-    sums = per_score.agg(
+    sums = curve.agg(
         F.sum("pos").alias("positives"),
         F.sum("neg").alias("negatives"),
         wins.alias("wins_shifted"),
@@ -106,20 +94,19 @@ def ranking_metrics(scored: DataFrame) -> DataFrame:
     )
 
 
-def roc_curve(scored: DataFrame, drop_intermediate: bool = True) -> DataFrame:
+def roc_curve(curve: DataFrame, drop_intermediate: bool = True) -> DataFrame:
     """Points (``fpr``, ``tpr``, ``threshold``) for descending thresholds, starting at (0, 0).
 
     With ``drop_intermediate`` a point is left out when the steps to it and from it are the
     same, as such a point lies on the line between its neighbours.
     """
-    per_score = cumulative_counts(scored)
-    totals = per_score.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+    totals = curve.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
     positives, negatives = totals.select("p").scalar(), totals.select("n").scalar()
     if drop_intermediate:
         here, following = F.struct("pos", "neg"), F.col("next")
         first = F.col("tp") + F.col("fp") == F.col("pos") + F.col("neg")
-        per_score = per_score.where(first | following.isNull() | (here != following))
-    points = per_score.select(
+        curve = curve.where(first | following.isNull() | (here != following))
+    points = curve.select(
         (F.col("fp") / F.nullif(negatives, F.lit(0))).alias("fpr"),
         (F.col("tp") / F.nullif(positives, F.lit(0))).alias("tpr"),
         F.col("probability").alias("threshold"),
@@ -131,17 +118,16 @@ def roc_curve(scored: DataFrame, drop_intermediate: bool = True) -> DataFrame:
 
 
 def top_k_metrics(
-    scored: DataFrame, fraction: float = TOP_FRACTION, minimum: int = TOP_MINIMUM
+    scored: DataFrame, curve: DataFrame, fraction: float = TOP_FRACTION, minimum: int = TOP_MINIMUM
 ) -> DataFrame:
     """One row: ``k``, ``precision_at_k``, ``recall_at_k`` of the K highest scores.
 
     K grows with the data, so nothing is sorted or limited to K rows. The score at which the
-    K-th row falls comes from the cumulative counts. Equal scores at the edge are ordered by
+    K-th row falls comes from the curve. Equal scores at the edge are ordered by
     a hash of the key: the edge is narrowed to one of 65,536 hash ranges by counting, and
     only the rows of that range are ranked.
     """
-    per_score = cumulative_counts(scored)
-    sizes = per_score.agg(
+    sizes = curve.agg(
         F.coalesce(F.sum(F.col("pos") + F.col("neg")), F.lit(0)).alias("n"),
         F.coalesce(F.sum("pos"), F.lit(0)).alias("positives"),
     ).withColumn(
@@ -154,14 +140,14 @@ def top_k_metrics(
 
     until = F.col("tp") + F.col("fp")
     before = until - F.col("pos") - F.col("neg")
-    edge = per_score.where((before < k) & (until >= k)).select(
+    edge = curve.where((before < k) & (until >= k)).select(
         "probability", (k - before).alias("wanted"), (F.col("tp") - F.col("pos")).alias("hits_above")
     )
     # One row: the score of the K-th row.
     ties = (
         scored.join(F.broadcast(edge.select("probability")), "probability")
         .withColumn("tie_key", hash32(F.col("repo_id"), F.col("snapshot_date")))
-        .withColumn("tie_range", F.floor(F.col("tie_key") / TIE_BUCKET_SIZE).cast("int"))
+        .withColumn("tie_range", F.floor(F.col("tie_key") / TIE_RANGE_SIZE).cast("int"))
     )
     ascending = Window.orderBy("tie_range").rowsBetween(Window.unboundedPreceding, -1)
     wanted = edge.select("wanted").scalar()
@@ -291,7 +277,8 @@ def confusion(scored: DataFrame, threshold: float) -> DataFrame:
 
 def evaluate(scored: DataFrame, model: str) -> DataFrame:
     """All metrics of one model as one row. ``scored`` should be a stored table."""
-    ranking, top, best = ranking_metrics(scored), top_k_metrics(scored), best_f1(scored)
+    curve = score_curve(scored)
+    ranking, top, best = ranking_metrics(curve), top_k_metrics(scored, curve), best_f1(scored)
     # Three frames of exactly one row each, put side by side.
     return best.select(
         F.lit(model).alias("model"),

@@ -332,13 +332,16 @@ def _scored(spark: SparkSession, sf_dir: str, score=_recency) -> DataFrame:
 
 
 def met_ranking(metric: str) -> Query:
-    return lambda spark, sf_dir: evaluation.ranking_metrics(_scored(spark, sf_dir)).select(
-        F.round(metric, METRIC_DECIMALS).alias(metric)
-    )
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        curve = evaluation.score_curve(_scored(spark, sf_dir))
+        return evaluation.ranking_metrics(curve).select(F.round(metric, METRIC_DECIMALS).alias(metric))
+
+    return query
 
 
 def met_at_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluation.top_k_metrics(_scored(spark, sf_dir))
+    scored = _scored(spark, sf_dir)
+    return evaluation.top_k_metrics(scored, evaluation.score_curve(scored))
 
 
 def met_best_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -350,7 +353,7 @@ def met_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def met_roc_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluation.roc_curve(_scored(spark, sf_dir))
+    return evaluation.roc_curve(evaluation.score_curve(_scored(spark, sf_dir)))
 
 
 def model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -375,7 +378,7 @@ def best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def latest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A history of two runs, of which the earlier one was better."""
-    last = model_metrics(spark, sf_dir)
+    last = materialise(model_metrics(spark, sf_dir), "run")
     earlier = last.withColumn("trained_at", instant(EARLIER_RUN)).withColumn("pr_auc", F.lit(1.0))
     return risk_reports.latest_metrics(materialise(earlier.unionByName(last), "metrics")).select(
         "trained_at", "model", "roc_auc", "pr_auc", "f1", "precision", "recall", "precision_at_k",

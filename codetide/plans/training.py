@@ -55,9 +55,7 @@ def feature_stages(languages: list[str]) -> list:
     index = StringIndexerModel.from_labels(
         languages, inputCol="language", outputCol="language_index", handleInvalid="keep"
     )
-    one_hot = OneHotEncoder(
-        inputCol="language_index", outputCol="language_vector", dropLast=False, handleInvalid="keep"
-    )
+    one_hot = OneHotEncoder(inputCol="language_index", outputCol="language_vector", dropLast=False)
     vector = VectorAssembler(inputCols=[*NUMERIC_FEATURES, "language_vector"], outputCol=FEATURES)
     return [index, one_hot, vector]
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codetide.schemas import RAW_EVENT
+from codetide.sources.tables import overwrite_partitions
 
 # Pattern and layout of an archive name.
 ARCHIVE_NAME = r"^(\d{4}-\d{2}-\d{2})-(\d{1,2})\.json\.gz$"
@@ -89,12 +90,5 @@ def land_new_archives(spark: SparkSession, directory: str, table: str) -> int:
     paths = [row.path for row in pending.select("path").collect()]
     if not paths:
         return 0
-    rows = land_lines(read_lines(spark, *paths))
-    columns = spark.table(table).columns
-    (
-        rows.select(*columns)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(table)
-    )
+    overwrite_partitions(land_lines(read_lines(spark, *paths)), table)
     return len(paths)

@@ -12,21 +12,18 @@ def hours_of_days(period: DataFrame) -> DataFrame:
     """All 24 hours of each day from ``first_day`` to ``last_day`` (columns, both included)."""
     start = F.col("first_day").cast("timestamp")
     end = F.date_add("last_day", 1).cast("timestamp") - F.expr("interval 1 hour")
-    hours = period.where(F.col("first_day") <= F.col("last_day")).select(
-        F.explode(F.sequence(start, end, F.expr("interval 1 hour"))).alias("hour")
+    hours = F.when(
+        F.col("first_day") <= F.col("last_day"), F.sequence(start, end, F.expr("interval 1 hour"))
     )
-    return _named(hours)
+    return _named(period.select(F.explode(hours).alias("hour")))
 
 
 def hours_from(start: DataFrame) -> DataFrame:
     """``n_hours`` hours from ``start_hour`` of ``first_day`` on (columns), over midnights."""
     offset = F.make_interval(hours=F.col("start_hour") + F.col("step").cast("int"))
-    hours = (
-        start.where(F.col("n_hours") > 0)
-        .select("*", F.explode(F.sequence(F.lit(0), F.col("n_hours") - 1)).alias("step"))
-        .select((F.col("first_day").cast("timestamp") + offset).alias("hour"))
-    )
-    return _named(hours)
+    steps = F.when(F.col("n_hours") > 0, F.sequence(F.lit(0), F.col("n_hours") - 1))
+    hours = start.select("*", F.explode(steps).alias("step"))
+    return _named(hours.select((F.col("first_day").cast("timestamp") + offset).alias("hour")))
 
 
 def _named(hours: DataFrame) -> DataFrame:

@@ -25,16 +25,23 @@ def table_exists(spark: SparkSession, name: str) -> bool:
 
 def overwrite_table(df: DataFrame, name: str) -> None:
     """Replace all rows and keep the table's definition: a rerun leaves the same rows."""
-    _conform(df, name).write.mode("overwrite").option(
-        "partitionOverwriteMode", "static"
-    ).insertInto(name)
+    _insert_overwrite(_conform(df, name), name, "static")
 
 
 def overwrite_partitions(df: DataFrame, name: str) -> None:
     """Replace only the partitions that ``df`` has rows for."""
-    _conform(df, name).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).insertInto(name)
+    _insert_overwrite(_conform(df, name), name, "dynamic")
+
+
+def _insert_overwrite(df: DataFrame, name: str, mode: str) -> None:
+    """``insertInto`` takes the partition overwrite mode from the session only."""
+    conf, key = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(key)
+    conf.set(key, mode)
+    try:
+        df.write.mode("overwrite").insertInto(name)
+    finally:
+        conf.set(key, before)
 
 
 def append_table(df: DataFrame, name: str) -> None:

@@ -100,15 +100,14 @@ def roc_curve(curve: DataFrame, drop_intermediate: bool = True) -> DataFrame:
     With ``drop_intermediate`` a point is left out when the steps to it and from it are the
     same, as such a point lies on the line between its neighbours.
     """
-    totals = curve.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
-    positives, negatives = totals.select("p").scalar(), totals.select("n").scalar()
+    totals = curve.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n")).alias("all"))
     if drop_intermediate:
         here, following = F.struct("pos", "neg"), F.col("next")
         first = F.col("tp") + F.col("fp") == F.col("pos") + F.col("neg")
         curve = curve.where(first | following.isNull() | (here != following))
-    points = curve.select(
-        (F.col("fp") / F.nullif(negatives, F.lit(0))).alias("fpr"),
-        (F.col("tp") / F.nullif(positives, F.lit(0))).alias("tpr"),
+    points = curve.withColumn("all", totals.scalar()).select(
+        (F.col("fp") / F.nullif(F.col("all.n"), F.lit(0))).alias("fpr"),
+        (F.col("tp") / F.nullif(F.col("all.p"), F.lit(0))).alias("tpr"),
         F.col("probability").alias("threshold"),
     )
     origin = totals.select(
@@ -136,47 +135,47 @@ def top_k_metrics(
             F.greatest(F.floor(F.col("n") * F.lit(fraction)), F.lit(minimum)), F.col("n")
         ).cast("bigint"),
     )
-    k = sizes.select("k").scalar()
-
     until = F.col("tp") + F.col("fp")
     before = until - F.col("pos") - F.col("neg")
-    edge = curve.where((before < k) & (until >= k)).select(
-        "probability", (k - before).alias("wanted"), (F.col("tp") - F.col("pos")).alias("hits_above")
-    )
     # One row: the score of the K-th row.
+    edge = (
+        curve.withColumn("k", sizes.select("k").scalar())
+        .where((before < F.col("k")) & (until >= F.col("k")))
+        .select(
+            "probability",
+            (F.col("k") - before).alias("wanted"),
+            (F.col("tp") - F.col("pos")).alias("hits_above"),
+        )
+    )
     ties = (
-        scored.join(F.broadcast(edge.select("probability")), "probability")
+        scored.join(F.broadcast(edge), "probability")
         .withColumn("tie_key", hash32(F.col("repo_id"), F.col("snapshot_date")))
         .withColumn("tie_range", F.floor(F.col("tie_key") / TIE_RANGE_SIZE).cast("int"))
     )
+    # One row: the hash range of the K-th row.
     ascending = Window.orderBy("tie_range").rowsBetween(Window.unboundedPreceding, -1)
-    wanted = edge.select("wanted").scalar()
-    ranges = (
+    last_range = (
         ties.groupBy("tie_range")
-        .agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("label") == 1).alias("hits"))
-        .select(
-            "tie_range",
-            "rows",
-            F.coalesce(F.sum("rows").over(ascending), F.lit(0)).alias("rows_before"),
-            F.coalesce(F.sum("hits").over(ascending), F.lit(0)).alias("hits_before"),
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(F.col("label") == 1).alias("hits"),
+            F.max("wanted").alias("wanted"),
+            F.max("hits_above").alias("hits_above"),
         )
-        .where((F.col("rows_before") < wanted) & (F.col("rows_before") + F.col("rows") >= wanted))
-        .select("tie_range", "hits_before", (wanted - F.col("rows_before")).alias("wanted_here"))
+        .withColumn("rows_before", F.coalesce(F.sum("rows").over(ascending), F.lit(0)))
+        .withColumn("hits_before", F.coalesce(F.sum("hits").over(ascending), F.lit(0)))
+        .where("rows_before < wanted and rows_before + rows >= wanted")
+        .selectExpr("tie_range", "wanted - rows_before AS left", "hits_above + hits_before AS sure_hits")
     )
-    # One row: the hash range of the K-th row.
     order = Window.partitionBy("tie_range").orderBy("tie_key", "snapshot_date", "repo_id")
-    last_hits = (
-        ties.join(F.broadcast(ranges.select("tie_range", "wanted_here")), "tie_range")
-        .withColumn("place", F.row_number().over(order))
-        .where("place <= wanted_here")
-        .agg(F.count_if(F.col("label") == 1).alias("hits"))
-    )
     hits = (
-        F.coalesce(edge.select("hits_above").scalar(), F.lit(0))
-        + F.coalesce(ranges.select("hits_before").scalar(), F.lit(0))
-        + F.coalesce(last_hits.scalar(), F.lit(0))
+        ties.drop("wanted", "hits_above")
+        .join(F.broadcast(last_range), "tie_range")
+        .withColumn("place", F.row_number().over(order))
+        .where(F.col("place") <= F.col("left"))
+        .agg((F.max("sure_hits") + F.count_if(F.col("label") == 1)).alias("hits"))
     )
-    return sizes.withColumn("hits", hits).select(
+    return sizes.withColumn("hits", F.coalesce(hits.scalar(), F.lit(0))).select(
         "k",
         F.when(F.col("k") > 0, F.col("hits") / F.col("k")).alias("precision_at_k"),
         F.when(F.col("positives") > 0, F.col("hits") / F.col("positives")).alias("recall_at_k"),
@@ -280,18 +279,22 @@ def evaluate(scored: DataFrame, model: str) -> DataFrame:
     curve = score_curve(scored)
     ranking, top, best = ranking_metrics(curve), top_k_metrics(scored, curve), best_f1(scored)
     # Three frames of exactly one row each, put side by side.
-    return best.select(
-        F.lit(model).alias("model"),
-        ranking.select("roc_auc").scalar().alias("roc_auc"),
-        ranking.select("pr_auc").scalar().alias("pr_auc"),
-        "f1",
-        "threshold",
-        "precision",
-        "recall",
-        top.select("precision_at_k").scalar().alias("precision_at_k"),
-        top.select("recall_at_k").scalar().alias("recall_at_k"),
-        top.select("k").scalar().alias("k"),
-        F.array(F.array("tn", "fp"), F.array("fn", "tp")).alias("confusion"),
+    return (
+        best.withColumn("ranking", ranking.select(F.struct("*")).scalar())
+        .withColumn("top", top.select(F.struct("*")).scalar())
+        .select(
+            F.lit(model).alias("model"),
+            "ranking.roc_auc",
+            "ranking.pr_auc",
+            "f1",
+            "threshold",
+            "precision",
+            "recall",
+            "top.precision_at_k",
+            "top.recall_at_k",
+            "top.k",
+            F.array(F.array("tn", "fp"), F.array("fn", "tp")).alias("confusion"),
+        )
     )
 
 
@@ -300,12 +303,16 @@ def metrics_rows(evaluated: DataFrame, rows: DataFrame, trained_at: Column) -> D
 
     ``params`` holds what the history has no column for: threshold and confusion matrix.
     """
-    summary = rows.agg(F.count(F.lit(1)).alias("n"), F.avg("abandoned").alias("share"))
-    return evaluated.select(
+    summary = rows.agg(
+        F.struct(
+            F.count(F.lit(1)).alias("dataset_rows"), F.avg("abandoned").alias("abandoned_share")
+        ).alias("s")
+    )
+    return evaluated.withColumn("s", summary.scalar()).select(
         trained_at.alias("trained_at"),
         "model",
-        summary.select("n").scalar().alias("dataset_rows"),
-        summary.select("share").scalar().alias("abandoned_share"),
+        "s.dataset_rows",
+        "s.abandoned_share",
         "roc_auc",
         "pr_auc",
         "f1",

@@ -26,7 +26,7 @@ def store_events(raw: DataFrame, database: str, as_of: dt.datetime | None = None
 
 def store_marts(events: DataFrame, database: str) -> None:
     """Build the three marts from the stored events; each reads only its own columns."""
-    overwrite_table(dated(language_mart(events), "hour"), f"{database}.mart_language_activity")
+    overwrite_table(language_mart(events), f"{database}.mart_language_activity")
     overwrite_table(dated(repo_mart(events), "hour"), f"{database}.mart_repo_activity")
     overwrite_table(hourly_mart(events), f"{database}.mart_hourly_activity")
 

@@ -56,9 +56,8 @@ TABLES: dict[str, TableContract] = {
     ),
     "mart_language_activity": TableContract(
         "hour timestamp, language string, total_events bigint, unique_actors bigint,"
-        " push_count bigint, star_count bigint, pr_count bigint, fork_count bigint,"
-        " event_date date",
-        ("event_date",),
+        " push_count bigint, star_count bigint, pr_count bigint, fork_count bigint",
+        (),
         ("hour", "language"),
     ),
     "mart_repo_activity": TableContract(

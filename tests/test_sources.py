@@ -127,12 +127,12 @@ def test_sinks(spark, database):
 
 
 def test_partition_overwrite_leaves_other_days(spark, database):
-    name = f"{database}.mart_language_activity"
+    name = f"{database}.mart_repo_activity"
 
     def day(d, n):
         return spark.sql(
-            f"select timestamp'{d} 10:00:00' hour, 'Go' language, {n}L total_events, 1L unique_actors,"
-            f" 0L push_count, 0L star_count, 0L pr_count, 0L fork_count, date'{d}' event_date"
+            f"select timestamp'{d} 10:00:00' hour, 1L repo_id, 'a/b' repo_name, {n}L total_events,"
+            f" 1L unique_actors, 0L stars_gained, 0L forks_gained, 0L total_commits, date'{d}' event_date"
         )
 
     tables.overwrite_table(day("2025-03-01", 1).union(day("2025-03-02", 2)), name)

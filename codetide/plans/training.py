@@ -42,8 +42,8 @@ BOOST_ITERATIONS, BOOST_RATE, BOOST_DEPTH = 500, 0.05, 6
 # the depth is bounded where a single-machine forest would grow until its leaves are pure.
 FOREST_DEPTH = 10
 
-# Smallest relative gain on the validation slice for which boosting goes on.
-BOOST_TOLERANCE = 0.001
+# Boosting goes on as long as the loss on the validation slice does not rise.
+BOOST_TOLERANCE = 0.0
 
 
 def feature_stages(languages: list[str]) -> list:

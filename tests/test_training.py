@@ -49,6 +49,16 @@ def test_unseen_languages_share_the_last_column(spark, labelled):
     assert vector.toArray().tolist() == [0.0, 0.0, 1.0]
 
 
+def test_models_learn_a_rule_that_holds(labelled):
+    from codetide.operators.evaluation import ranking_metrics, score_curve
+
+    silent = (F.col("hours_since_last") > 100).cast("int")
+    train, test = training.training_rows(labelled.withColumn("abandoned", silent))
+    for name, model in training.fit_models(materialise(train, "train"), **SMALL).items():
+        scored = training.score(model, test).withColumnRenamed("abandoned", "label")
+        assert ranking_metrics(score_curve(scored)).first().roc_auc > 0.9, name
+
+
 def test_training_run(spark, clean_events, tmp_path):
     tables.ensure_database(spark, "ml_run")
     try:

@@ -13,7 +13,7 @@ from codetide.operators.snapshots import (
     Calendar,
     Windows,
     assign_snapshots,
-    data_bounds,
+    day_bounds,
     floor_div,
 )
 from codetide.schemas import FORK, PULL_REQUEST, PUSH, STAR
@@ -66,7 +66,7 @@ def repo_activity(events: DataFrame, windows: Windows, bounds: DataFrame | None
     A repository with very many events is spread over its actors in 1 and 2, and an actor
     with very many events is combined before each shuffle. No join, no exact distinct count.
     """
-    calendar = Calendar(windows, data_bounds(events) if bounds is None else bounds)
+    calendar = Calendar(windows, day_bounds(events) if bounds is None else bounds)
     panes = _actor_panes(events.select(*EVENT_COLUMNS), calendar)
     return _per_repo(_per_actor(panes, calendar), calendar).where(
         F.col("events_total") >= windows.min_events
@@ -204,9 +204,9 @@ def top_actor(events: DataFrame, windows: Windows, bounds: DataFrame | None = No
 
     Events without an actor count together as one.
     """
-    placed = assign_snapshots(
-        events.select("repo_id", "actor_id", "created_at"), windows, bounds, outcome=False
-    )
+    limits = day_bounds(events) if bounds is None else bounds
+    columns = events.select("repo_id", "actor_id", "created_at")
+    placed = assign_snapshots(columns, windows, limits, outcome=False)
     per_actor = placed.groupBy("snapshot_date", "repo_id", "actor_id").agg(F.count(F.lit(1)).alias("n"))
     return per_actor.groupBy("snapshot_date", "repo_id").agg(
         F.max("n").alias("top_actor_events"), F.sum("n").alias("actor_events_total")
@@ -215,7 +215,8 @@ def top_actor(events: DataFrame, windows: Windows, bounds: DataFrame | None = No
 
 def outcome_counts(events: DataFrame, windows: Windows, bounds: DataFrame | None = None) -> DataFrame:
     """Events per repository in the outcome window of each snapshot that has closed."""
-    placed = assign_snapshots(events.select("repo_id", "created_at"), windows, bounds)
+    limits = day_bounds(events) if bounds is None else bounds
+    placed = assign_snapshots(events.select("repo_id", "created_at"), windows, limits)
     return (
         placed.where(~F.col("observed") & F.col("label_available"))
         .groupBy("snapshot_date", "repo_id")

@@ -44,6 +44,11 @@ def data_bounds(df: DataFrame, column: str = "created_at") -> DataFrame:
     return df.agg(F.min(column).alias("first_event"), F.max(column).alias("last_event"))
 
 
+def day_bounds(events: DataFrame) -> DataFrame:
+    """The same to the day. A stored table answers from its partition column alone."""
+    return data_bounds(events, "event_date" if "event_date" in events.columns else "created_at")
+
+
 def snapshot_calendar(bounds: DataFrame, windows: Windows) -> DataFrame:
     """All snapshots a history allows; labelled where the outcome window has closed."""
     first = F.date_add(F.to_date("first_event"), windows.obs_days)
@@ -108,7 +113,7 @@ def assign_snapshots(
     Adds ``snapshot_date``, ``label_available`` and ``observed`` (true in the observation
     window, false in the outcome window).
     """
-    calendar = Calendar(windows, data_bounds(events) if bounds is None else bounds)
+    calendar = Calendar(windows, day_bounds(events) if bounds is None else bounds)
     age = F.datediff(F.to_date("created_at"), F.col("calendar.first_day"))
     t1 = F.col("snapshot_date")
     return (

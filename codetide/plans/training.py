@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from codetide.functions.time import instant
 from codetide.operators.evaluation import best_model, evaluate, metrics_rows
 from codetide.operators.features import NUMERIC_FEATURES, build_dataset
-from codetide.operators.snapshots import Windows, data_bounds
+from codetide.operators.snapshots import Windows
 from codetide.operators.split import (
     SPLIT_SEED,
     language_or_unknown,
@@ -190,7 +190,7 @@ def run_training(
     """
     now = trained_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
     spark = events.sparkSession
-    if data_bounds(events).where("first_event is null").count():
+    if events.isEmpty():
         raise ValueError("no events: run the ETL first")
     labelled, unlabelled = build_dataset(events, windows)
     labelled = materialise(labelled, "labelled")

@@ -23,6 +23,13 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
+def table_or_empty(spark: SparkSession, name: str) -> DataFrame:
+    """The table, or no rows of its contract where it has not been built yet."""
+    if table_exists(spark, name):
+        return spark.table(name)
+    return spark.createDataFrame([], TABLES[name.split(".")[-1]].schema)
+
+
 def overwrite_table(df: DataFrame, name: str) -> None:
     """Replace all rows and keep the table's definition: a rerun leaves the same rows."""
     _insert_overwrite(_conform(df, name), name, "static")

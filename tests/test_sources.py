@@ -121,7 +121,8 @@ def test_sinks(spark, database):
     assert spark.table(name).count() == 2
     assert tables.table_exists(spark, name) and not tables.table_exists(spark, f"{database}.nothing")
     tables.ensure_database(spark, database)
-    assert spark.table(name).count() == 2
+    assert tables.table_or_empty(spark, name).count() == 2
+    assert tables.table_or_empty(spark, "nowhere.mart_hourly_activity").columns == rows.columns
     with pytest.raises(ValueError):
         tables.write_jdbc(rows, "jdbc:none", "t", mode="ignore")
 

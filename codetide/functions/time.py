@@ -34,19 +34,15 @@ def in_period(df: DataFrame, column: str, first_day: dt.date, last_day: dt.date)
     start = dt.datetime.combine(first_day, dt.time())
     end = dt.datetime.combine(last_day + dt.timedelta(days=1), dt.time())
     ts = F.col(column)
-    kept = df.where((ts >= _instant(start)) & (ts < _instant(end)))
+    kept = df.where((ts >= instant(start)) & (ts < instant(end)))
     if "event_date" in df.columns:
         kept = kept.where(F.col("event_date").between(F.lit(first_day), F.lit(last_day)))
     return kept
 
 
-def _instant(value: dt.datetime) -> Column:
-    return F.lit(value.isoformat(sep=" ")).cast("timestamp")
-
-
 def instant(value: dt.datetime) -> Column:
     """A timestamp literal read in the session time zone, whatever the driver's own zone is."""
-    return _instant(value)
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp")
 
 
 def days_in(first_day: dt.date, last_day: dt.date) -> int:

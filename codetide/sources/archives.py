@@ -12,6 +12,13 @@ from codetide.sources.tables import overwrite_partitions
 ARCHIVE_NAME = r"^(\d{4}-\d{2}-\d{2})-(\d{1,2})\.json\.gz$"
 ARCHIVE_GLOB = "*.json.gz"
 
+# Unicode white space, stripped from both ends of a line.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
 
 def read_archives(spark: SparkSession, *paths: str) -> DataFrame:
     """Raw events with the declared schema; a broken line reads as a row of nulls."""
@@ -42,7 +49,7 @@ def land_lines(lines: DataFrame) -> DataFrame:
     Expects the columns ``value`` and ``file_name``. Whole lines are kept as they are.
     """
     name = F.col("file_name")
-    stripped = F.regexp_replace("value", r"^\s+|\s+$", "")
+    stripped = F.btrim("value", F.lit(WHITE_SPACE))
     return (
         lines.where(name.rlike(ARCHIVE_NAME))
         .select(

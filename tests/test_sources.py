@@ -19,7 +19,7 @@ def folder(tmp_path):
             f.write("\n".join(lines) + "\n")
 
     one, two = json.dumps(event("1")), json.dumps(event("2", at="2025-03-01T23:10:00Z"))
-    put("2025-03-01-9.json.gz", one, "", "   ", "\t " + two + "  ")
+    put("2025-03-01-9.json.gz", one, "", " \u3000 ", "\t " + two + "\xa0 ")
     put("2025-03-01-23.json.gz", "{broken", json.dumps(event("3", kind="WatchEvent")))
     put("2025-03-02-0.json.gz", one)
     put("backup.json.gz", json.dumps(event("4")))

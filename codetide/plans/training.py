@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from codetide.functions.time import instant
 from codetide.operators.evaluation import best_model, evaluate, metrics_rows
-from codetide.operators.features import NUMERIC_FEATURES, build_dataset
+from codetide.operators.features import NUMERIC_FEATURES, labelled, snapshot_rows, unlabelled
 from codetide.operators.snapshots import Windows
 from codetide.operators.split import (
     SPLIT_SEED,
@@ -113,9 +113,9 @@ def prepared(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"language": language_or_unknown(), **numbers})
 
 
-def training_rows(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
+def training_rows(known: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Weighted training rows, part of them marked for validation, and test rows."""
-    sides = with_split(prepared(labelled))
+    sides = with_split(prepared(known))
     train = with_validation(with_class_weight(sides.where(~F.col("is_test"))))
     return train, sides.where(F.col("is_test"))
 
@@ -192,13 +192,13 @@ def run_training(
     spark = events.sparkSession
     if events.isEmpty():
         raise ValueError("no events: run the ETL first")
-    labelled, unlabelled = build_dataset(events, windows)
-    labelled = materialise(labelled, "labelled")
-    if labelled.isEmpty():
+    rows = materialise(snapshot_rows(events, windows), "snapshot_rows")
+    known, open_rows = labelled(rows), unlabelled(rows)
+    if known.isEmpty():
         raise ValueError(
             f"no labelled snapshot: {windows.obs_days} + {windows.future_days} days of history are needed"
         )
-    train, test = training_rows(labelled)
+    train, test = training_rows(known)
     train = materialise(train, "train")
 
     fitted = fit_models(train, models, **params)
@@ -212,10 +212,10 @@ def run_training(
     results = evaluated[0]
     for other in evaluated[1:]:
         results = results.unionByName(other)
-    metrics = metrics_rows(results, labelled, instant(now))
+    metrics = metrics_rows(results, known, instant(now))
 
     best = best_model(results).select("model", "threshold").first()
-    chosen = predictions(score(fitted[best.model], unlabelled), best.model, best.threshold, now)
+    chosen = predictions(score(fitted[best.model], open_rows), best.model, best.threshold, now)
     if model_path:
         fitted[best.model].write().overwrite().save(model_path)
     if report_path:

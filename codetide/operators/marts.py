@@ -2,6 +2,7 @@
 
 The exact distinct counts are left to Catalyst: it first groups by (key, distinct value),
 combining in each task before the shuffle, which also spreads one busy key over all tasks.
+With ``approximate`` they are sketches instead: one row per key and task is shuffled.
 """
 
 from __future__ import annotations
@@ -17,6 +18,11 @@ def of_type(event_type: str) -> Column:
     return F.count_if(F.col("event_type") == event_type)
 
 
+def distinct(column: str, approximate: bool = False) -> Column:
+    """Distinct values, nulls not counted."""
+    return F.approx_count_distinct(column) if approximate else F.count_distinct(column)
+
+
 def _hour() -> Column:
     return hour_of(F.col("created_at")).alias("hour")
 
@@ -25,10 +31,10 @@ def known_language(events: DataFrame) -> DataFrame:
     return events.where(F.col("language") != UNKNOWN_LANGUAGE)
 
 
-def language_mart(events: DataFrame) -> DataFrame:
+def language_mart(events: DataFrame, approximate: bool = False) -> DataFrame:
     return known_language(events).groupBy(_hour(), "language").agg(
         F.count("event_id").alias("total_events"),
-        F.count_distinct("actor_id").alias("unique_actors"),
+        distinct("actor_id", approximate).alias("unique_actors"),
         of_type(PUSH).alias("push_count"),
         of_type(STAR).alias("star_count"),
         of_type(PULL_REQUEST).alias("pr_count"),
@@ -36,21 +42,21 @@ def language_mart(events: DataFrame) -> DataFrame:
     )
 
 
-def repo_mart(events: DataFrame) -> DataFrame:
+def repo_mart(events: DataFrame, approximate: bool = False) -> DataFrame:
     return events.groupBy(_hour(), "repo_id", "repo_name").agg(
         F.count("event_id").alias("total_events"),
-        F.count_distinct("actor_id").alias("unique_actors"),
+        distinct("actor_id", approximate).alias("unique_actors"),
         of_type(STAR).alias("stars_gained"),
         of_type(FORK).alias("forks_gained"),
         F.sum("commits_count").alias("total_commits"),
     )
 
 
-def hourly_mart(events: DataFrame) -> DataFrame:
+def hourly_mart(events: DataFrame, approximate: bool = False) -> DataFrame:
     return events.groupBy(_hour(), "event_type").agg(
         F.count("event_id").alias("event_count"),
-        F.count_distinct("actor_id").alias("unique_users"),
-        F.count_distinct("repo_id").alias("unique_repos"),
+        distinct("actor_id", approximate).alias("unique_users"),
+        distinct("repo_id", approximate).alias("unique_repos"),
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from codetide.functions.numeric import half_even, share
 from codetide.functions.time import days_in, in_period, iso_weekday
-from codetide.operators.marts import known_language, of_type
+from codetide.operators.marts import distinct, known_language, of_type
 from codetide.schemas import FORK, PULL_REQUEST, PUSH, STAR
 
 # Lengths of the report tables.
@@ -19,12 +19,14 @@ REPO_ROWS = 20
 REPO_METRICS = ("stars", "forks", "pushes", "events")
 
 
-def kpi(events: DataFrame, first_day: dt.date, last_day: dt.date) -> DataFrame:
-    """Totals of a period and events per day."""
+def kpi(
+    events: DataFrame, first_day: dt.date, last_day: dt.date, approximate: bool = False
+) -> DataFrame:
+    """Totals of a period and events per day; actors and repositories exact unless ``approximate``."""
     totals = in_period(events, "created_at", first_day, last_day).agg(
         F.count(F.lit(1)).alias("events"),
-        F.count_distinct("actor_id").alias("actors"),
-        F.count_distinct("repo_id").alias("repos"),
+        distinct("actor_id", approximate).alias("actors"),
+        distinct("repo_id", approximate).alias("repos"),
         of_type(STAR).alias("stars"),
         of_type(FORK).alias("forks"),
         of_type(PULL_REQUEST).alias("prs"),

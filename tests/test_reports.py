@@ -45,6 +45,15 @@ def test_missing_actors_are_not_counted_as_distinct(events):
     assert (row.event_count, row.unique_users) == (1, 0)
 
 
+def test_approximate_counts_are_an_option(clean_events):
+    exact = marts.hourly_mart(clean_events).agg(F.sum("unique_users")).first()[0]
+    sketched = marts.hourly_mart(clean_events, approximate=True).agg(F.sum("unique_users")).first()[0]
+    assert sketched == pytest.approx(exact, rel=0.05)
+    period = (dt.date(2024, 1, 1), dt.date(2024, 1, 31))
+    both = [reports.kpi(clean_events, *period, flag).first().repos for flag in (False, True)]
+    assert both[1] == pytest.approx(both[0], rel=0.1)
+
+
 def test_hourly_mart_adds_up(events):
     assert marts.hourly_mart(events).agg(F.sum("event_count")).first()[0] == events.count()
 

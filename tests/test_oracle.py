@@ -3,10 +3,15 @@
 import pytest
 
 import __spark_entry__ as contract
+from codetide.plans.catalogue import QUERIES
 from conftest import SF_DIR
+from duckdb_queries import ORACLES
 from oracle_check import difference
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+
+def test_contract_has_all_queries():
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_only_fitted_models_lack_sql():

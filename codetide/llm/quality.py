@@ -150,13 +150,13 @@ def lines_above_limits(texts: DataFrame, min_documents: int, max_share: float) -
 def quality_of(
     docs: DataFrame, min_documents: int = MIN_DOCUMENTS, max_share: float = MAX_SHARE, least_left: float = LEAST_LEFT
 ) -> DataFrame:
-    """One row per document: the base counts, line_chars, removed_chars, base_failed, depleted, kept."""
+    """One row per document: host, text_hash, the base counts, line_chars, removed_chars, base_failed, depleted, kept."""
     hosted = docs.withColumn("host", F.coalesce("source", F.lit("")))
     stored = materialise(base_statistics(hosted, "host").withColumn("row", F.monotonically_increasing_id()), "statistics")
     above = materialise(lines_above_limits(stored, min_documents, max_share), "above")
-    names = [c for c in stored.columns if c not in ("lines", "host", "text_hash")]
-    each = stored.select(*names, "host", "text_hash", F.explode_outer("lines").alias("line"))
-    each = each.select(*names, "host", "text_hash", "line.line", "line.chars").join(above, ["host", "line"], "left")
+    names = [c for c in stored.columns if c != "lines"]
+    each = stored.select(*names, F.explode_outer("lines").alias("line"))
+    each = each.select(*names, "line.line", "line.chars").join(above, ["host", "line"], "left")
     gone = F.col("first_text").isNotNull() & (F.col("first_text") != F.col("text_hash"))
     per_row = each.groupBy(*names).agg(
         F.coalesce(F.sum("chars"), F.lit(0)).alias("line_chars"),
@@ -166,5 +166,17 @@ def quality_of(
     return per_row.drop("row").withColumn("depleted", depleted).withColumn("kept", ~F.col("base_failed") & ~depleted)
 
 
+def kept_documents(docs: DataFrame, **limits: float) -> DataFrame:
+    """The documents, with all their columns, that the rules keep. A verdict holds for a document's id, source and text."""
+    rejected = quality_of(docs, **limits).where("not kept").select("doc_id", "host", "text_hash").distinct()
+    rejected = materialise(rejected, "rejected").toDF("r_id", "r_host", "r_hash")
+    same = (
+        F.col("doc_id").eqNullSafe(F.col("r_id"))
+        & (F.coalesce("source", F.lit("")) == F.col("r_host"))
+        & (F.xxhash64(whole_text()) == F.col("r_hash"))
+    )
+    return docs.join(rejected, same, "left_anti")
+
+
 def quality_query(docs: DataFrame) -> DataFrame:
-    return quality_of(docs)
+    return quality_of(docs).drop("host", "text_hash")

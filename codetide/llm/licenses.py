@@ -147,17 +147,27 @@ class NoticeFinder:
             if not len(starts) or inside.max() < need:
                 return
             start = int(starts[int(np.argmax(inside))])
-            stop = min(start + width, len(words))
-            taken = [i for i in range(start, stop) if free[i]]
-            pairs = aligned([words[i] for i in taken], template)
+            # The fullest stretch may begin with stray words and end within the notice, so the alignment looks one template further.
+            taken = [i for i in range(start, min(start + width + len(template), len(words))) if free[i]]
+            pairs = self._within(width, [(taken[i], j) for i, j in aligned([words[i] for i in taken], template)])
             coverage = len(pairs) / len(template)
             if coverage >= self._least:
-                first, last = taken[pairs[0][0]], taken[pairs[-1][0]]
+                first, last = pairs[0][0], pairs[-1][0]
                 free[first : last + 1] = False
                 yield name, coverage, first, last + 1
             else:
                 free[start] = False
 
+    @staticmethod
+    def _within(width: int, pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        """The most pairs in a row that a stretch of the text holds."""
+        low, best = 0, (0, 0)
+        for high in range(len(pairs)):
+            while pairs[high][0] - pairs[low][0] >= width:
+                low += 1
+            best = max(best, (high + 1 - low, -low))
+        return pairs[-best[1] : best[0] - best[1]]
+
 
 def find_notices(docs: DataFrame, templates: dict[str, str] | None = None, least: float = LEAST_COVERAGE) -> DataFrame:
     """doc_id, license, coverage, first_word, end_word: a row for every notice found."""

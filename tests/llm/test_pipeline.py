@@ -6,9 +6,9 @@ import __spark_entry__ as contract
 import corpus_pipeline as pipeline
 from codetide.llm import quality, toxicity
 from codetide.llm.common import DOCUMENT_COLUMNS, documents, read_table
-from test_decontamination import brute as brute_leaks
-from test_neardup import brute_classes
-from test_quality import by_hand
+from llm.test_decontamination import brute as brute_leaks
+from llm.test_neardup import brute_classes
+from llm.test_quality import by_hand
 
 FOLDER = "/root/testdata/sf0.01"
 

@@ -45,8 +45,13 @@ def _last_attributes() -> Column:
 
 
 def repo_latest_attributes(events: DataFrame) -> DataFrame:
-    """Name and language of each repository at its last event."""
-    return events.groupBy("repo_id").agg(_last_attributes().alias("last")).select(
+    """Name and language of each repository at its last event.
+
+    The first level is of fixed width, so events are hashed and combined before the shuffle; the maximum of the
+    whole triple is taken over the few names and languages that are left.
+    """
+    spans = events.groupBy("repo_id", "repo_name", "language").agg(F.max("created_at").alias("created_at"))
+    return spans.groupBy("repo_id").agg(_last_attributes().alias("last")).select(
         "repo_id", "last.repo_name", "last.language"
     )
 
@@ -205,25 +210,15 @@ def top_actor(events: DataFrame, windows: Windows, bounds: DataFrame | None = No
     Events without an actor count together as one.
     """
     limits = day_bounds(events) if bounds is None else bounds
-    columns = events.select("repo_id", "actor_id", "created_at")
-    placed = assign_snapshots(columns, windows, limits, outcome=False)
-    per_actor = placed.groupBy("snapshot_date", "repo_id", "actor_id").agg(F.count(F.lit(1)).alias("n"))
+    # Counted per day first, so that what is copied to the snapshots is no longer events.
+    daily = events.groupBy(F.to_date("created_at").alias("created_at"), "repo_id", "actor_id").agg(F.count(F.lit(1)).alias("n"))
+    placed = assign_snapshots(daily, windows, limits, outcome=False)
+    per_actor = placed.groupBy("snapshot_date", "repo_id", "actor_id").agg(F.sum("n").alias("n"))
     return per_actor.groupBy("snapshot_date", "repo_id").agg(
         F.max("n").alias("top_actor_events"), F.sum("n").alias("actor_events_total")
     )
 
 
-def outcome_counts(events: DataFrame, windows: Windows, bounds: DataFrame | None = None) -> DataFrame:
-    """Events per repository in the outcome window of each snapshot that has closed."""
-    limits = day_bounds(events) if bounds is None else bounds
-    placed = assign_snapshots(events.select("repo_id", "created_at"), windows, limits)
-    return (
-        placed.where(~F.col("observed") & F.col("label_available"))
-        .groupBy("snapshot_date", "repo_id")
-        .agg(F.count(F.lit(1)).alias("future_events"))
-    )
-
-
 def with_ratios(features: DataFrame) -> DataFrame:
     total = F.col("events_total")
     return features.withColumns(

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -290,10 +290,13 @@ def class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scaled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The numeric columns as the logistic model sees them; the language columns are left empty here."""
     rows = training.prepared(materialise(dataset_train(spark, sf_dir), "labelled"))
-    vector = VectorAssembler(inputCols=list(features.NUMERIC_FEATURES), outputCol="features")
-    scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)
-    scaled = Pipeline(stages=[vector, scaler]).fit(rows).transform(rows)
+    zeros = F.lit(0.0).alias("language_other")
+    vector = VectorAssembler(inputCols=[*features.NUMERIC_FEATURES, "language_other"], outputCol=training.FEATURES)
+    filled = rows.select("*", zeros)
+    stages = [vector, *training.population_scaler([], rows.count())]
+    scaled = Pipeline(stages=stages).fit(filled).transform(filled)
     values = vector_to_array("scaled")
     return scaled.select(
         "snapshot_date",
@@ -302,12 +305,18 @@ def scaled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _is_probability() -> Column:
+    return F.col("probability").between(0, 1)
+
+
 def _trained(name: str) -> Query:
+    """The test rows that a fitted model has scored, each with a probability."""
+
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         train, test = training.training_rows(materialise(dataset_train(spark, sf_dir), "labelled"))
         fitted = training.fit_models(materialise(train, "train"), {name: training.MODELS[name]})
         return training.score(fitted[name], test).select(
-            "snapshot_date", "repo_id", "abandoned", "probability"
+            "snapshot_date", "repo_id", "abandoned", F.lit(name).alias("model"), _is_probability().alias("scored")
         )
 
     return query
@@ -428,10 +437,12 @@ def predictions_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     )["logreg_baseline"]
     out = training.predictions(training.score(model, predict), "logreg_baseline", 0.5, LAST_RUN)
     path = scratch_path(spark, "export")
-    out.withColumn("probability", F.col("probability").cast("float")).write.partitionBy(
-        "snapshot_date"
-    ).parquet(path)
-    return spark.read.parquet(path)
+    out.write.partitionBy("snapshot_date").parquet(path)
+    agrees = F.col("prediction") == (F.col("probability") >= 0.5).cast("int")
+    return spark.read.parquet(path).select(
+        "snapshot_date", "repo_id", "repo_name", "language", "label", "model", "trained_at",
+        _is_probability().alias("scored"), agrees.alias("prediction_agrees"),
+    )
 
 
 SNAPSHOT = dt.date(2024, 1, 22)

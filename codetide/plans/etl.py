@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from codetide.operators.cleaning import clean_events
 from codetide.operators.marts import hourly_mart, language_mart, repo_mart
+from codetide.session import require_utc
 from codetide.sources.archives import read_archives
 from codetide.sources.tables import ensure_database, overwrite_table
 
@@ -35,5 +36,6 @@ def run_etl(
     spark: SparkSession, path: str, database: str = "codetide", as_of: dt.datetime | None = None
 ) -> None:
     """The whole pipeline; the archives are parsed once. A rerun leaves the same tables."""
+    require_utc(spark)
     ensure_database(spark, database)
     store_marts(store_events(read_archives(spark, path), database, as_of), database)

@@ -9,41 +9,42 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Mapping
 
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import ElementwiseProduct, OneHotEncoder, StandardScaler, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from codetide.functions.time import instant
-from codetide.operators.evaluation import best_model, evaluate, metrics_rows
+from codetide.operators.evaluation import best_model, evaluate, metrics_rows, roc_curve, score_curve
 from codetide.operators.features import NUMERIC_FEATURES, labelled, snapshot_rows, unlabelled
 from codetide.operators.snapshots import Windows
 from codetide.operators.split import (
     SPLIT_SEED,
+    class_weights,
     language_or_unknown,
     top_languages,
     with_class_weight,
     with_split,
     with_validation,
 )
-from codetide.session import materialise
-from codetide.sources.tables import append_table
+from codetide.session import materialise, require_utc, scratch, scratch_path
+from codetide.sources.tables import append_table, overwrite_partitions
 
 LABEL, WEIGHT, FEATURES = "abandoned", "class_weight", "features"
 
 # Hyperparameters of the three models.
-LOGREG_MAX_ITER = 2000
+LOGREG_MAX_ITER, LOGREG_C = 2000, 1.0
 FOREST_TREES, FOREST_MIN_LEAF = 300, 3
-BOOST_ITERATIONS, BOOST_RATE, BOOST_DEPTH = 500, 0.05, 6
+BOOST_ITERATIONS, BOOST_RATE, BOOST_DEPTH, BOOST_PATIENCE, BOOST_BINS = 500, 0.05, 6, 50, 254
 
-# Depth of a forest tree. Level-wise distributed growth keeps statistics per open node, so
-# the depth is bounded where a single-machine forest would grow until its leaves are pure.
-FOREST_DEPTH = 10
+# The library's limit; the size of a leaf ends the growth before.
+FOREST_DEPTH = 30
 
-# Boosting goes on as long as the loss on the validation slice does not rise.
-BOOST_TOLERANCE = 0.0
+# Boosting is fitted with so many rounds at first, and with twice as many while the patience lasts.
+BOOST_FIRST = 64
 
 
 def feature_stages(languages: list[str]) -> list:
@@ -60,16 +61,31 @@ def feature_stages(languages: list[str]) -> list:
     return [index, one_hot, vector]
 
 
-def logistic_regression(languages: list[str], **params) -> Pipeline:
-    scaler = StandardScaler(inputCol=FEATURES, outputCol="scaled", withMean=True, withStd=True)
-    settings = {"maxIter": LOGREG_MAX_ITER, **params}
+def population_scaler(languages: list[str], n: int) -> list:
+    """Columns to mean 0 and population deviation 1; the library's scaler divides by the sample deviation."""
+    scaler = StandardScaler(inputCol=FEATURES, outputCol="sample_scaled", withMean=True, withStd=True)
+    width = len(NUMERIC_FEATURES) + len(languages) + 1
+    correction = Vectors.dense([(n / (n - 1)) ** 0.5 if n > 1 else 1.0] * width)
+    return [scaler, ElementwiseProduct(scalingVec=correction, inputCol="sample_scaled", outputCol="scaled")]
+
+
+def logistic_regression(train: DataFrame, languages: list[str], **params) -> PipelineModel:
+    """Balanced logistic regression with an L2 penalty.
+
+    The library divides the weighted loss by the sum of weights, which balanced weights make the number of rows; a penalty of half the
+    squared coefficients beside ``LOGREG_C`` times the summed loss is therefore ``1 / (C n)`` here.
+    """
+    n = train.count()
+    settings = {"maxIter": LOGREG_MAX_ITER, "regParam": 1.0 / (LOGREG_C * max(1, n)), "elasticNetParam": 0.0, **params}
     model = LogisticRegression(
         featuresCol="scaled", labelCol=LABEL, weightCol=WEIGHT, standardization=False, **settings
     )
-    return Pipeline(stages=[*feature_stages(languages), scaler, model])
+    return Pipeline(stages=[*feature_stages(languages), *population_scaler(languages, n), model]).fit(
+        with_class_weight(train)
+    )
 
 
-def random_forest(languages: list[str], **params) -> Pipeline:
+def random_forest(train: DataFrame, languages: list[str], **params) -> PipelineModel:
     settings = {
         "numTrees": FOREST_TREES,
         "minInstancesPerNode": FOREST_MIN_LEAF,
@@ -79,28 +95,62 @@ def random_forest(languages: list[str], **params) -> Pipeline:
         **params,
     }
     model = RandomForestClassifier(featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT, **settings)
-    return Pipeline(stages=[*feature_stages(languages), model])
+    return Pipeline(stages=[*feature_stages(languages), model]).fit(with_class_weight(train))
+
 
+def rounds_kept(losses: list[float], patience: int) -> tuple[int, bool]:
+    """Rounds up to the least validation loss, and whether ``patience`` rounds without a lower one followed."""
+    best = 0
+    for at, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = at
+        elif at - best >= patience:
+            return best + 1, True
+    return best + 1, False
 
-def boosted_trees(languages: list[str], **params) -> Pipeline:
-    """Boosting that stops early on the rows marked ``is_validation``."""
+
+def boosted_trees(train: DataFrame, languages: list[str], **params) -> PipelineModel:
+    """Boosting on the rows that are not ``is_validation``, ended by the loss on those that are.
+
+    A longer run with the same seed begins with the trees of a shorter one, so runs of growing length show where the loss was least
+    before ``patience`` rounds without improvement; the model is fitted with as many rounds.
+    """
+    most = params.pop("maxIter", BOOST_ITERATIONS)
+    patience = params.pop("patience", BOOST_PATIENCE)
     settings = {
-        "maxIter": BOOST_ITERATIONS,
         "stepSize": BOOST_RATE,
         "maxDepth": BOOST_DEPTH,
-        "validationTol": BOOST_TOLERANCE,
+        "maxBins": BOOST_BINS,
         "maxMemoryInMB": 1024,
         "seed": SPLIT_SEED,
         **params,
     }
-    model = GBTClassifier(
-        featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT,
-        validationIndicatorCol="is_validation", **settings,
-    )
-    return Pipeline(stages=[*feature_stages(languages), model])
-
-
-MODELS: dict[str, Callable[..., Estimator]] = {
+    spark = train.sparkSession
+    spark.sparkContext.setCheckpointDir(scratch_path(spark, "boosting"))  # cuts the lineage of many rounds
+    fitted = train.where(~F.col("is_validation"))
+    weights = class_weights(fitted).drop("class_rows")
+    stages = Pipeline(stages=feature_stages(languages)).fit(train)
+    weighted = stages.transform(train.join(F.broadcast(weights), LABEL)).select(FEATURES, LABEL, WEIGHT, "is_validation")
+    weighted = materialise(weighted, "boosting_rows")
+    own, held = weighted.where(~F.col("is_validation")), weighted.where(F.col("is_validation"))
+
+    def fit(rounds: int):
+        return GBTClassifier(featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT, maxIter=rounds, **settings).fit(own)
+
+    if held.isEmpty():
+        return PipelineModel([*stages.stages, fit(most)])
+    rounds = min(BOOST_FIRST, most)
+    while True:
+        model = fit(rounds)
+        keep, over = rounds_kept(model.evaluateEachIteration(held), patience)
+        if over or rounds >= most:
+            return PipelineModel([*stages.stages, model if keep == rounds else fit(keep)])
+        rounds = min(2 * rounds, most)
+
+
+Fit = Callable[..., PipelineModel]
+
+MODELS: dict[str, Fit] = {
     "logreg_baseline": logistic_regression,
     "random_forest": random_forest,
     "boosted_trees": boosted_trees,
@@ -114,10 +164,9 @@ def prepared(rows: DataFrame) -> DataFrame:
 
 
 def training_rows(known: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Weighted training rows, part of them marked for validation, and test rows."""
+    """Training rows, part of them marked for validation, and test rows. Each model weighs the rows that it fits."""
     sides = with_split(prepared(known))
-    train = with_validation(with_class_weight(sides.where(~F.col("is_test"))))
-    return train, sides.where(F.col("is_test"))
+    return with_validation(sides.where(~F.col("is_test"))), sides.where(F.col("is_test"))
 
 
 def language_list(rows: DataFrame) -> list[str]:
@@ -163,20 +212,34 @@ def backfilled_labels(stored: DataFrame, rows: DataFrame) -> DataFrame:
     )
 
 
+def backfill_labels(table: str, rows: DataFrame) -> None:
+    """Write the labels that have become known into the stored predictions.
+
+    Only the snapshots whose outcome window has closed and that still have open labels are read and overwritten.
+    """
+    spark = rows.sparkSession
+    stored = spark.table(table)
+    closed = rows.where("label_available").select("snapshot_date").distinct()
+    due = stored.where("label is null").select("snapshot_date").distinct().join(closed, "snapshot_date", "left_semi")
+    due = materialise(due, "due")
+    known = backfilled_labels(stored.join(due, "snapshot_date", "left_semi").select(*stored.columns), rows)
+    overwrite_partitions(materialise(known, "backfilled"), table)
+
+
 def fit_models(
-    train: DataFrame, models: Mapping[str, Callable[..., Estimator]] | None = None, **params: dict
+    train: DataFrame, models: Mapping[str, Fit] | None = None, **params: dict
 ) -> dict[str, PipelineModel]:
     """Fit each model; ``params`` gives settings by model name."""
     languages = language_list(train)
     chosen = MODELS if models is None else models
-    return {name: make(languages, **params.get(name, {})).fit(train) for name, make in chosen.items()}
+    return {name: fit(train, languages, **params.get(name, {})) for name, fit in chosen.items()}
 
 
 def run_training(
     events: DataFrame,
     windows: Windows = Windows(),
     trained_at: dt.datetime | None = None,
-    models: Mapping[str, Callable[..., Estimator]] | None = None,
+    models: Mapping[str, Fit] | None = None,
     model_path: str | None = None,
     predictions_table: str | None = None,
     metrics_table: str | None = None,
@@ -186,8 +249,23 @@ def run_training(
     """Build the data set, fit, evaluate, choose by average precision, score, publish.
 
     Returns metrics history rows and predictions. The feature rows and the test scores are
-    written to the shared folder once, since every model and metric reads them again.
+    written to the shared folder once, since every model and metric reads them again; what is not a result is removed at the end.
+    The report folder gets the metrics, the feature columns and the best model's ROC points. Labels that have become known are
+    written into the stored predictions.
     """
+    spark = events.sparkSession
+    require_utc(spark)
+    with scratch(spark) as keep:
+        metrics, chosen = _training(
+            events, windows, trained_at, models, model_path, predictions_table, metrics_table, report_path, params
+        )
+        return keep(metrics, "metrics"), keep(chosen, "predictions")
+
+
+def _training(
+    events: DataFrame, windows: Windows, trained_at: dt.datetime | None, models: Mapping[str, Fit] | None, model_path: str | None,
+    predictions_table: str | None, metrics_table: str | None, report_path: str | None, params: dict,
+) -> tuple[DataFrame, DataFrame]:
     now = trained_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
     spark = events.sparkSession
     if events.isEmpty():
@@ -202,13 +280,13 @@ def run_training(
     train = materialise(train, "train")
 
     fitted = fit_models(train, models, **params)
-    evaluated = []
+    scores, evaluated = {}, []
     for name, model in fitted.items():
-        scored = materialise(
+        scores[name] = materialise(
             score(model, test).select("snapshot_date", "repo_id", "probability", F.col(LABEL).alias("label")),
             f"scored_{name}",
         )
-        evaluated.append(materialise(evaluate(scored, name), f"metrics_{name}"))
+        evaluated.append(materialise(evaluate(scores[name], name), f"metrics_{name}"))
     results = evaluated[0]
     for other in evaluated[1:]:
         results = results.unionByName(other)
@@ -219,10 +297,14 @@ def run_training(
     if model_path:
         fitted[best.model].write().overwrite().save(model_path)
     if report_path:
-        metrics.write.mode("overwrite").json(report_path)
+        columns = F.array(*[F.lit(c) for c in NUMERIC_FEATURES], *[F.lit(f"language={x}") for x in language_list(train)], F.lit("language=other"))
+        metrics.withColumn("feature_columns", columns).write.mode("overwrite").json(f"{report_path}/metrics")
+        points = roc_curve(score_curve(scores[best.model])).withColumn("model", F.lit(best.model))
+        points.write.mode("overwrite").json(f"{report_path}/roc")
     if metrics_table:
         append_table(metrics, metrics_table)
     if predictions_table:
         append_table(chosen, predictions_table)
+        backfill_labels(predictions_table, rows)
         chosen = spark.table(predictions_table).where(F.col("trained_at") == instant(now))
     return metrics, chosen

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codetide.schemas import FORK, PULL_REQUEST, PUSH, STAR
-from codetide.session import use_utc
+from codetide.session import require_utc
 from codetide.sources.archives import archive_name
 
 # Event types and languages of the mapping.
@@ -19,7 +19,8 @@ LANGUAGES = ("Python", "Go", "Rust", "Java", "C++")
 
 
 def read_clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return use_utc(spark).read.parquet(f"{sf_dir}/events.parquet")
+    require_utc(spark)
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
 def _chosen(key: Column, values: dict) -> Column:

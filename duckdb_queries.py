@@ -283,11 +283,25 @@ def top_repos(metric: str) -> str:
 
 def scaled(column: str) -> str:
     return (
-        f"round((({column})::DOUBLE - avg({column}) OVER ()) / stddev_samp({column}) OVER (), 6) AS {column}"
+        f"round((({column})::DOUBLE - avg({column}) OVER ()) / stddev_pop({column}) OVER (), 6) AS {column}"
     )
 
 
+def scored_test_rows(model: str) -> str:
+    """What a fitted model has to score; the values of its scores are no matter for SQL."""
+    return query("train", f"""
+  SELECT snapshot_date, repo_id, abandoned, '{model}' AS model, true AS scored FROM train
+  WHERE CAST('0x' || substr(md5('42:' || repo_id), 1, 8) AS BIGINT) % 100 < 25""")
+
+
 ORACLES: dict[str, str] = {
+    "model_logreg": scored_test_rows("logreg_baseline"),
+    "model_rf": scored_test_rows("random_forest"),
+    "model_gbt": scored_test_rows("boosted_trees"),
+    "predictions_export": query("rows", f"""
+  SELECT snapshot_date, repo_id, repo_name, language, CAST(NULL AS INTEGER) AS label, 'logreg_baseline' AS model,
+         TIMESTAMP '{LAST_RUN}' AS trained_at, true AS scored, true AS prediction_agrees
+  FROM rows WHERE NOT label_available"""),
     "raw_scan": query("raw", """
   SELECT id, type, actor_id, 'dev' || actor_id AS actor_login, repo_id, repo_name, action, size,
          CASE WHEN type = 'ForkEvent' THEN lang END AS fork_language,

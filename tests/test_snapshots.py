@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from codetide.operators import features
-from codetide.operators.snapshots import Windows, assign_snapshots, data_bounds, snapshot_calendar
+from codetide.operators.snapshots import Windows, assign_snapshots, data_bounds, day_bounds, snapshot_calendar
 
 SCHEMA = (
     "event_id string, event_type string, actor_id long, repo_id long, repo_name string,"
@@ -102,6 +102,16 @@ def test_features_equal_brute_force(spark, windows, days):
     assert found == brute_force(rows, windows)
 
 
+def outcome_counts(events, windows):
+    """Events per repository in the outcome window of each snapshot that has closed."""
+    placed = assign_snapshots(events.select("repo_id", "created_at"), windows, day_bounds(events))
+    return (
+        placed.where(~F.col("observed") & F.col("label_available"))
+        .groupBy("snapshot_date", "repo_id")
+        .agg(F.count(F.lit(1)).alias("future_events"))
+    )
+
+
 def test_one_pass_equals_the_joined_parts(clean_events):
     w = Windows()
     rows = features.repo_activity(clean_events, w)
@@ -109,7 +119,7 @@ def test_one_pass_equals_the_joined_parts(clean_events):
     joined = (
         rows.select(*keys, "top_actor_events", "events_total", "future_events", "label_available")
         .join(features.top_actor(clean_events, w).withColumnRenamed("top_actor_events", "top"), keys, "left")
-        .join(features.outcome_counts(clean_events, w).withColumnRenamed("future_events", "n"), keys, "left")
+        .join(outcome_counts(clean_events, w).withColumnRenamed("future_events", "n"), keys, "left")
     )
     wrong = joined.where(
         "top <> top_actor_events or actor_events_total <> events_total"
@@ -185,3 +195,13 @@ def test_events_are_hash_aggregated_before_the_copies(clean_events):
     first_generate = plan.index("Generate explode")
     below = plan[first_generate:]
     assert "HashAggregate" in below and "SortAggregate" not in below
+
+
+def test_plans_hash_events_before_they_combine(clean_events):
+    """No sort of events for the latest attributes; events are counted before they are copied to snapshots."""
+    plan = features.repo_latest_attributes(clean_events)._jdf.queryExecution().executedPlan().toString()
+    scan = plan.index("FileScan")
+    nearest = max(plan.rfind(x, 0, scan) for x in ("HashAggregate", "SortAggregate"))
+    assert plan[nearest:].startswith("HashAggregate")
+    plan = features.top_actor(clean_events, Windows())._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate") < plan.rindex("HashAggregate", 0, plan.index("FileScan"))

@@ -1,4 +1,5 @@
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.ml import PipelineModel
@@ -8,14 +9,14 @@ from codetide.operators import split
 from codetide.operators.features import build_dataset
 from codetide.operators.snapshots import Windows
 from codetide.plans import training
-from codetide.session import materialise
+from codetide.session import materialise, shared_dir
 from codetide.sources import tables
 
 RUN = dt.datetime(2024, 2, 8)
 SMALL = {
     "logreg_baseline": {"maxIter": 20},
     "random_forest": {"numTrees": 5, "maxDepth": 4},
-    "boosted_trees": {"maxIter": 3, "maxDepth": 3},
+    "boosted_trees": {"maxIter": 40, "stepSize": 0.3, "maxDepth": 3, "patience": 5},
 }
 
 
@@ -59,8 +60,57 @@ def test_models_learn_a_rule_that_holds(labelled):
         assert ranking_metrics(score_curve(scored)).first().roc_auc > 0.9, name
 
 
+def test_patience():
+    falling = [1.0, 0.9, 0.95, 0.8, 0.7]
+    assert training.rounds_kept(falling, 2) == (5, False)
+    assert training.rounds_kept([*falling, 0.75, 0.72], 2) == (5, True)
+    assert training.rounds_kept([1.0, 1.1, 1.2, 0.1], 2) == (1, True)
+    assert training.rounds_kept([1.0], 50) == (1, False)
+
+
+def test_boosting_goes_on_past_a_noisy_round_and_stops(labelled):
+    """A rule of two columns needs many small trees; noise alone ends the growth early."""
+    rule = ((F.col("hours_since_last") > 100) != (F.col("events_total") > 4)).cast("int")
+    flipped = F.when(F.pmod(F.xxhash64("repo_id", "snapshot_date"), F.lit(10)) == 0, 1 - rule).otherwise(rule)
+    train, test = training.training_rows(labelled.withColumn("abandoned", flipped))
+    settings = {"maxIter": 30, "stepSize": 0.2, "maxDepth": 2, "patience": 10}
+    model = training.boosted_trees(materialise(train, "train"), ["Go"], **settings)
+    assert model.stages[-1].getNumTrees > 3
+    noise = F.pmod(F.xxhash64("repo_id", "snapshot_date", F.lit(3)), F.lit(2)).cast("int")
+    train, _ = training.training_rows(labelled.withColumn("abandoned", noise))
+    model = training.boosted_trees(materialise(train, "train"), ["Go"], **settings | {"patience": 3, "maxDepth": 5})
+    assert model.stages[-1].getNumTrees < 30
+
+
+def test_validation_rows_are_not_fitted(labelled):
+    train, _ = training.training_rows(labelled)
+    train = materialise(train, "train")
+    wrong = train.withColumn("abandoned", F.when(F.col("is_validation"), 1 - F.col("abandoned")).otherwise(F.col("abandoned")))
+    settings = {"maxIter": 3, "maxDepth": 2, "patience": 50}
+    trees = [training.boosted_trees(t, ["Go"], **settings).stages[-1].trees[0].toDebugString for t in (train, wrong)]
+    assert trees[0].split("\n")[1:] == trees[1].split("\n")[1:]
+
+
+def test_logistic_gradient_with_its_penalty_is_zero(labelled):
+    import numpy as np
+
+    train, _ = training.training_rows(labelled)
+    train = materialise(train, "train")
+    model = training.logistic_regression(train, ["Go", "Rust"], tol=1e-12)
+    rows = model.transform(split.with_class_weight(train)).select("scaled", "abandoned", "class_weight").collect()
+    x, y, w = np.array([r.scaled.toArray() for r in rows]), np.array([r.abandoned for r in rows]), np.array([r.class_weight for r in rows])
+    spread = x.std(axis=0)
+    assert np.allclose(x.mean(axis=0), 0, atol=1e-9) and np.allclose(spread[spread > 0], 1)
+    assert w.sum() == pytest.approx(len(rows))
+    beta = model.stages[-1].coefficients.toArray()
+    error = w * (1 / (1 + np.exp(-(x @ beta + model.stages[-1].intercept))) - y)
+    assert np.abs(x.T @ error + beta).max() < 1e-3 * len(rows) ** 0.5 and abs(error.sum()) < 1e-2
+
+
 def test_training_run(spark, clean_events, tmp_path):
     tables.ensure_database(spark, "ml_run")
+    folder = Path(shared_dir(spark).removeprefix("file:")) / "codetide"
+    before = {p for run in folder.iterdir() for p in run.iterdir()}
     try:
         metrics, predictions = training.run_training(
             clean_events, Windows(min_events=1), RUN, model_path=str(tmp_path / "model"),
@@ -72,15 +122,46 @@ def test_training_run(spark, clean_events, tmp_path):
         assert max(r.roc_auc for r in rows) > 0.5
         assert all('"threshold"' in r.params and r.trained_at == RUN for r in rows)
         assert spark.table("ml_run.ml_model_metrics").count() == 3
-        assert spark.read.json(str(tmp_path / "report")).count() == 3
+        report = spark.read.json(str(tmp_path / "report" / "metrics")).collect()
+        assert len(report) == 3 and report[0].feature_columns[0] == "events_total" and report[0].feature_columns[-1] == "language=other"
+        assert spark.read.json(str(tmp_path / "report" / "roc")).where("tpr = 1 and fpr = 1").count() == 1
         scored = predictions.collect()
         assert scored and all(0 <= r.probability <= 1 and r.label is None for r in scored)
         assert {r.model for r in scored} == {max(rows, key=lambda r: r.pr_auc).model}
         assert PipelineModel.load(str(tmp_path / "model")).stages
+        left = {p for run in folder.iterdir() for p in run.iterdir()} - before
+        assert {p.name for p in left} <= {"kept"}
     finally:
         spark.sql("DROP DATABASE ml_run CASCADE")
 
 
+def test_labels_that_become_known_are_stored(spark, clean_events):
+    """A run on half the history leaves open labels; a later run fills those whose window has closed."""
+    tables.ensure_database(spark, "ml_late")
+    try:
+        early = clean_events.where("created_at < timestamp'2024-01-24'")
+        run = {"models": {"logreg_baseline": training.logistic_regression}, "predictions_table": "ml_late.ml_repo_predictions"}
+        training.run_training(early, Windows(min_events=1), RUN, **run)
+        first = spark.table("ml_late.ml_repo_predictions").where("label is null").select("snapshot_date").distinct().count()
+        training.run_training(clean_events, Windows(min_events=1), RUN + dt.timedelta(days=7), **run)
+        stored = spark.table("ml_late.ml_repo_predictions").where(F.col("trained_at") == F.lit(RUN))
+        assert first and stored.where("label is not null").count() > 0
+        facts = training.snapshot_rows(clean_events, Windows(min_events=1)).where("label_available")
+        joined = stored.join(facts, ["snapshot_date", "repo_id"])
+        assert joined.count() and joined.where("label <> abandoned").count() == 0
+    finally:
+        spark.sql("DROP DATABASE ml_late CASCADE")
+
+
+def test_another_zone_is_refused(spark, clean_events):
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        with pytest.raises(RuntimeError, match="UTC"):
+            training.run_training(clean_events)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_too_little_history(spark, clean_events):
     with pytest.raises(ValueError, match="no events"):
         training.run_training(clean_events.limit(0))

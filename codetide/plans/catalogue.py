@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml import Pipeline
@@ -19,19 +20,24 @@ from codetide.operators.snapshots import (
     data_bounds,
     snapshot_calendar,
 )
-from codetide.plans import reports, risk_reports, training
+from codetide.plans import incremental, reports, risk_reports, training
 from codetide.session import materialise, scratch_path
 from codetide.sources import archives, manifest
 from codetide.sources.clickstream import (
+    landed_all,
     landed_before_last_day,
     raw_events,
     raw_lines,
     read_clickstream,
+    store_archives,
+    untidy_lines,
 )
+from codetide.sources.tables import ensure_database
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF = dt.datetime(2026, 1, 1)
+LATE_DAY = "2024-01-12"
 PERIOD = (dt.date(2024, 1, 5), dt.date(2024, 1, 24))
 WINDOWS = Windows()
 EARLIER_RUN, LAST_RUN = dt.datetime(2024, 2, 1, 6), dt.datetime(2024, 2, 8, 6)
@@ -71,12 +77,23 @@ def raw_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The archives lie one folder per hour, so the folder is the archive's name here."""
-    path = scratch_path(spark, "archives")
-    lines = raw_lines(read_clickstream(spark, sf_dir)).hint("rebalance", F.col("file_name"))
-    lines.write.partitionBy("file_name").option("compression", "gzip").text(path)
-    stored = spark.read.schema("value string, file_name string").text(path)
-    return archives.land_lines(stored)
+    """Lines of real archive files, one of them badly named, with blank, padded and broken lines."""
+    folder = store_archives(untidy_lines(read_clickstream(spark, sf_dir)), scratch_path(spark, "landing"))
+    return archives.land_lines(archives.read_lines(spark, folder))
+
+
+def incremental_etl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean events after a load of all archives but those of one middle day, and then of that day."""
+    lines = untidy_lines(read_clickstream(spark, sf_dir))
+    database = f"codetide_{uuid.uuid4().hex}"
+    late = F.col("file_name").startswith(LATE_DAY)
+    ensure_database(spark, database)
+    try:
+        incremental.merge_arrivals(lines.where(~late), database, AS_OF)
+        incremental.merge_arrivals(lines.where(late), database, AS_OF)
+        return materialise(spark.table(f"{database}.events_parsed").drop("event_date"), "incremental")
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
 
 
 def _raw_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,7 +107,7 @@ def incremental_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return archives.landed_counts(landed_before_last_day(read_clickstream(spark, sf_dir)))
+    return archives.landed_counts(landed_all(read_clickstream(spark, sf_dir)))
 
 
 def _days(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,9 +211,8 @@ def rpt_repo_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return data_bounds(clean(spark, sf_dir)).join(
-        reports.hour_bounds(mart_hourly(spark, sf_dir)), F.lit(True)
-    )
+    hours = {f"{end}_hour": F.date_trunc("hour", f"{end}_event") for end in ("first", "last")}
+    return data_bounds(clean(spark, sf_dir)).withColumns(hours)
 
 
 # --- snapshots and features --------------------------------------------------------------
@@ -261,16 +277,15 @@ def dataset_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lang_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows have six languages, so the list is cut to four to fill the other bucket."""
     rows = materialise(dataset_train(spark, sf_dir), "labelled")
-    return split.with_language_bucket(rows, split.top_languages(rows, 4)).select(
+    return split.with_language_bucket(rows, split.top_languages(rows)).select(
         "snapshot_date", "repo_id", "language", "lang_bucket"
     )
 
 
 def lang_onehot(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = materialise(dataset_train(spark, sf_dir), "labelled")
-    languages = [r.language for r in split.top_languages(rows, 4).collect()]
+    languages = [r.language for r in split.top_languages(rows).collect()]
     stages = Pipeline(stages=training.feature_stages(languages)[:2])
     encoded = stages.fit(training.prepared(rows)).transform(training.prepared(rows))
     one_hot = vector_to_array("language_vector")
@@ -450,6 +465,7 @@ SNAPSHOT = dt.date(2024, 1, 22)
 QUERIES: dict[str, Query] = {
     "raw_scan": raw_scan,
     "raw_landing": raw_landing,
+    "incremental_etl": incremental_etl,
     "incremental_files": incremental_files,
     "landed_counts": landed_counts,
     "hour_manifest": hour_manifest,

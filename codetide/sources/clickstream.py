@@ -1,7 +1,8 @@
 """Reads the ``events`` click-stream table as raw code-hosting events.
 
-One user is an organisation with ten repositories. The mapping also brings in what the
-cleaning has to cope with: duplicates, missing ids and names, impossible times, huge pushes.
+One user is an organisation with ten repositories; a third of the events belong to five of them. The mapping also brings in what
+the cleaning has to cope with: copies that differ, some of them invalid, missing ids and names, malformed and impossible times, huge
+pushes, repositories that change their name within an hour and over time, instants that events share.
 """
 
 from __future__ import annotations
@@ -13,9 +14,14 @@ from codetide.schemas import FORK, PULL_REQUEST, PUSH, STAR
 from codetide.session import require_utc
 from codetide.sources.archives import archive_name
 
-# Event types and languages of the mapping.
+# Event types, languages and malformed texts of the mapping.
 TYPE_OF = {"click": PUSH, "view": STAR, "purchase": PULL_REQUEST, "signup": FORK, "error": "IssuesEvent"}
-LANGUAGES = ("Python", "Go", "Rust", "Java", "C++")
+LANGUAGES = (
+    "Python Go Rust Java C++ C Kotlin Swift Ruby PHP Scala Haskell Elixir Erlang Clojure Lua Perl R Julia Dart "
+    "TypeScript JavaScript Shell Zig Nim OCaml Fortran Ada Cobol Prolog Scheme Racket Groovy Crystal Solidity Vala"
+).split()
+NO_TIME = "yesterday"
+STRAY_ARCHIVE = "unsorted.json.gz"
 
 
 def read_clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,49 +37,63 @@ def _chosen(key: Column, values: dict) -> Column:
     return choice
 
 
+def _record(keyed: Column, second: bool) -> Column:
+    """The raw event, or its second copy: up to an hour earlier or later, with one commit more, sometimes without repository."""
+    event_id, k, kind, owner = (keyed[c] for c in ("event_id", "k", "kind", "owner"))
+    turn = F.floor(event_id / 50)
+    at, size = keyed["at"], keyed["size"]
+    repo_id = F.when(event_id % 89 != 0, owner * 10 + k % 10)
+    if second:
+        at = at + F.make_dt_interval(hours=(turn % 3 - 1).cast("int"))
+        size = F.coalesce(size, F.lit(0)) + 1
+        repo_id = F.when(turn % 5 != 0, repo_id)
+    text = F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    actor = F.when(event_id % 71 != 0, keyed["user_id"] * 3 + F.floor(k / 10).cast("int") % 3)
+    language = F.get(F.array(*[F.lit(x) for x in LANGUAGES]), ((k + owner) % (len(LANGUAGES) + 1)).cast("int"))
+    later_name = F.when((k % 10).isin(2, 3, 4) & (F.dayofmonth(keyed["at"]) >= 16), "-new").otherwise("")
+    other_name = F.when((k % 10 == 7) & (event_id % 2 == 0), ".x").otherwise("")
+    name = F.concat(F.lit("org"), owner.cast("string"), F.lit("/r"), (k % 10).cast("string"), later_name, other_name)
+    return F.struct(
+        event_id.cast("string").alias("id"),
+        kind.alias("type"),
+        F.struct(actor.alias("id"), F.concat(F.lit("dev"), actor.cast("string")).alias("login")).alias("actor"),
+        F.struct(repo_id.alias("id"), F.when(event_id % 83 == 0, "").otherwise(name).alias("name")).alias("repo"),
+        F.struct(
+            _chosen(kind, {PULL_REQUEST: "opened", STAR: "started"}).alias("action"),
+            size.alias("size"),
+            F.struct(F.when(kind == FORK, language).alias("language")).alias("forkee"),
+            F.struct(
+                F.struct(F.struct(F.when(kind == PULL_REQUEST, language).alias("language")).alias("repo")).alias("base")
+            ).alias("pull_request"),
+        ).alias("payload"),
+        F.when(event_id % 103 == 0, NO_TIME).otherwise(text).alias("created_at"),
+    )
+
+
 def raw_events(clicks: DataFrame) -> DataFrame:
     """Rows of the raw schema; every fiftieth event comes twice."""
-    event_id, user, k, kind = (F.col(c) for c in ("event_id", "user_id", "k", "kind"))
+    event_id, k = F.col("event_id"), F.translate("props", '{"k": }', "").cast("int")
     at = F.col("ts").cast("timestamp")
+    at = F.when(event_id % 9 == 0, F.date_trunc("day", at)).otherwise(at)
     shifted = (
         F.when(event_id % 97 == 0, at - F.expr("interval 10 years"))
         .when(event_id % 101 == 0, at + F.expr("interval 50 years"))
         .otherwise(at)
     )
     keyed = clicks.select(
-        "event_id",
-        "user_id",
-        F.translate("props", '{"k": }', "").cast("int").alias("k"),
-        _chosen(F.col("event_type"), TYPE_OF).alias("kind"),
-        F.floor(F.col("value") * 60).cast("int").alias("size"),
-        F.date_format(shifted, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("created_at"),
-    )
-    actor = F.when(event_id % 71 != 0, user * 3 + F.floor(k / 10).cast("int") % 3)
-    language = _chosen(k % 6, dict(enumerate(LANGUAGES)))
-    in_fork = F.when(kind == FORK, language)
-    in_base = F.when(kind == PULL_REQUEST, language)
-    repo_name = F.when(event_id % 83 == 0, "").otherwise(
-        F.concat(F.lit("org"), user.cast("string"), F.lit("/r"), (k % 10).cast("string"))
-    )
-    record = F.struct(
-        event_id.cast("string").alias("id"),
-        kind.alias("type"),
-        F.struct(actor.alias("id"), F.concat(F.lit("dev"), actor.cast("string")).alias("login")).alias("actor"),
-        F.struct(
-            F.when(event_id % 89 != 0, user * 10 + k % 10).alias("id"), repo_name.alias("name")
-        ).alias("repo"),
         F.struct(
-            _chosen(kind, {PULL_REQUEST: "opened", STAR: "started"}).alias("action"),
-            F.when(k % 7 != 0, F.col("size")).alias("size"),
-            F.struct(in_fork.alias("language")).alias("forkee"),
-            F.struct(
-                F.struct(F.struct(in_base.alias("language")).alias("repo")).alias("base")
-            ).alias("pull_request"),
-        ).alias("payload"),
-        F.col("created_at").alias("created_at"),
+            "event_id",
+            "user_id",
+            k.alias("k"),
+            _chosen(F.col("event_type"), TYPE_OF).alias("kind"),
+            F.when(event_id % 3 == 0, F.col("user_id") % 5).otherwise(F.col("user_id")).alias("owner"),
+            F.when(k % 7 != 0, F.floor(F.col("value") * 60).cast("int")).alias("size"),
+            shifted.alias("at"),
+        ).alias("keyed")
     )
-    copies = F.when(event_id % 50 == 0, 2).otherwise(1)
-    return keyed.select(F.inline(F.array_repeat(record, copies)))
+    one = _record(F.col("keyed"), False)
+    both = F.array(one, _record(F.col("keyed"), True))
+    return keyed.select(F.inline(F.when(F.col("keyed.event_id") % 50 == 0, both).otherwise(F.array(one))))
 
 
 def raw_lines(clicks: DataFrame) -> DataFrame:
@@ -81,16 +101,47 @@ def raw_lines(clicks: DataFrame) -> DataFrame:
     raw = raw_events(clicks)
     hour = F.try_to_timestamp("created_at")
     return raw.select(
-        F.to_json(F.struct(*raw.columns)).alias("value"), archive_name(hour).alias("file_name")
+        F.to_json(F.struct(*raw.columns)).alias("value"),
+        F.coalesce(archive_name(hour), F.lit(STRAY_ARCHIVE)).alias("file_name"),
+        F.col("id").cast("long").alias("event_id"),
     )
 
 
-def landed_before_last_day(clicks: DataFrame) -> DataFrame:
-    """Landed table of a load that has taken everything but the last day of the stream."""
-    last_day = F.to_date(clicks.agg(F.max("ts")).scalar())
+def untidy_lines(clicks: DataFrame) -> DataFrame:
+    """The same lines with blanks around some of them, and with blank and broken lines in between."""
+    value, event_id = F.col("value"), F.col("event_id")
+    padded = F.when(event_id % 61 == 0, F.concat(F.lit("\t "), value, F.lit("  "))).otherwise(value)
+    blank, broken = F.when(event_id % 59 == 0, "   "), F.when(event_id % 67 == 0, '{"id": "')
+    lines = F.filter(F.array(padded, blank, broken), lambda x: x.isNotNull())
+    return raw_lines(clicks).select(F.explode(lines).alias("value"), "file_name")
+
+
+def store_archives(lines: DataFrame, path: str) -> str:
+    """Write lines as one gzip file per archive name; returns the folder. For tests and queries: one rename per archive."""
+    spark = lines.sparkSession
+    parts = lines.select("value", "file_name").repartition("file_name")
+    parts.write.partitionBy("file_name").option("compression", "gzip").text(f"{path}/parts")
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(f"{path}/archives")
+    store = folder.getFileSystem(conf)
+    store.mkdirs(folder)
+    for part in store.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/parts/file_name=*/part-*")):
+        name = part.getPath().getParent().getName().removeprefix("file_name=")
+        store.rename(part.getPath(), jvm.org.apache.hadoop.fs.Path(folder, name))
+    return folder.toString()
+
+
+def landed_all(clicks: DataFrame) -> DataFrame:
+    """Landed table of a load that has taken the whole stream."""
     hour = F.col("ts").cast("timestamp")
-    return clicks.where(F.to_date("ts") < last_day).select(
+    return clicks.select(
         F.to_date("ts").alias("event_date"),
         F.hour("ts").alias("event_hour"),
         F.regexp_replace(archive_name(hour), r"\.gz$", "").alias("source_file"),
     )
+
+
+def landed_before_last_day(clicks: DataFrame) -> DataFrame:
+    """Landed table of a load that has taken everything but the last day of the stream."""
+    last_day = F.to_date(clicks.agg(F.max("ts")).scalar())
+    return landed_all(clicks.where(F.to_date("ts") < last_day))

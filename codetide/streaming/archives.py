@@ -1,46 +1,26 @@
-"""The same archive steps for files that keep arriving.
+"""Archives that keep arriving, as a stream of their lines.
 
-The checkpoint remembers the files already read, which is the incremental load as a stream.
+The checkpoint remembers the files already read. Nothing depends on event time, so an archive that comes late loses no line.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from codetide.operators.cleaning import (
-    flatten,
-    has_identity,
-    parse_time,
-    plausible_time,
-    target_events,
-    without_bot_pushes,
-)
-from codetide.plans.etl import dated
-from codetide.schemas import RAW_EVENT
 from codetide.sources.archives import ARCHIVE_GLOB, land_lines
 
-DEFAULT_DELAY = "2 hours"
-
 
-def stream_lines(spark: SparkSession, directory: str) -> DataFrame:
-    """Landed lines of the archives that appear in a directory."""
+def arriving_lines(spark: SparkSession, directory: str) -> DataFrame:
+    """Text lines of the archives that appear in a directory, with the name of their file."""
     lines = spark.readStream.option("pathGlobFilter", ARCHIVE_GLOB).text(directory)
-    return land_lines(lines.select("value", F.col("_metadata.file_name").alias("file_name")))
+    return lines.select("value", F.col("_metadata.file_name").alias("file_name"))
 
 
-def stream_events(
-    spark: SparkSession, directory: str, as_of: dt.datetime | None = None, delay: str = DEFAULT_DELAY
-) -> DataFrame:
-    """Clean events of arriving archives, each id once within ``delay`` of event time."""
-    raw = spark.readStream.schema(RAW_EVENT).option("pathGlobFilter", ARCHIVE_GLOB).json(directory)
-    valid = without_bot_pushes(plausible_time(has_identity(parse_time(target_events(raw))), as_of))
-    return (
-        flatten(valid).withWatermark("created_at", delay).dropDuplicatesWithinWatermark(["event_id"])
-    )
+def stream_lines(spark: SparkSession, directory: str) -> DataFrame:
+    """Landed lines of the archives that appear in a directory."""
+    return land_lines(arriving_lines(spark, directory))
 
 
 def append_available(df: DataFrame, path: str, checkpoint: str, *partition_by: str) -> StreamingQuery:
@@ -53,11 +33,3 @@ def append_available(df: DataFrame, path: str, checkpoint: str, *partition_by: s
         .trigger(availableNow=True)
         .start(path)
     )
-
-
-def store_arrivals(
-    spark: SparkSession, directory: str, path: str, checkpoint: str, as_of: dt.datetime | None = None
-) -> StreamingQuery:
-    """One incremental run: new archives to clean events, laid out by day."""
-    events = dated(stream_events(spark, directory, as_of), "created_at")
-    return append_available(events, path, checkpoint, "event_date")

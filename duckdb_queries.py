@@ -33,28 +33,40 @@ FIRST_DAY, LAST_DAY, AFTER = "2024-01-05", "2024-01-24", "2024-01-25"
 DAYS = 20
 EARLIER_RUN, LAST_RUN = "2024-02-01 06:00:00", "2024-02-08 06:00:00"
 
+LANGUAGES = (
+    "Python Go Rust Java C++ C Kotlin Swift Ruby PHP Scala Haskell Elixir Erlang Clojure Lua Perl R Julia Dart "
+    "TypeScript JavaScript Shell Zig Nim OCaml Fortran Ada Cobol Prolog Scheme Racket Groovy Crystal Solidity Vala"
+).split()
+
 cte("mapped", "", """
   SELECT *, CASE event_type WHEN 'click' THEN 'PushEvent' WHEN 'view' THEN 'WatchEvent'
               WHEN 'purchase' THEN 'PullRequestEvent' WHEN 'signup' THEN 'ForkEvent'
               WHEN 'error' THEN 'IssuesEvent' END AS kind,
          CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER) AS k,
-         CASE WHEN event_id % 97 = 0 THEN ts - INTERVAL 10 YEAR
-              WHEN event_id % 101 = 0 THEN ts + INTERVAL 50 YEAR ELSE ts END AS happened
-  FROM events""")
-
-cte("raw", "mapped", """
-  SELECT CAST(event_id AS VARCHAR) AS id, kind AS type,
-         CASE WHEN event_id % 71 <> 0 THEN user_id * 3 + CAST(floor(k / 10) AS INTEGER) % 3 END AS actor_id,
-         CASE WHEN event_id % 89 <> 0 THEN user_id * 10 + k % 10 END AS repo_id,
-         CASE WHEN event_id % 83 = 0 THEN '' ELSE 'org' || user_id || '/r' || (k % 10) END AS repo_name,
-         CASE WHEN k % 7 <> 0 THEN CAST(floor(value * 60) AS INTEGER) END AS size,
-         CASE WHEN kind IN ('ForkEvent', 'PullRequestEvent') THEN
-           CASE k % 6 WHEN 0 THEN 'Python' WHEN 1 THEN 'Go' WHEN 2 THEN 'Rust' WHEN 3 THEN 'Java'
-                      WHEN 4 THEN 'C++' END END AS lang,
-         CASE kind WHEN 'PullRequestEvent' THEN 'opened' WHEN 'WatchEvent' THEN 'started' END AS action,
-         happened
-  FROM mapped CROSS JOIN LATERAL
-    (SELECT unnest(CASE WHEN event_id % 50 = 0 THEN [1, 2] ELSE [1] END) AS copy)""")
+         CASE WHEN event_id % 3 = 0 THEN user_id % 5 ELSE user_id END AS owner,
+         event_id // 50 AS turn,
+         CASE WHEN event_id % 97 = 0 THEN moment - INTERVAL 10 YEAR
+              WHEN event_id % 101 = 0 THEN moment + INTERVAL 50 YEAR ELSE moment END AS base
+  FROM (SELECT *, CASE WHEN event_id % 9 = 0 THEN date_trunc('day', ts) ELSE ts END AS moment FROM events)""")
+
+cte("raw", "mapped", f"""
+  SELECT *, CASE WHEN event_id % 103 <> 0 THEN moved END AS happened,
+         CASE WHEN event_id % 103 = 0 THEN 'yesterday' ELSE strftime(moved, '%Y-%m-%dT%H:%M:%S.%fZ') END AS created_text
+  FROM (
+    SELECT event_id, copy, CAST(event_id AS VARCHAR) AS id, kind AS type,
+           CASE WHEN event_id % 71 <> 0 THEN user_id * 3 + CAST(floor(k / 10) AS INTEGER) % 3 END AS actor_id,
+           CASE WHEN event_id % 89 <> 0 AND (copy = 1 OR turn % 5 <> 0) THEN owner * 10 + k % 10 END AS repo_id,
+           CASE WHEN event_id % 83 = 0 THEN '' ELSE 'org' || owner || '/r' || (k % 10)
+             || CASE WHEN k % 10 IN (2, 3, 4) AND day(base) >= 16 THEN '-new' ELSE '' END
+             || CASE WHEN k % 10 = 7 AND event_id % 2 = 0 THEN '.x' ELSE '' END END AS repo_name,
+           CASE WHEN copy = 2 THEN coalesce(CASE WHEN k % 7 <> 0 THEN CAST(floor(value * 60) AS INTEGER) END, 0) + 1
+                WHEN k % 7 <> 0 THEN CAST(floor(value * 60) AS INTEGER) END AS size,
+           CASE WHEN kind IN ('ForkEvent', 'PullRequestEvent')
+                THEN ({LANGUAGES!r})[CAST((k + owner) % {len(LANGUAGES) + 1} AS INTEGER) + 1] END AS lang,
+           CASE kind WHEN 'PullRequestEvent' THEN 'opened' WHEN 'WatchEvent' THEN 'started' END AS action,
+           CASE WHEN copy = 2 THEN base + to_hours(CAST(turn % 3 - 1 AS INTEGER)) ELSE base END AS moved
+    FROM mapped CROSS JOIN LATERAL
+      (SELECT unnest(CASE WHEN event_id % 50 = 0 THEN [1, 2] ELSE [1] END) AS copy))""")
 
 cte("flat", "raw", """
   SELECT id AS event_id, type AS event_type, actor_id, 'dev' || actor_id AS actor_login, repo_id,
@@ -63,14 +75,15 @@ cte("flat", "raw", """
   FROM raw""")
 
 cte("clean", "flat", """
-  SELECT DISTINCT event_id, event_type, actor_id, actor_login, repo_id, repo_name, language,
+  SELECT event_id, event_type, actor_id, actor_login, repo_id, repo_name, language,
          commits_count, action, created_at
   FROM flat
   WHERE event_type IN ('PushEvent', 'WatchEvent', 'ForkEvent', 'PullRequestEvent')
     AND event_id IS NOT NULL AND repo_id IS NOT NULL AND repo_name IS NOT NULL AND repo_name <> ''
     AND created_at IS NOT NULL
     AND created_at >= TIMESTAMP '2020-01-01 00:00:00' AND created_at <= TIMESTAMP '2026-01-01 00:00:00'
-    AND (event_type <> 'PushEvent' OR coalesce(size, 1) <= 10000)""")
+    AND (event_type <> 'PushEvent' OR coalesce(size, 1) <= 10000)
+  QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY created_at, commits_count) = 1""")
 
 cte("period", "clean", f"""
   SELECT * FROM clean
@@ -158,9 +171,9 @@ cte("rows", "windowed top_actor outcome calendar", """
 
 cte("train", "rows", "  SELECT * FROM rows WHERE label_available")
 
-cte("top4", "train", """
+cte("top15", "train", """
   SELECT language, row_number() OVER (ORDER BY count(*) DESC, language) AS place
-  FROM train GROUP BY language QUALIFY place <= 4""")
+  FROM train GROUP BY language QUALIFY place <= 15""")
 
 NUMERIC = (
     "events_total pushes commits_total stars forks prs actors active_days activity_span_hours"
@@ -306,12 +319,13 @@ ORACLES: dict[str, str] = {
   SELECT id, type, actor_id, 'dev' || actor_id AS actor_login, repo_id, repo_name, action, size,
          CASE WHEN type = 'ForkEvent' THEN lang END AS fork_language,
          CASE WHEN type = 'PullRequestEvent' THEN lang END AS base_language,
-         strftime(happened, '%Y-%m-%dT%H:%M:%S.%fZ') AS created_at
+         created_text AS created_at
   FROM raw"""),
     "raw_landing": query("raw", """
   SELECT CAST(happened AS DATE) AS event_date, CAST(hour(happened) AS INTEGER) AS event_hour,
          strftime(happened, '%Y-%m-%d') || '-' || hour(happened) || '.json' AS source_file,
-         '{"id":"' || id || '","type":"' || type || '","actor":{'
+         unnest(CASE WHEN event_id % 67 = 0 THEN [line, '{"id": "'] ELSE [line] END) AS raw
+  FROM (SELECT *, '{"id":"' || id || '","type":"' || type || '","actor":{'
          || coalesce('"id":' || actor_id || ',"login":"dev' || actor_id || '"', '')
          || '},"repo":{' || coalesce('"id":' || repo_id || ',', '') || '"name":"' || repo_name
          || '"},"payload":{' || coalesce('"action":"' || action || '",', '')
@@ -319,14 +333,18 @@ ORACLES: dict[str, str] = {
          || CASE WHEN type = 'ForkEvent' THEN coalesce('"language":"' || lang || '"', '') ELSE '' END
          || '},"pull_request":{"base":{"repo":{'
          || CASE WHEN type = 'PullRequestEvent' THEN coalesce('"language":"' || lang || '"', '') ELSE '' END
-         || '}}}},"created_at":"' || strftime(happened, '%Y-%m-%dT%H:%M:%S.%fZ') || '"}' AS raw
-  FROM raw"""),
+         || '}}}},"created_at":"' || created_text || '"}' AS line
+        FROM raw)
+  WHERE happened IS NOT NULL"""),
+    "incremental_etl": query("clean", "SELECT * FROM clean"),
     "incremental_files": query("landed", """
   SELECT DISTINCT strftime(ts, '%Y-%m-%d') || '-' || hour(ts) || '.json.gz' AS file_name,
          strftime(ts, '%Y-%m-%d') || '-' || hour(ts) || '.json' AS source_file
   FROM events
   WHERE strftime(ts, '%Y-%m-%d') || '-' || hour(ts) || '.json' NOT IN (SELECT source_file FROM landed)"""),
-    "landed_counts": query("landed", "SELECT source_file, count(*) AS lines FROM landed GROUP BY source_file"),
+    "landed_counts": """
+  SELECT strftime(ts, '%Y-%m-%d') || '-' || hour(ts) || '.json' AS source_file, count(*) AS lines
+  FROM events GROUP BY 1""",
     "hour_manifest": query("manifest", "SELECT * FROM manifest"),
     "hour_manifest_n": """
   SELECT CAST(h AS DATE) AS event_date, CAST(hour(h) AS INTEGER) AS event_hour,
@@ -341,7 +359,7 @@ ORACLES: dict[str, str] = {
          count(*) FILTER (replace(file_name, '.gz', '') IN (SELECT source_file FROM landed)) AS skipped
   FROM manifest"""),
     "flt_target_types": query("raw", """
-  SELECT id, type, strftime(happened, '%Y-%m-%dT%H:%M:%S.%fZ') AS created_at FROM raw
+  SELECT id, type, created_text AS created_at FROM raw
   WHERE type IN ('PushEvent', 'WatchEvent', 'ForkEvent', 'PullRequestEvent')"""),
     "flt_date_sanity": query("raw", """
   SELECT id, happened AS created_at FROM raw
@@ -350,7 +368,10 @@ ORACLES: dict[str, str] = {
   SELECT id, type, size FROM raw WHERE type <> 'PushEvent' OR coalesce(size, 1) <= 10000"""),
     "flt_period": query("period", "SELECT event_id, created_at FROM period"),
     "resolve_language": query("raw", "SELECT id, coalesce(lang, 'Unknown') AS language FROM raw"),
-    "dedup_events": query("flat", "SELECT DISTINCT * EXCLUDE (size) FROM flat"),
+    "dedup_events": query("flat", """
+  SELECT * EXCLUDE (size) FROM flat
+  QUALIFY row_number() OVER (PARTITION BY event_id
+            ORDER BY created_at NULLS FIRST, repo_id NULLS FIRST, commits_count) = 1"""),
     "clean_events": query("clean", "SELECT * FROM clean"),
     "mart_language": query("clean", """
   SELECT date_trunc('hour', created_at) AS hour, language, count(*) AS total_events,
@@ -443,16 +464,15 @@ ORACLES: dict[str, str] = {
     "dataset_summary": query("train", """
   SELECT count(*) AS dataset_rows, count(DISTINCT repo_id) AS repos, avg(abandoned) AS abandoned_share
   FROM train"""),
-    "lang_bucket": query("train top4", """
+    "lang_bucket": query("train top15", """
   SELECT snapshot_date, repo_id, language,
-         CASE WHEN language IN (SELECT language FROM top4) THEN language ELSE 'other' END AS lang_bucket
+         CASE WHEN language IN (SELECT language FROM top15) THEN language ELSE 'other' END AS lang_bucket
   FROM train"""),
-    "lang_onehot": query("train top4", """
-  SELECT snapshot_date, repo_id, CAST(coalesce(place = 1, false) AS DOUBLE) AS lang_0,
-         CAST(coalesce(place = 2, false) AS DOUBLE) AS lang_1,
-         CAST(coalesce(place = 3, false) AS DOUBLE) AS lang_2,
-         CAST(coalesce(place = 4, false) AS DOUBLE) AS lang_3, CAST(place IS NULL AS DOUBLE) AS lang_other
-  FROM train LEFT JOIN top4 USING (language)"""),
+    "lang_onehot": query("train top15", f"""
+  SELECT snapshot_date, repo_id,
+         {", ".join(f"CAST(coalesce(place = {i + 1}, false) AS DOUBLE) AS lang_{i}" for i in range(15))},
+         CAST(place IS NULL AS DOUBLE) AS lang_other
+  FROM train LEFT JOIN top15 USING (language)"""),
     "group_split": query("train", """
   SELECT snapshot_date, repo_id,
          CAST('0x' || substr(md5('42:' || repo_id), 1, 8) AS BIGINT) % 100 < 25 AS is_test,

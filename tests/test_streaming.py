@@ -1,7 +1,9 @@
 import gzip
 import json
 
-from codetide.sources.archives import ARCHIVE_GLOB
+import pytest
+
+from codetide.plans import etl, incremental
 from codetide.streaming import archives as stream
 from test_cleaning import NOW, event
 
@@ -11,21 +13,72 @@ def put(folder, name, *events):
         f.write("\n".join(json.dumps(e) for e in events) + "\n")
 
 
-def test_arrivals_are_cleaned_once(spark, tmp_path):
-    inbox, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+@pytest.fixture
+def load(spark, tmp_path):
+    inbox, database = tmp_path / "in", "arrivals"
     inbox.mkdir()
-    assert ARCHIVE_GLOB.endswith(".json.gz")
-    (inbox / "notes.txt").write_text("not an archive")
-    put(inbox, "2025-03-01-9.json.gz", event("1"), event("1"), event("2", kind="IssuesEvent"), event("3", at="?"))
+    spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
 
     def run():
-        stream.store_arrivals(spark, str(inbox), out, state, NOW).awaitTermination(120)
-        return sorted(r.event_id for r in spark.read.parquet(out).collect())
+        incremental.load_arrivals(spark, str(inbox), database, str(tmp_path / "state"), NOW)
+        return sorted((r.event_id, str(r.created_at)) for r in spark.table(f"{database}.events_parsed").collect())
+
+    yield inbox, run
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+def tables(spark):
+    names = ("events_parsed", "mart_repo_activity", "mart_language_activity", "mart_hourly_activity", "events_raw")
+    return {n: sorted(map(str, spark.table(f"arrivals.{n}").collect())) for n in names}
+
+
+def test_a_late_archive_loses_nothing(spark, load):
+    inbox, run = load
+    (inbox / "notes.txt").write_text("not an archive")
+    put(inbox, "2025-03-02-9.json.gz", event("1", at="2025-03-02T09:10:00Z"), event("8", kind="IssuesEvent"), event("9", at="?"))
+    assert [i for i, _ in run()] == ["1"]
+    put(inbox, "2025-03-01-9.json.gz", event("2", at="2025-03-01T09:00:00Z"), event("3", at="2025-03-01T09:30:00Z"))
+    assert [i for i, _ in run()] == ["1", "2", "3"]
+    put(inbox, "2025-03-02-10.json.gz", event("4", at="2025-03-02T10:30:00Z"))
+    assert [i for i, _ in run()] == ["1", "2", "3", "4"]
+    before = tables(spark)
+    assert [i for i, _ in run()] == ["1", "2", "3", "4"] and tables(spark) == before
+
+
+def test_copies_across_days_leave_the_earliest(spark, load):
+    inbox, run = load
+    put(inbox, "2025-03-02-9.json.gz", event("1", at="2025-03-02T09:10:00Z"))
+    put(inbox, "2025-03-03-9.json.gz", event("2", at="2025-03-03T09:10:00Z"))
+    assert len(run()) == 2
+    put(inbox, "2025-03-01-9.json.gz", event("1", at="2025-03-01T09:00:00Z"), event("2", at="2025-03-04T09:00:00Z"))
+    assert run() == [("1", "2025-03-01 09:00:00"), ("2", "2025-03-03 09:10:00")]
+    days = [str(r.event_date) for r in spark.table("arrivals.mart_repo_activity").orderBy("event_date").collect()]
+    assert days == ["2025-03-01", "2025-03-03"]
+
+
+def test_marts_equal_a_load_of_everything(spark, load, tmp_path):
+    inbox, run = load
+    rows = [event(str(i), at=f"2025-03-0{1 + i % 4}T0{i % 9}:15:00Z") for i in range(1, 40)]
+    for k in (2, 0, 3, 1):
+        put(inbox, f"2025-03-0{1 + k}-1.json.gz", *[r for i, r in enumerate(rows, 1) if i % 4 == k])
+        run()
+    parts = tables(spark)
+    etl.run_etl(spark, str(inbox), "arrivals", NOW)
+    whole = tables(spark)
+    assert all(parts[n] == whole[n] for n in parts) and len(parts["events_parsed"]) == 39
+
 
-    assert run() == ["1"]
-    put(inbox, "2025-03-01-10.json.gz", event("1"), event("4", at="2025-03-01T10:30:00Z"))
-    assert run() == ["1", "4"]
-    assert run() == ["1", "4"]
+def test_same_arrivals_again_and_only_touched_days(spark, load):
+    inbox, run = load
+    put(inbox, "2025-03-02-9.json.gz", event("1", at="2025-03-02T09:10:00Z"))
+    put(inbox, "2025-03-03-9.json.gz", event("2", at="2025-03-03T09:10:00Z"))
+    run()
+    files = lambda: {f for f in spark.table("arrivals.events_parsed").inputFiles()}
+    before, first = tables(spark), files()
+    again = spark.createDataFrame([(json.dumps(event("2", at="2025-03-03T09:10:00Z")), "2025-03-03-9.json.gz")], "value string, file_name string")
+    incremental.merge_arrivals(again, "arrivals", NOW)
+    assert tables(spark) == before
+    assert {f for f in first if "2025-03-02" in f} <= files()
 
 
 def test_lines_are_landed_as_they_arrive(spark, tmp_path):

@@ -6,9 +6,9 @@ shingle and block. A text takes the points whose level lies below the shingle's
 later one can matter. The least time per slot is the signature; two texts agree in a slot with probability equal to their weighted Jaccard similarity.
 
 ``BANDS`` bands of ``ROWS`` slots give the buckets; a pair at the threshold has none in common with probability 3e-6.
-Candidates are never all pairs of a bucket at first: a text is compared with the least text of each of its buckets. Buckets whose texts
-then are of one class are settled, so a group of thousands of copies costs a few comparisons per text. In what is left,
-only pairs of different classes are compared, dealt out over blocks of the bucket. Texts of similar length alone can be near (the
+First a text is compared with the least text of its buckets. Buckets whose texts then are of one class are settled, so a group of
+thousands of copies costs a few comparisons per text. In what is left, only pairs of different classes are compared: those of small buckets are
+candidates, at most ``SMALL`` per text and bucket; large buckets are dealt out in blocks, and a task returns the links that join classes, never its pairs. Texts of similar length alone can be near (the
 shorter has at least the threshold's share of the longer's shingles). Every link is verified on the multisets.
 
 Defined cases: equal texts are one node, so copies cost nothing more; fewer than five words are one shingle; texts without words are near only if
@@ -21,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,8 +32,8 @@ from codetide.llm.shingles import counted, mixed, multiset_similarity, text_shin
 THRESHOLD = 0.8
 BANDS, ROWS = 42, 6
 SLOTS = BANDS * ROWS
-#: Members of a bucket that one task compares with as many others.
-BLOCK = 256
+#: Texts of a bucket of which all pairs of different classes are candidates; texts of a larger one compared with as many others.
+SMALL, BLOCK = 16, 512
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -147,17 +148,15 @@ def _unsettled(classed: DataFrame) -> DataFrame:
     return classed.join(several, "bucket")
 
 
-def _alike_in_length(a: str, b: str, threshold: float):
-    return F.least(a, b) >= threshold * F.greatest(a, b)
-
-
 def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, key, class_id of every document; the class is named by its least doc_id."""
     stored = materialise(banded(docs), "banded")
     nodes = stored.groupBy("key").agg(F.min("doc_id").alias("node"))
     named = materialise(nodes, "named")
-    chosen = named.where("node is not null").groupBy("node").agg(F.min("key").alias("key"))
-    once = stored.join(chosen, ["key"]).where(F.col("doc_id") == F.col("node"))
+    chosen = materialise(named.where("node is not null").groupBy("node").agg(F.min("key").alias("key")), "chosen")
+    once = stored.withColumnRenamed("doc_id", "node").join(chosen, ["node", "key"])
+    if once.select("node").count() > chosen.count():  # repeated rows
+        once = once.dropDuplicates(["node"])
     in_bucket = once.select("node", "key", "n_shingles", F.explode("bands").alias("bucket"))
     in_bucket = materialise(in_bucket, "in_bucket")
     shared = in_bucket.groupBy("bucket").agg(F.min("node").alias("lead"), F.max("node").alias("other")).where("lead <> other").select("bucket", "lead")
@@ -165,23 +164,20 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     company = materialise(members.groupBy("node").agg(F.min("key").alias("key")), "company")
     shingles = materialise(stored_shingles(docs, company), "shingles")
 
-    # Every text with the least of its leads, then with the leads of other classes, then the rest.
+    # Every text with the least of its leads, then the rest of the small buckets, then that of the large ones.
     first = members.where("node <> lead").groupBy("node").agg(F.min("lead").alias("lead"))
     links = materialise(verified(first.select(F.col("node").alias("a"), F.col("lead").alias("b")), shingles, threshold), "links")
     classes = components(links)
     unsettled = materialise(_unsettled(_classed(members, classes)), "unsettled")
 
-    leads = unsettled.where("node = lead").select("bucket", F.col("class").alias("lead_class"), F.col("n_shingles").alias("lead_shingles"))
-    second = (
-        unsettled.where("node <> lead").join(leads, "bucket")
-        .where((F.col("class") != F.col("lead_class")) & _alike_in_length("n_shingles", "lead_shingles", threshold))
-        .select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct()
-    )
-    links = materialise(links.unionByName(verified(second, shingles, threshold)), "links")
+    size = unsettled.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
+    sized = materialise(unsettled.join(size, "bucket"), "sized")
+    pairs = _pairs_of_small_buckets(sized.where(F.col("size") <= SMALL), threshold)
+    links = materialise(links.unionByName(verified(pairs, shingles, threshold)), "links")
     classes = components(links)
-    unsettled = materialise(_unsettled(_classed(unsettled.drop("class"), classes)), "unsettled")
-
-    links = links.unionByName(verified(_pairs_of_classes(unsettled, threshold), shingles, threshold))
+    large = _unsettled(_classed(sized.where(F.col("size") > SMALL).drop("class"), classes))
+    bands = once.select("node", "bands")
+    links = links.unionByName(materialise(_links_of_large_buckets(large, bands, shingles, threshold), "late_links"))
     classes = components(links)
     of_text = named.join(classes, "node", "left").select("key", F.coalesce("root", "node").alias("class_id"))
     return stored.select("doc_id", "key").join(of_text, "key").select(
@@ -189,21 +185,86 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     )
 
 
-def _pairs_of_classes(unsettled: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of different classes in a bucket, once each, without the pairs with the lead, which are compared already.
+def _pairs_of_small_buckets(members: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of different classes in buckets of at most ``SMALL`` texts, each pair once."""
+    left = members.select("bucket", F.col("node").alias("a"), F.col("class").alias("class_a"), F.col("n_shingles").alias("n_a"))
+    right = members.select("bucket", F.col("node").alias("b"), F.col("class").alias("class_b"), F.col("n_shingles").alias("n_b"))
+    alike = F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b")
+    pairs = left.join(right, "bucket").where((F.col("a") > F.col("b")) & (F.col("class_a") != F.col("class_b")) & alike)
+    return pairs.select("a", "b").distinct()
+
+
+def _links_of_large_buckets(members: DataFrame, bands: DataFrame, shingles: DataFrame, threshold: float) -> DataFrame:
+    """Links between the classes of large buckets, found where the bucket's texts are together.
 
-    A bucket is cut into blocks by size; each pair of blocks is a key of its own, so that no key has more than some
-    ``BLOCK`` members of either side.
+    A bucket is cut into blocks of some ``BLOCK`` texts, and every two blocks are a unit of work, so no task holds more than two
+    blocks of a bucket. A unit compares the pairs of different classes for which the bucket is the first that they share, and returns
+    no more links than join its classes; pairs are never written out.
     """
-    sizes = unsettled.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    rest = unsettled.where("node <> lead").join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    left = rest.select("bucket", "block", F.explode(every).alias("other"), F.col("node").alias("a"), F.col("class").alias("class_a"), F.col("n_shingles").alias("n_a"))
-    right = rest.select("bucket", F.explode(every).alias("block"), F.col("block").alias("other"), F.col("node").alias("b"), F.col("class").alias("class_b"), F.col("n_shingles").alias("n_b"))
-    pairs = left.join(right, ["bucket", "block", "other"]).where(
-        (F.col("a") > F.col("b")) & (F.col("class_a") != F.col("class_b")) & _alike_in_length("n_a", "n_b", threshold)
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    block = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    placed = members.select("bucket", "node", "class", blocks.alias("blocks"), block.alias("block"))
+    units = placed.select(
+        "bucket", "node", "class", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    ).select(
+        "bucket", "node", "class", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
     )
-    return pairs.select("a", "b").distinct()
+    loaded = units.join(bands, "node").join(shingles, "node")
+    keys = ["bucket", "low", "high"]
+    together = loaded.repartition(*keys).sortWithinPartitions(*keys, "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit: list[dict] = []
+        links: list[dict] = []
+        for received in batches:
+            for at in range(0, received.num_rows, 256):
+                for row in received.slice(at, 256).to_pylist():
+                    if unit and any(unit[0][k] != row[k] for k in keys):
+                        links += unit_links(unit, threshold)
+                        unit = []
+                    unit.append(row)
+            if len(links) > 1000:
+                yield pa.RecordBatch.from_pylist(links, schema=LINKS)
+                links = []
+        links += unit_links(unit, threshold)
+        yield pa.RecordBatch.from_pylist(links, schema=LINKS)
+
+    return together.mapInArrow(run, "a long, b long, similarity double")
+
+
+LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("similarity", pa.float64())])
+
+
+def unit_links(unit: list[dict], threshold: float) -> list[dict]:
+    """Links that join the classes of a unit, whose rows have node, class, block, low, high, bucket, bands and shingles."""
+    if not unit:
+        return []
+    bucket, low, high = unit[0]["bucket"], unit[0]["low"], unit[0]["high"]
+    bands = np.array([r["bands"] for r in unit], dtype=np.int64)
+    texts = [np.frombuffer(r["shingles"], np.uint64) for r in unit]
+    sizes, blocks = np.array([len(t) for t in texts]), np.array([r["block"] for r in unit])
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+
+    out = []
+    for i, row in enumerate(unit):
+        same = bands[:i] == bands[i]
+        first = bands[i][same.argmax(axis=1)] == bucket
+        alike = np.minimum(sizes[:i], sizes[i]) >= threshold * np.maximum(sizes[:i], sizes[i])
+        here = blocks[:i] != blocks[i] if low != high else np.ones(i, dtype=bool)
+        for j in np.flatnonzero(first & alike & here):
+            mine, other = find(row["class"]), find(unit[j]["class"])
+            if mine == other:
+                continue
+            similarity = multiset_similarity(texts[i], texts[j])
+            if similarity >= threshold:
+                root[max(mine, other)] = min(mine, other)
+                out.append({"a": row["node"], "b": unit[j]["node"], "similarity": similarity})
+    return out
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

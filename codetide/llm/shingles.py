@@ -64,7 +64,13 @@ def counted(shingles: np.ndarray) -> np.ndarray:
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
-    return len(np.intersect1d(a, b, assume_unique=True))
+    """Elements that two sorted sets share."""
+    a, b = (a, b) if len(a) <= len(b) else (b, a)
+    if not len(a):
+        return 0
+    place = np.searchsorted(b, a)
+    place[place == len(b)] = 0
+    return int(np.count_nonzero(b[place] == a))
 
 
 def multiset_similarity(a: np.ndarray, b: np.ndarray) -> float:

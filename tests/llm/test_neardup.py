@@ -75,14 +75,32 @@ def test_groups_passages_and_chains(make_documents):
 
 
 def test_the_rest_of_large_buckets_is_compared(make_documents, monkeypatch):
-    """With one slot per band many unlike texts share buckets, and blocks hold two of them."""
+    """Many unlike texts share a passage and so buckets; blocks hold two of them."""
     monkeypatch.setattr(neardup, "BLOCK", 2)
+    monkeypatch.setattr(neardup, "SMALL", 2)
     rng = random.Random(4)
     passage = [f"p{i}" for i in range(50)]
     texts = {i: " ".join([*passage, *(f"u{rng.randrange(10**6)}" for _ in range(rng.choice((4, 6, 9, 20))))]) for i in range(60)}
     assert classes(make_documents(*texts.items())) == brute_classes(texts)
 
 
+@pytest.mark.parametrize("small", [1, 10**6])
+def test_small_and_large_buckets_find_the_same(make_documents, monkeypatch, small):
+    """A group of copies with so many edits that some are near and some are not."""
+    monkeypatch.setattr(neardup, "SMALL", small)
+    monkeypatch.setattr(neardup, "BLOCK", 30)
+    rng = random.Random(8)
+    base = [f"b{i}" for i in range(150)]
+    texts = {}
+    for i in range(120):
+        copy = list(base)
+        for _ in range(rng.randrange(1, 9)):
+            copy[rng.randrange(150)] = rng.choice(base)
+        texts[i] = " ".join(copy)
+    want = brute_classes(texts)
+    assert classes(make_documents(*texts.items())) == want and 1 < len(set(want.values())) < 100
+
+
 def test_cases(make_documents):
     docs = make_documents((1, None), (2, ""), (3, " "), (4, "a b c"), (5, "a  b\nc"), (6, "a b"), (7, "x " * 9), (8, "x " * 10), (None, "a b c"), (4, "a b c"), (9, "q"))
     assert classes(docs) == {1: 1, 2: 1, 3: 3, 4: 4, 5: 4, 6: 6, 7: 7, 8: 7, None: None, 9: 9}

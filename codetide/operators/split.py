@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from codetide.functions.hashing import hash32
@@ -58,10 +58,10 @@ def with_validation(
 def class_weights(rows: DataFrame, label: str = "abandoned") -> DataFrame:
     """Balanced weight n / (classes · n_class) of each class; one row per class."""
     counts = rows.groupBy(label).agg(F.count(F.lit(1)).alias("class_rows"))
-    totals = counts.agg(F.sum("class_rows").alias("n"), F.count(F.lit(1)).alias("classes"))
-    n = totals.select("n").scalar()
-    classes = totals.select("classes").scalar()
-    return counts.withColumn("class_weight", n / (classes * F.col("class_rows")))
+    # A window over the few counted rows, so that the input is read once.
+    classes = Window.partitionBy(F.lit(1))
+    n, kinds = F.sum("class_rows").over(classes), F.count(F.lit(1)).over(classes)
+    return counts.withColumn("class_weight", n / (kinds * F.col("class_rows")))
 
 
 def with_class_weight(rows: DataFrame, label: str = "abandoned") -> DataFrame:

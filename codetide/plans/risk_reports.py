@@ -150,10 +150,13 @@ def risk_by_language(predictions: DataFrame, snapshot: dt.date | None = None) ->
 
 
 def risk_change(predictions: DataFrame) -> DataFrame:
-    """Change of each repository's probability against its previous snapshot."""
+    """Change of each repository's probability against its previous snapshot.
+
+    One shuffle by repository serves the choice of the latest run and the comparison.
+    """
     history = Window.partitionBy("repo_id").orderBy("snapshot_date")
     previous = F.lag("probability").over(history)
-    return current_predictions(predictions).select(
+    return current_predictions(predictions.repartition("repo_id")).select(
         "repo_id",
         "snapshot_date",
         "probability",

@@ -7,6 +7,7 @@ from codetide.functions.numeric import half_even, share
 from codetide.operators import marts
 from codetide.operators.latest import at_latest, latest_per_key
 from codetide.plans import reports, risk_reports
+from codetide.schemas import TABLES
 
 EVENTS = (
     "event_id string, event_type string, actor_id long, actor_login string, repo_id long, repo_name string,"
@@ -119,3 +120,9 @@ def test_reports_on_empty_predictions(spark):
     assert (row.total, row.flagged_share) == (0, 0.0)
     assert risk_reports.effective_threshold(empty).first().threshold == 0.5
     assert risk_reports.probability_histogram(empty).count() == 0
+
+
+def test_risk_change_shuffles_once(spark):
+    stored = spark.createDataFrame([], TABLES["ml_repo_predictions"].schema)
+    plan = risk_reports.risk_change(stored)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1

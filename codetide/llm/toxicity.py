@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -226,25 +227,34 @@ def labelled_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return materialise(docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(chosen), "doc_id"), "sample")
 
 
-def learn_stems(sample: DataFrame, n_toxic: int, n_clean: int) -> dict[str, float]:
-    """The shortest word beginnings that tell toxic documents, each as long as it can be without losing one."""
+def learn_stems(sample: DataFrame) -> dict[str, float]:
+    """The shortest word beginnings that tell toxic documents, each as long as it can be without losing one.
+
+    Bearers are counted by the least hash of a document's words, which copies have in common: a word that one text and its
+    copies bear is no evidence.
+    """
     least, most = STEM_LENGTHS
+    kinds = sample.select("toxic", "text")
 
     def beginnings(rows: list[dict]) -> Iterator[dict]:
         for row in rows:
             words = {w for w in _word.findall(row["text"].lower()) if len(w) >= least}
-            for stem in {w[:k] for w in words for k in range(least, min(most, len(w)) + 1)}:
-                yield {"stem": stem, "toxic": row["toxic"]}
+            bearer = min((zlib.crc32(w.encode()) * 0x9E3779B1 % 2**32 for w in words), default=0)
+            for stem in {"", *(w[:k] for w in words for k in range(least, min(most, len(w)) + 1))}:
+                yield {"stem": stem, "bearer": bearer}
 
     def counts(kind: int) -> DataFrame:
-        own = map_text(sample.where(F.col("toxic") == kind).select("text", "toxic"), beginnings, "stem string, toxic int")
-        return own.groupBy("stem").agg(F.count(F.lit(1)).alias(f"n{kind}"))
+        own = map_text(kinds.where(F.col("toxic") == kind), beginnings, "stem string, bearer long")
+        return own.distinct().groupBy("stem").agg(F.count(F.lit(1)).alias(f"n{kind}"))
 
-    floor = max(LEAST_BEARERS, LEAST_SHARE * n_toxic)
-    candidates = materialise(counts(1).where(F.col("n1") >= floor), "candidates")
+    toxic = materialise(counts(1), "toxic_stems")
+    n_toxic = toxic.where("stem = ''").first().n1  # the empty beginning is in every document
+    candidates = toxic.where((F.col("n1") >= max(LEAST_BEARERS, LEAST_SHARE * n_toxic)) | (F.col("stem") == ""))
     joined = candidates.join(counts(0), "stem", "left").select("stem", "n1", F.coalesce("n0", F.lit(0)).alias("n0"))
+    joined = materialise(joined, "candidates")
+    n_clean = joined.where("stem = ''").first().n0
     share1, share0 = F.col("n1") / n_toxic, F.col("n0") / max(1, n_clean)
-    precise = joined.where(share1 / (share1 + share0) >= LEAST_PRECISION).orderBy(F.desc("n1"), "stem").limit(MOST_STEMS * (most - least + 1) * 4)
+    precise = joined.where("stem <> ''").where(share1 / (share1 + share0) >= LEAST_PRECISION).orderBy(F.desc("n1"), "stem").limit(MOST_STEMS * (most - least + 1) * 4)
     found = {r.stem: (r.n1, r.n0) for r in precise.collect()}
     weights: dict[str, float] = {}
     for stem in sorted(found, key=lambda s: (len(s), s)):
@@ -311,7 +321,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Lexicon | None:
     sizes = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes.get(0) or not sizes.get(1):
         return None
-    lexicon = Lexicon(learn_stems(sample, sizes[1], sizes[0]))
+    lexicon = Lexicon(learn_stems(sample))
     lexicon.innocent, lexicon.exact_only = innocent_words(sample, lexicon)
     rows = materialise(matched_features(sample, lexicon, "toxic"), "features")
     training = rows.select(array_to_vector("features").alias("features"), F.col("toxic").cast("double").alias("label"))

@@ -8,8 +8,9 @@ A match counts by its weight, by the edits it took and by its context window: le
 reporting word, more beside an address ("you"). A logistic model turns the sums of a document into a score.
 
 Learning uses at most ``TOXIC_SAMPLE`` toxic and ``CLEAN_SAMPLE`` other labelled documents, chosen by hash; scoring is
-the same for every document. A misspelling that sampled clean documents use is an innocent word; a stem with
-many such words is matched exactly only.
+the same for every document. A misspelling that sampled clean documents use is an innocent word, unless toxic ones tell it as surely
+as they have to tell a stem. Words that one clean document alone uses say how often a further one brings a word not seen yet; where that is
+too often for the stem's toxic bearers, a misspelling has to be the whole word, but for a plural ending. All of it are shares, alike for every sample size.
 
 Defined cases: null and empty texts score as documents without a match; documents without a label are scored all the same; a document with
 several labels or a repeated id learns from each row; a null label is left out; with no labels of one kind every score is 0; other columns are
@@ -21,6 +22,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -42,15 +44,14 @@ LEAST_SHARE = 0.01
 #: Share of the toxic bearers among all, were both kinds equally frequent.
 LEAST_PRECISION = 0.98
 MOST_STEMS = 500
-#: Innocent words near a stem beyond which it is matched exactly.
-MOST_INNOCENT = 3
 MISSPELLED, QUOTED, ADDRESSED = 0.7, 0.4, 1.3
 CONTEXT_WORDS = 6
 REMEMBERED = 500_000
 
-# Reporting words, forms of address, letters written as digits or signs.
+# Reporting words, forms of address, endings that a misspelt word may have, letters written as digits or signs.
 REPORTING = frozenset("said says wrote writes called quote quoted quotes word term phrase sagte schrieb wort dit mot terme dijo palabra".split())
 ADDRESS = frozenset("you your youre u du dich dein ihr tu toi ton vous votre usted eres".split())
+PLURALS = frozenset(["", "s", "es", "e", "en"])
 LEET = str.maketrans("013457@$!", "oieastasi")
 QUOTES = {'"': '"', "“": "”", "„": "“", "«": "»", "‘": "’", "»": "«"}
 
@@ -63,11 +64,11 @@ def words_with_places(text: str) -> list[tuple[str, int, int]]:
 
 @dataclass
 class Lexicon:
-    """Stems with their weights; words that only look like a misspelt stem; stems that are matched exactly."""
+    """Stems with their weights; words that only look like a misspelt stem; stems whose misspellings are whole words."""
 
     weights: dict[str, float]
     innocent: frozenset[str] = frozenset()
-    exact_only: frozenset[str] = frozenset()
+    whole_only: frozenset[str] = frozenset()
     coefficients: list[float] = field(default_factory=list)
     intercept: float = 0.0
 
@@ -77,9 +78,12 @@ def edits_allowed(stem: str) -> int:
 
 
 class FuzzyTrie:
-    """Words within the allowed edits of a stem, or of its beginning where the word goes on after the stem."""
+    """Words within the allowed edits of a stem, or whose beginning is, where the word goes on after the stem.
 
-    def __init__(self, stems: list[str], exact_only: frozenset[str] = frozenset()):
+    With an edit, a stem of ``whole_only`` has to be the word up to its plural ending.
+    """
+
+    def __init__(self, stems: list[str], exact_only: frozenset[str] = frozenset(), whole_only: frozenset[str] = frozenset()):
         self._next: list[dict[str, int]] = [{}]
         self._stem: list[str | None] = [None]
         self._most = [0]
@@ -97,9 +101,11 @@ class FuzzyTrie:
             for n in path:
                 self._most[n] = max(self._most[n], edits)
         self._allowed = {s: 0 if s in exact_only else edits_allowed(s) for s in stems}
+        self._whole_only = whole_only
         self._states: dict[frozenset, int] = {}
         self._sets: list[frozenset] = []
         self._found: list[tuple[int, int, str] | None] = []
+        self._found_whole: list[tuple[int, int, str] | None] = []
         self._moves: list[dict[str, int]] = []
         self._start = self._state({(0, 0)})
 
@@ -117,7 +123,8 @@ class FuzzyTrie:
             self._states[key] = len(self._sets)
             self._sets.append(key)
             ends = [(e, -len(s), s) for n, e in key if (s := self._stem[n]) and e <= self._allowed[s]]
-            self._found.append(min(ends, default=None))
+            self._found.append(min((x for x in ends if not x[0] or x[2] not in self._whole_only), default=None))
+            self._found_whole.append(min(ends, default=None))
             self._moves.append({})
         return self._states[key]
 
@@ -135,12 +142,12 @@ class FuzzyTrie:
     def match(self, word: str) -> tuple[str, int] | None:
         """The stem with the fewest edits, of these the longest, then the first."""
         state, best = self._start, None
-        for letter in word:
+        for at, letter in enumerate(word, 1):
             to = self._moves[state].get(letter)
             state = self._move(state, letter) if to is None else to
             if state < 0:
                 break
-            found = self._found[state]
+            found = (self._found_whole if word[at : at + 3] in PLURALS else self._found)[state]
             if found and (best is None or found < best):
                 best = found
         return (best[2], best[0]) if best else None
@@ -150,7 +157,7 @@ class Matcher:
     """Matches of a text as (word, stem, edits, factor of the context)."""
 
     def __init__(self, lexicon: Lexicon):
-        self._trie = FuzzyTrie(list(lexicon.weights), lexicon.exact_only)
+        self._trie = FuzzyTrie(list(lexicon.weights), whole_only=lexicon.whole_only)
         self._innocent = lexicon.innocent
         self._known: dict[str, tuple[str, int] | None] = {}
 
@@ -227,11 +234,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return materialise(docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(chosen), "doc_id"), "sample")
 
 
+def bearer_of(words: set[str]) -> int:
+    """The least hash of a document's words, which copies have in common."""
+    return min((zlib.crc32(w.encode()) * 0x9E3779B1 % 2**32 for w in words), default=0)
+
+
 def learn_stems(sample: DataFrame) -> dict[str, float]:
     """The shortest word beginnings that tell toxic documents, each as long as it can be without losing one.
 
-    Bearers are counted by the least hash of a document's words, which copies have in common: a word that one text and its
-    copies bear is no evidence.
+    Bearers are counted by ``bearer_of``: a word that one text and its copies bear is no evidence.
     """
     least, most = STEM_LENGTHS
     kinds = sample.select("toxic", "text")
@@ -239,7 +250,7 @@ def learn_stems(sample: DataFrame) -> dict[str, float]:
     def beginnings(rows: list[dict]) -> Iterator[dict]:
         for row in rows:
             words = {w for w in _word.findall(row["text"].lower()) if len(w) >= least}
-            bearer = min((zlib.crc32(w.encode()) * 0x9E3779B1 % 2**32 for w in words), default=0)
+            bearer = bearer_of(words)
             for stem in {"", *(w[:k] for w in words for k in range(least, min(most, len(w)) + 1))}:
                 yield {"stem": stem, "bearer": bearer}
 
@@ -269,24 +280,30 @@ def learn_stems(sample: DataFrame) -> dict[str, float]:
 
 
 def innocent_words(sample: DataFrame, lexicon: Lexicon) -> tuple[frozenset[str], frozenset[str]]:
-    """Misspellings that clean documents use, and the stems that have too many of them."""
-    collected: dict[str, set[str]] = {}
+    """Misspellings that clean documents use, and the stems whose misspellings have to be whole words.
 
-    def misspelt(rows: list[dict]) -> Iterator[dict]:
+    What is collected is bounded by the words of the clean sample.
+    """
+
+    def found(rows: list[dict]) -> Iterator[dict]:
         match = Matcher(lexicon)
         for row in rows:
-            for word, stem in {(w, s) for w, s, edits, _ in match(row["text"])[1] if edits}:
-                yield {"word": word, "stem": stem}
+            bearer = bearer_of({w for w in _word.findall(row["text"].lower()) if len(w) >= STEM_LENGTHS[0]})
+            for stem, word in {("", ""), *((s, w if edits else "") for w, s, edits, _ in match(row["text"])[1])}:
+                yield {"toxic": int(row["toxic"]), "stem": stem, "word": word, "bearer": bearer}
+
+    matches = map_text(sample.select("toxic", "text"), found, "toxic int, stem string, word string, bearer long").distinct()
+    counts = matches.groupBy("stem", "word").agg(F.count_if(F.col("toxic") == 1).alias("n1"), F.count_if(F.col("toxic") == 0).alias("n0"))
+    bearers = {(r.stem, r.word): (r.n1, r.n0) for r in counts.where("n0 > 0 or word = ''").collect()}
+    n_toxic, n_clean = bearers["", ""]
+
+    def telling(n1: int, n0: int) -> bool:
+        return n1 >= LEAST_BEARERS and n1 / n_toxic >= LEAST_PRECISION * (n1 / n_toxic + n0 / n_clean)
 
-    words = map_text(sample.where("toxic = 0").select("text"), misspelt, "word string, stem string").distinct()
-    many = words.groupBy("stem").agg(F.count(F.lit(1)).alias("n"), F.slice(F.sort_array(F.collect_set("word")), 1, MOST_INNOCENT).alias("words"))
-    exact = set()
-    for r in many.collect():  # a row per stem at most
-        if r.n > MOST_INNOCENT:
-            exact.add(r.stem)
-        else:
-            collected[r.stem] = set(r.words)
-    return frozenset(w for ws in collected.values() for w in ws), frozenset(exact)
+    innocent = {word for (_, word), n in bearers.items() if word and not telling(*n)}
+    once = Counter(stem for (stem, word), (_, n0) in bearers.items() if word and n0 == 1)
+    whole = {stem for stem, n0 in once.items() if not telling(bearers.get((stem, ""), (0, 0))[0], n0)}
+    return frozenset(innocent), frozenset(whole)
 
 
 def matched_features(docs: DataFrame, lexicon: Lexicon, *carried: str) -> DataFrame:
@@ -308,7 +325,7 @@ _matchers: dict[tuple, Matcher] = {}
 
 
 def _matcher(lexicon: Lexicon) -> Matcher:
-    key = (tuple(lexicon.weights.items()), lexicon.innocent, lexicon.exact_only)
+    key = (tuple(lexicon.weights.items()), lexicon.innocent, lexicon.whole_only)
     if key not in _matchers:
         _matchers.clear()
         _matchers[key] = Matcher(lexicon)
@@ -322,7 +339,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Lexicon | None:
     if not sizes.get(0) or not sizes.get(1):
         return None
     lexicon = Lexicon(learn_stems(sample))
-    lexicon.innocent, lexicon.exact_only = innocent_words(sample, lexicon)
+    lexicon.innocent, lexicon.whole_only = innocent_words(sample, lexicon)
     rows = materialise(matched_features(sample, lexicon, "toxic"), "features")
     training = rows.select(array_to_vector("features").alias("features"), F.col("toxic").cast("double").alias("label"))
     model = LogisticRegression(regParam=0.001, maxIter=50).fit(training)

@@ -47,6 +47,27 @@ def test_exact_only_stems():
     assert trie.match("morons") == ("moron", 0) and trie.match("maron") is None
 
 
+def test_whole_only_stems():
+    trie = tox.FuzzyTrie(["moron", "loser"], whole_only=frozenset(["moron", "loser"]))
+    assert trie.match("morron") == trie.match("maron") == trie.match("morrons") == ("moron", 1) and trie.match("loosers") == ("loser", 1)
+    assert trie.match("moronic") == ("moron", 0) and trie.match("foronthe") is None and trie.match("losesra") is None
+
+
+@pytest.mark.parametrize("copies", [1, 8])
+def test_neighbours_do_not_switch_a_stem_off(make_documents, copies):
+    """However many clean words lie near a stem, its other misspellings are found, and those words are not."""
+    near = [f"{'aeiu'[i % 4]}oron{''.join('bcdfghjklm'[int(c)] for c in str(i))}" for i in range(100 * copies)]
+    bad = [(i, f"wa{i} wb{i} moron wc{i} wd{i}") for i in range(100)]
+    good = [(1000 + i, f"wa{i} wb{i} {word} wc{i} wd{i}") for i, word in enumerate(near)]
+    labelled = make_documents(*bad, *good)
+    labels = labelled.selectExpr("doc_id", "cast(doc_id < 1000 as int) as toxic")
+    lexicon = tox.learn(labelled, labels)
+    seen = next(word for i, word in enumerate(near) if zlib.crc32(str(1000 + i).encode()) % tox.HOLD_OUT)
+    asked = make_documents((1, "xa xb morron xc"), (2, f"xa xb {seen} xc"), (3, "xa xb xc"), (4, "xa ioronunseen xc"), (5, "you moron"), (6, "such morrons"))
+    score = {r.doc_id: r.score for r in tox.score_documents(asked, lexicon).collect()}
+    assert min(score[1], score[5], score[6]) >= 0.5 > max(score[2], score[3], score[4])
+
+
 def test_misspellings_and_context():
     match = tox.Matcher(tox.Lexicon({"stupid": 5.0, "idiot": 5.0, "worthless": 5.0}, frozenset(["stupip"])))
     found = lambda text: [(w, s, e) for w, s, e, _ in match(text)[1]]

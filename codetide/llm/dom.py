@@ -22,10 +22,10 @@ CLOSED_BY_SIBLING = {
 }
 LISTS = frozenset("ul ol menu dl table select body html".split())
 
-_token = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]{0,4096}"|'[^']{0,4096}')*|[^>]*)(?:>|\Z)""", re.S
-)
-_named = re.compile(r"""\b(class|id|role|data-y)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
+_token = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)""", re.S)
+#: The end of a tag, or an attribute with its value; of a quoted value the opening quote.
+_attribute = re.compile(r"""[\s/]*(?:(>)|(=?[^\s/>=]*)(?:\s*=\s*(["']|[^\s>"'][^\s>]*)?)?)""")
+_named = re.compile(r"\b(?:class|id|role|(data-y))$", re.I)
 
 
 @dataclass
@@ -49,15 +49,30 @@ class Page:
     blocks: list[tuple[int, str]]
 
 
-def _attributes(source: str) -> tuple[str, str]:
+def _attributes(source: str, at: int) -> tuple[str, str, int]:
+    """Names and label of a tag whose attributes begin at a place, and where the tag ends.
+
+    A value in quotes is of any length. A quote that nothing closes is an ordinary character; as no more of its kind follow, each is
+    searched to the end of the page once at most.
+    """
     names, label = [], ""
-    for key, value in _named.findall(source):
-        value = value.strip("\"'")
-        if key == "data-y":
+    while at < len(source):
+        found = _attribute.match(source, at)
+        at = found.end()
+        if found.group(1):
+            break
+        value = found.group(3) or ""
+        if value in ('"', "'"):
+            end = source.find(value, at)
+            if end < 0:
+                continue
+            value, at = source[at:end], end + 1
+        named = value and _named.search(found.group(2))
+        if named and named.group(1):
             label = value
-        else:
+        elif named:
             names.append(value)
-    return " ".join(names), label
+    return " ".join(names), label, at
 
 
 def read_page(source: str) -> Page:
@@ -109,6 +124,7 @@ def read_page(source: str) -> Page:
         if found.group(2) is None:
             continue
         tag = found.group(2).lower()
+        names, label, at = _attributes(source, at)
         if found.group(1):
             if tag == "a":
                 links = max(0, links - 1)
@@ -133,7 +149,6 @@ def read_page(source: str) -> Page:
             close({"p"}, CLOSES_PARAGRAPH - {"p"})
         if tag in CLOSED_BY_SIBLING:
             close(CLOSED_BY_SIBLING[tag], LISTS)
-        names, label = _attributes(found.group(3))
         nodes.append(Node(tag, path[-1], names, label))
         path.append(len(nodes) - 1)
     flush()

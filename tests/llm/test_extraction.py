@@ -2,6 +2,7 @@ import html
 import itertools
 import math
 import re
+import time
 
 import numpy as np
 import pytest
@@ -70,6 +71,22 @@ def test_reading(source, blocks):
     assert [t for _, t in read_page(source).blocks] == blocks
 
 
+@pytest.mark.parametrize("quote", ['"', "'"])
+def test_attributes_of_any_length(quote):
+    inner = f"{'a' * 50_000}<b class=menu>leak</b> 1 > 0"
+    page = read_page(f"<article id=x><p data-x={quote}{inner}{quote} class=k>real text</p></article><a href={quote}{inner}{quote}>l</a>")
+    assert page.blocks == [(2, "real text"), (0, "l")] and page.nodes[2].names == "k"
+
+
+def test_stray_and_unclosed_quotes():
+    blocks = lambda source: [t for _, t in read_page(source).blocks]
+    assert blocks("<p title=it's>it isn't</p>") == ["it isn't"] and blocks('<p class="a"">say "b" to</p>') == ['say "b" to']
+    assert blocks('<p title="a > b</p>') == ["b"] and blocks("<p a=\"" + "<p b='x'>" * 3) == []
+    start = time.perf_counter()
+    assert len(blocks("<p title='" + "<p x=" * 200_000 + '<p y="' + "= " * 200_000 + ">t")) == 1
+    assert time.perf_counter() - start < 20
+
+
 def test_marks_are_no_features():
     for source in labelled_pages(1, layouts=LAYOUTS[:3]):
         page, bare = read_page(source), read_page(re.sub(' data-y="."', "", source))

@@ -8,6 +8,11 @@ Places are found without loss: ``LEAST_COVERAGE`` of a template's words have to
 times its length, so only stretches with so many of its words are aligned, the fullest first; what lies in a found notice
 is not looked at again.
 
+Words that tell licenses apart count besides coverage: a notice's names, numbers and variant words ("Lesser", "NC") all have to be aligned, of a longer
+template the first version number and, by the share that coverage asks for, the variant words; a place with more unaligned variant words than
+that leaves is another license. Where notices overlap, the one with the most aligned words over those it lacks is reported. The whole texts of the
+longer licenses are files beside this module; that of AGPL-3.0 is not among them, so only its notice and header are found.
+
 Defined cases: null and empty texts have no notices; a notice that occurs several times is reported as often; repeated rows are
 reported each; of equally full stretches the first is taken; other columns are ignored; no rows give no rows.
 """
@@ -18,6 +23,7 @@ import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -26,8 +32,62 @@ from codetide.llm.common import map_text, whole_text
 
 LEAST_COVERAGE = 0.8
 STRETCH = 1.25
+#: Words of a notice and of a header or short license at most.
+NOTICE, HEADER = 20, 150
+
+# Words that tell variants of a license, and licenses, apart; wordings of public licenses and of the notices that name them.
+VARIANTS = frozenset("affero lesser library nc noncommercial sa sharealike nd noderivatives noderivs".split())
+NAMES = VARIANTS | frozenset("apache mit isc bsd clause gnu mozilla cc by creative attribution".split())
+_CREATIVE = {
+    "BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivatives",
+    "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+}
+_GNU = {
+    "GPL-2.0": ("General", "2"), "LGPL-2.1": ("Lesser General", "2.1"), "LGPL-3.0": ("Lesser General", "3"), "AGPL-3.0": ("Affero General", "3"),
+}
+_BSD_GRANT = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of "
+    "conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+    "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+    "distribution. "
+)
+_BSD_ADVERTISING = (
+    "3. All advertising materials mentioning features or use of this software must display the following acknowledgement: This "
+    "product includes software developed by the copyright holder. "
+)
+_BSD_ENDORSE = (
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived "
+    "from this software without specific prior written permission. "
+)
+_BSD_DISCLAIMER = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, '
+    "BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT "
+    "SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL "
+    "DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS "
+    "INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE "
+    "OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_ISC_GRANT = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
+_ISC_DISCLAIMER = (
+    'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED '
+    "WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR "
+    "CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, "
+    "NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+)
+_MIT_NOTICE = "subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. "
+
+
+def _gnu_header(kind: str, version: str, program: str = "program") -> str:
+    return (
+        f"This {program} is free software: you can redistribute it and/or modify it under the terms of the GNU {kind} Public License as "
+        f"published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version. This "
+        f"{program} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+        f"MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {kind} Public License for more details. You should have "
+        f"received a copy of the GNU {kind} Public License along with this {program}. If not, see"
+    )
+
 
-# Wordings of public licenses and of the notices that name them.
 TEMPLATES = {
     "Apache-2.0 notice": "Licensed under the Apache License, Version 2.0",
     "MIT notice": "Released under the MIT License",
@@ -54,16 +114,12 @@ TEMPLATES = {
         "ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
     ),
     "ISC": (
-        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
-        "provided that the above copyright notice and this permission notice appear in all copies."
-    ),
-    "BSD-2-Clause": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
-        "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of "
-        "conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
-        "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
-        "distribution."
+        f"{_ISC_GRANT}, provided that the above copyright notice and this permission notice appear in all copies. {_ISC_DISCLAIMER}"
     ),
+    "0BSD": f"{_ISC_GRANT}. {_ISC_DISCLAIMER}",
+    "BSD-2-Clause": _BSD_GRANT + _BSD_DISCLAIMER,
+    "BSD-3-Clause": f"{_BSD_GRANT}3. {_BSD_ENDORSE}{_BSD_DISCLAIMER}",
+    "BSD-4-Clause": f"{_BSD_GRANT}{_BSD_ADVERTISING}4. {_BSD_ENDORSE}{_BSD_DISCLAIMER}",
     "GPL header": (
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
         "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later "
@@ -71,7 +127,26 @@ TEMPLATES = {
         "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more "
         "details. You should have received a copy of the GNU General Public License along with this program. If not, see"
     ),
+    "Apache-1.1 notice": "Licensed under the Apache License, Version 1.1",
+    "MPL-2.0 notice": "Licensed under the Mozilla Public License, Version 2.0",
+    "MPL-2.0 header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with "
+        "this file, You can obtain one at"
+    ),
+    "ISC notice": "Released under the ISC License",
+    **{f"BSD-{n}-Clause notice": f"Released under the BSD {n}-Clause License" for n in (2, 3)},
+    **{f"{name} notice": f"This work is licensed under the GNU {kind} Public License, version {v}" for name, (kind, v) in _GNU.items()},
+    **{f"{name} header": _gnu_header(kind, v, "library" if v == "2.1" else "program") for name, (kind, v) in _GNU.items()},
 }
+for _short, _long in _CREATIVE.items():
+    TEMPLATES.setdefault(f"CC-{_short}-4.0 notice", f"This work is licensed under a Creative Commons {_long} 4.0 International License")
+    if _short == "BY-NC":
+        TEMPLATES["CC-BY-NC-4.0 long notice"] = f"This work is licensed under a Creative Commons {_long} 4.0 International License"
+    else:
+        TEMPLATES[f"CC-{_short}-4.0 short notice"] = f"Licensed under CC {_short} 4.0"
+    TEMPLATES[f"CC-{_short}-4.0 name"] = f"Creative Commons {_long} 4.0 International"
+TEMPLATES["MIT-0"] = TEMPLATES["MIT"].replace(_MIT_NOTICE, "")
+TEMPLATES |= {path.stem: path.read_text(encoding="utf-8") for path in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))}
 
 _word = re.compile(r"[^\W_]+(?:\.\d+)*")
 
@@ -125,39 +200,92 @@ def aligned(text: list[str], template: list[str]) -> list[tuple[int, int]]:
 class NoticeFinder:
     def __init__(self, templates: dict[str, str], least: float):
         self._least = least
-        self._templates = [(name, words, frozenset(words), Counter(words)) for name, text in templates.items() if (words := words_of(text))]
+        split = sorted(((name, words) for name, text in templates.items() if (words := words_of(text))), key=lambda t: -len(t[1]))
+        self._templates = [(name, words, frozenset(words), Counter(words)) for name, words in split]
 
     def __call__(self, text: str) -> Iterator[tuple[str, float, int, int]]:
         """(template, coverage, first word, word after the last) of every notice."""
         words = words_of(text)
         present = set(words)
+        found, won = [], []
         for name, template, vocabulary, often in self._templates:
             common = vocabulary & present
             if sum(often[w] for w in common) >= self._least * len(template):
-                yield from self._places(words, name, template, common)
+                free = np.ones(len(words), dtype=bool)
+                for score, _, first, end, _ in won:
+                    if score >= len(template):  # nothing that is still to come can be better there
+                        free[first:end] = False
+                places = self._places(words, name, template, common, often, free)
+                found += [((2 * coverage - 1) * len(template), *notice, coverage) for *notice, coverage in places]
+                won = self._best(found, len(words))
+        for _, name, first, end, coverage in won:
+            yield name, coverage, first, end
+
+    @staticmethod
+    def _best(found: list[tuple], size: int) -> list[tuple]:
+        taken, out = np.zeros(size, dtype=bool), []
+        for notice in sorted(found, key=lambda f: -f[0]):
+            if not taken[notice[2] : notice[3]].any():
+                taken[notice[2] : notice[3]] = True
+                out.append(notice)
+        return out
 
-    def _places(self, words: list[str], name: str, template: list[str], common: frozenset) -> Iterator[tuple[str, float, int, int]]:
+    def _told(self, words: list[str], template: list[str], pairs: list[tuple[int, int]]) -> bool:
+        """Whether the words that tell licenses apart are those of the template."""
+        at, of = {i for i, _ in pairs}, {j for _, j in pairs}
+        if len(template) <= NOTICE:
+            told = all(j in of for j, w in enumerate(template) if w in NAMES or w[0].isdigit())
+            return told and not any(words[i] in VARIANTS and i not in at for i in range(pairs[0][0], pairs[-1][0]))
+        if len(template) <= HEADER:
+            version = next((j for j in range(1, len(template)) if template[j - 1] in ("version", "v") and template[j][0].isdigit()), None)
+            if version is not None and version not in of:
+                return False
+        variants = [j in of for j, w in enumerate(template) if w in VARIANTS]
+        more = sum(words[i] in VARIANTS and i not in at for i in range(pairs[0][0], pairs[-1][0]))
+        return sum(variants) >= self._least * len(variants) and more <= (1 - self._least) * len(variants)
+
+    def _places(
+        self, words: list[str], name: str, template: list[str], common: frozenset, often: Counter, free: np.ndarray
+    ) -> Iterator[tuple[str, int, int, float]]:
         need, width = self._least * len(template), int(STRETCH * len(template)) + 1
         hits = np.fromiter((w in common for w in words), dtype=np.int64, count=len(words))
-        free = np.ones(len(words), dtype=bool)
+        possible = None
         while True:
             sums = np.concatenate([[0], np.cumsum(hits * free)])
-            starts = np.flatnonzero(hits * free)
+            starts = np.flatnonzero(hits * free if possible is None else hits * free * possible)
             inside = sums[np.minimum(starts + width, len(words))] - sums[starts]
             if not len(starts) or inside.max() < need:
                 return
+            if possible is None:
+                possible = self._shared(words, width, often) >= need
+                continue
             start = int(starts[int(np.argmax(inside))])
             # The fullest stretch may begin with stray words and end within the notice, so the alignment looks one template further.
             taken = [i for i in range(start, min(start + width + len(template), len(words))) if free[i]]
             pairs = self._within(width, [(taken[i], j) for i, j in aligned([words[i] for i in taken], template)])
             coverage = len(pairs) / len(template)
-            if coverage >= self._least:
-                first, last = pairs[0][0], pairs[-1][0]
-                free[first : last + 1] = False
-                yield name, coverage, first, last + 1
+            told = coverage >= self._least and self._told(words, template, pairs)
+            if told:
+                yield name, pairs[0][0], pairs[-1][0] + 1, coverage
+            if told or coverage >= self._least and len(template) > HEADER:  # a whole text of another license holds no notice of this one
+                free[pairs[0][0] : pairs[-1][0] + 1] = False
             else:
                 free[start] = False
 
+    @staticmethod
+    def _shared(words: list[str], width: int, often: Counter) -> np.ndarray:
+        """Of the stretch from each word on: its words that the template has, each as often as in the template at most."""
+        here, total, out = Counter(), 0, np.zeros(len(words), dtype=np.int64)
+        for i in range(len(words) - 1, -1, -1):
+            here[words[i]] += 1
+            total += here[words[i]] <= often[words[i]]
+            if i + width < len(words):
+                gone = words[i + width]
+                total -= here[gone] <= often[gone]
+                here[gone] -= 1
+            out[i] = total
+        return out
+
     @staticmethod
     def _within(width: int, pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
         """The most pairs in a row that a stretch of the text holds."""

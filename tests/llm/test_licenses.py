@@ -47,6 +47,28 @@ def test_found_within_text_and_several_times():
         assert [(f[1], f[2], f[3]) for f in sorted(found, key=lambda f: f[2])] == [(1.0, 50, 50 + n), (1.0, 100 + n, 100 + 2 * n)], name
 
 
+def best(text):
+    return [name for name, *_ in lic.NoticeFinder(lic.TEMPLATES, lic.LEAST_COVERAGE)(text)]
+
+
+def test_each_template_is_found_as_itself():
+    for name, text in lic.TEMPLATES.items():
+        assert best(f"w1 w2 {text} w3 w4") == [name]
+
+
+def test_words_that_tell_licenses_apart():
+    assert best("This work is licensed under the GNU General Public License, version 2") == ["GPL-2.0 notice"]
+    assert best("This work is licensed under the GNU Lesser General Public License, version 3") == ["LGPL-3.0 notice"]
+    assert best("Licensed under the Apache License, Version 1.1") == ["Apache-1.1 notice"]
+    assert best("Creative Commons Attribution-NonCommercial 4.0 International") == ["CC-BY-NC-4.0 name"]
+    for unknown in ("the GNU General Public License, version 5", "a Creative Commons Attribution 9.0 International License"):
+        assert best(f"This work is licensed under {unknown}") == []
+    assert best("Released under the Foo License") == best("Licensed under the Apache License, Version 7.0") == []
+    for variant in ("Affero", "Lesser"):
+        changed = lic.TEMPLATES["GPL-3.0"].replace("GNU General", f"GNU {variant} General")
+        assert "GPL-3.0" not in best(changed) and best(lic.TEMPLATES["GPL-3.0"]) == ["GPL-3.0"]
+
+
 def test_scattered_words_are_no_notice():
     words = lic.words_of(lic.TEMPLATES["MIT"])
     assert not list(lic.NoticeFinder(lic.TEMPLATES, 0.8)(" ".join(f"{w} x y z" for w in words)))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from codetide.llm import decontamination, extraction, licenses, neardup, packing, quality, sharding, sql, tokencount, toxicity, warc
+from codetide.llm import decontamination, extraction, licenses, merkle, neardup, packing, quality, sharding, sql, tokencount, toxicity, warc
 from codetide.llm.common import documents, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,11 +52,16 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_query(read_table(spark, sf_dir, "pages"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_toxicity, op3_near_duplicates, op4_html_text, op5_licenses,
         op6_sharding, op7_packing, op8_decontamination, op9_token_counts, op10_warc,
+        op13_merkle_manifest,
     )
 }
-ORACLES: dict[str, str] = {"op1_quality_rules": sql.OP1, "op10_warc": sql.OP10}
+ORACLES: dict[str, str] = {"op1_quality_rules": sql.OP1, "op10_warc": sql.OP10, "op13_merkle_manifest": sql.OP13}

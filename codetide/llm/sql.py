@@ -74,3 +74,63 @@ SELECT p.page_id, payload_bytes, payload_digest,
        CASE WHEN p.page_id < keeper THEN keeper END AS refers_to
 FROM p LEFT JOIN k ON p.body = k.body
 """
+
+
+_FIELDS = ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)")
+
+
+def _leaf(text: str) -> str:
+    parts = " || ".join(f"coalesce(CAST(strlen({x}) AS VARCHAR) || ':' || {x}, '-')" for x in (*_FIELDS, text))
+    return f"sha256({parts})"
+
+
+def _tree(name: str, base: str) -> str:
+    """Nodes of all levels, and the ways of the nodes of the lowest one."""
+    return f"""
+{name} AS (
+  {base}
+  UNION ALL
+  SELECT tree, lvl + 1, place // 3, (size + 2) // 3, sha256(string_agg(digest, '' ORDER BY place))
+  FROM {name} WHERE size > 1 GROUP BY tree, lvl, place // 3, size
+)"""
+
+
+def _walk(name: str, tree: str, base: str) -> str:
+    """From each leaf upwards: the digest that results from its replacement, and the siblings so far."""
+    return f"""
+{name} AS (
+  {base}
+  UNION ALL
+  SELECT w.rid, w.tree, w.lvl + 1, w.place // 3, any_value((n.size + 2) // 3),
+         sha256(string_agg(CASE WHEN n.place = w.place THEN w.folded ELSE n.digest END, '' ORDER BY n.place)),
+         any_value(w.proof) || coalesce(string_agg(n.digest, '' ORDER BY n.place) FILTER (n.place <> w.place), '')
+  FROM {name} w JOIN {tree} n ON n.tree = w.tree AND n.lvl = w.lvl AND n.place // 3 = w.place // 3
+  WHERE w.size > 1 GROUP BY w.rid, w.tree, w.lvl, w.place
+)"""
+
+
+#: The last bit of the decimal id's CRC-32, bit by bit.
+_CRC_ODD = """
+1 - list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+  lambda c, b: list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))) & 1
+"""
+
+OP13 = f"""
+WITH RECURSIVE leaf AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce('s' || source, '') AS source, {_leaf("text")} AS leaf,
+         CASE WHEN ({_CRC_ODD}) = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf("text")} END AS tampered
+  FROM documents
+),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY source) AS size
+  FROM leaf
+),{_tree("node", "SELECT source AS tree, 0 AS lvl, place, size, leaf AS digest FROM numbered")},
+subroot AS (
+  SELECT tree AS source, digest, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS size FROM node WHERE size = 1
+),{_tree("top", "SELECT '' AS tree, 0 AS lvl, place, size, digest FROM subroot")},{_walk("walk", "node",
+   "SELECT rid, source AS tree, 0 AS lvl, place, size, tampered AS folded, '' AS proof FROM numbered")},{_walk("upper", "top",
+   "SELECT w.rid, '' AS tree, 0 AS lvl, s.place, s.size, w.folded, w.proof FROM walk w JOIN subroot s ON w.tree = s.source WHERE w.size = 1")}
+SELECT doc_id, n.leaf, s.digest AS subroot, t.digest AS root, sha256(u.proof) AS proof_sha256, u.folded AS folded_root,
+       u.folded = t.digest AS verified
+FROM numbered n JOIN subroot s ON n.source = s.source JOIN upper u ON u.rid = n.rid AND u.size = 1, (SELECT digest FROM top WHERE size = 1) t
+"""

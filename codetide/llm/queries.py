@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from codetide.llm import decontamination, extraction, licenses, merkle, neardup, packing, quality, sharding, sketches, sql, tokencount, toxicity, warc
+from codetide.llm import decontamination, extraction, licenses, merkle, neardup, packing, quality, search, sharding, sketches, sql, tokencount, toxicity, warc
 from codetide.llm.common import documents, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_query(read_table(spark, sf_dir, "pages"))
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.ranked(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+
+
 def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketches.neighbour_query(documents(spark, sf_dir))
 
@@ -65,7 +69,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_quality_rules, op2_toxicity, op3_near_duplicates, op4_html_text, op5_licenses,
         op6_sharding, op7_packing, op8_decontamination, op9_token_counts, op10_warc,
-        op12_fingerprints, op13_merkle_manifest,
+        op11_search, op12_fingerprints, op13_merkle_manifest,
     )
 }
-ORACLES: dict[str, str] = {"op1_quality_rules": sql.OP1, "op10_warc": sql.OP10, "op13_merkle_manifest": sql.OP13}
+ORACLES: dict[str, str] = {"op1_quality_rules": sql.OP1, "op10_warc": sql.OP10, "op11_search": sql.OP11, "op13_merkle_manifest": sql.OP13}

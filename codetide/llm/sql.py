@@ -76,6 +76,27 @@ FROM p LEFT JOIN k ON p.body = k.body
 """
 
 
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+OP11 = f"""
+WITH doc AS (SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS t FROM documents),
+sized AS (SELECT rid, doc_id, t, len(t) AS n FROM doc WHERE len(t) > 0),
+total AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS all_terms FROM sized),
+tf AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(t) AS term FROM sized) GROUP BY rid, term),
+weight AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, total GROUP BY term
+),
+wanted AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+scored AS (
+  SELECT item_id, s.rid, any_value(doc_id) AS doc_id,
+         CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // all_terms)))) AS BIGINT) AS score
+  FROM wanted JOIN tf USING (term) JOIN weight USING (term) JOIN sized s USING (rid), total GROUP BY item_id, s.rid
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0
+QUALIFY rank <= 50
+"""
+
 _FIELDS = ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)")
 
 

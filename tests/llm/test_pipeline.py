@@ -16,7 +16,7 @@ FOLDER = "/root/testdata/sf0.01"
 def test_names():
     assert [n for n, _ in pipeline.STAGES] == ["toxicity", "quality_rules", "near_duplicates", "decontamination", "packing"]
     assert contract.queries()["pipeline"] is pipeline.run and pipeline.ORACLE_SQL is None
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in contract.queries() if q.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in contract.queries() if q.startswith("op")}
 
 
 @pytest.fixture(scope="module")

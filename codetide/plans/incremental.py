@@ -1,31 +1,66 @@
 """Loading archives as they arrive: land them, then rebuild the days that they touch.
 
-No state is kept but the tables and the list of files already read. An archive may arrive at any time, also days after its
-neighbours, and a load that died half way is repaired by the next one.
+An archive may arrive at any time, also days after its neighbours, and a load that died half way is repaired by the next one. What a
+load reads and writes follows what has arrived: the landed lines themselves, the ranges of the id index that their ids
+fall into, and the days of their events and of the copies that the index finds. Days are few, so they pass through the
+driver and prune the partitions of every table.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codetide.operators.cleaning import clean_events, dedup_events
-from codetide.operators.marts import hourly_mart, language_mart, repo_mart
-from codetide.plans.etl import dated
+from codetide.plans.etl import MARTS, dated
 from codetide.schemas import RAW_EVENT, TABLES
 from codetide.session import materialise, require_utc, scratch
 from codetide.sources.archives import land_lines
-from codetide.sources.tables import ensure_database, overwrite_partitions, overwrite_table
+from codetide.sources.tables import append_table, ensure_database, overwrite_partitions, overwrite_table
 from codetide.streaming.archives import arriving_lines
 
+#: Ids of one range of the index, where ids are numbers; ranges of the other ids, by hash.
+RANGE_IDS, HASH_RANGES = 1 << 22, 256
+#: Ranges that are named in a filter at most; beyond, the join alone finds them.
+MOST_RANGES = 10_000
+
 
 def parsed(landed: DataFrame) -> DataFrame:
     """Raw events of landed lines; a broken line gives a row of nulls, which the cleaning drops."""
     return landed.select(F.from_json("raw", RAW_EVENT).alias("event")).select("event.*")
 
 
+def id_range(event_id: str = "event_id") -> Column:
+    """Range of the index that an id belongs to.
+
+    Ids that are numbers grow with time, so the ids of a load fall into few ranges; others are spread by hash.
+    """
+    number = F.col(event_id).try_cast("bigint")
+    hashed = F.concat(F.lit("h"), F.pmod(F.xxhash64(event_id), F.lit(HASH_RANGES)).cast("string"))
+    return F.coalesce(F.floor(number / F.lit(RANGE_IDS)).cast("string"), hashed)
+
+
+def _days_of(events: DataFrame) -> DataFrame:
+    return events.select("event_id", "event_date", id_range().alias("id_range"))
+
+
+def build_index(spark: SparkSession, database: str) -> None:
+    """The index of all stored events, from two of their columns."""
+    overwrite_table(_days_of(spark.table(f"{database}.events_parsed")), f"{database}.event_days")
+
+
+def indexed_days(spark: SparkSession, database: str, ids: DataFrame) -> DataFrame:
+    """event_id, event_date of the given ids (stored): a superset of the days in which they are stored."""
+    index = spark.table(f"{database}.event_days")
+    wanted = ids.select("event_id", id_range().alias("id_range"))
+    ranges = [r.id_range for r in wanted.select("id_range").distinct().limit(MOST_RANGES + 1).collect()]
+    if len(ranges) <= MOST_RANGES:
+        index = index.where(F.col("id_range").isin(ranges))
+    return index.join(wanted, ["id_range", "event_id"], "left_semi").select("event_id", "event_date").distinct()
+
+
 def merge_arrivals(lines: DataFrame, database: str, as_of: dt.datetime | None = None) -> None:
     """Land lines (``value``, ``file_name``) of whole archives and bring events and marts up to date.
 
@@ -41,38 +76,40 @@ def merge_arrivals(lines: DataFrame, database: str, as_of: dt.datetime | None =
 
 def _merge(spark: SparkSession, landed: DataFrame, database: str, as_of: dt.datetime | None) -> None:
     overwrite_partitions(landed, f"{database}.events_raw")
-    arrived = landed.select("event_date", "source_file").distinct()
-    from_table = spark.table(f"{database}.events_raw").join(arrived, ["event_date", "source_file"], "left_semi")
-    fresh = materialise(dated(clean_events(parsed(from_table), as_of), "created_at"), "fresh")
+    fresh = materialise(dated(clean_events(parsed(landed), as_of), "created_at"), "fresh")
     if fresh.isEmpty():
         return
+    if spark.sql(f"SHOW PARTITIONS {database}.event_days").isEmpty():  # a new database, or one that was loaded as a whole
+        build_index(spark, database)
 
-    stored = spark.table(f"{database}.events_parsed")
     ids = fresh.select("event_id")
-    copies = materialise(stored.join(ids, "event_id", "left_semi").select(*fresh.columns), "copies")
-    touched = materialise(fresh.select("event_date").union(copies.select("event_date")).distinct(), "touched")
-    others = stored.join(touched, "event_date", "left_semi").join(ids, "event_id", "left_anti").select(*fresh.columns)
+    known = materialise(indexed_days(spark, database, ids), "known")
+    touched = fresh.select("event_date").union(known.select("event_date")).distinct()
+    days = sorted(r.event_date for r in touched.collect())  # at most as many as the calendar has
+    stored = spark.table(f"{database}.events_parsed").where(F.col("event_date").isin(days)).select(*fresh.columns)
+    copies = stored.join(ids, "event_id", "left_semi")
+    others = stored.join(ids, "event_id", "left_anti")
     events = [c for c in fresh.columns if c != "event_date"]
     kept = dated(dedup_events(fresh.unionByName(copies).select(*events)), "created_at")
-    days = materialise(others.unionByName(kept.select(*fresh.columns)), "days")
+    kept = materialise(kept.select(*fresh.columns), "kept")
+    rebuilt = materialise(others.unionByName(kept), "days")
 
-    _replace_days(spark, days, touched, f"{database}.events_parsed")
-    _replace_days(spark, dated(repo_mart(days), "hour"), touched, f"{database}.mart_repo_activity")
-    for name, build in (("mart_language_activity", language_mart), ("mart_hourly_activity", hourly_mart)):
-        table = f"{database}.{name}"
-        rest = spark.table(table).withColumn("day", F.to_date("hour")).join(
-            touched.withColumnRenamed("event_date", "day"), "day", "left_anti"
-        )
-        whole = rest.drop("day").unionByName(build(days).select(*rest.drop("day").columns))
-        overwrite_table(materialise(whole, name), table)
+    # The index first: a day too many in it costs reading that day, a day too few would lose a copy.
+    new = kept.select("event_id", "event_date").join(known, ["event_id", "event_date"], "left_anti")
+    append_table(_days_of(new), f"{database}.event_days")
+    _replace_days(spark, rebuilt, days, f"{database}.events_parsed")
+    for name, build in MARTS.items():
+        _replace_days(spark, dated(build(rebuilt), "hour"), days, f"{database}.{name}")
 
 
-def _replace_days(spark: SparkSession, rows: DataFrame, touched: DataFrame, table: str) -> None:
+def _replace_days(spark: SparkSession, rows: DataFrame, days: list[dt.date], table: str) -> None:
     """Overwrite the days with rows; a touched day that has none any more, its events having moved, is dropped."""
     stored = materialise(rows, "replacement")
     overwrite_partitions(stored, table)
-    for day in touched.join(stored.select("event_date"), "event_date", "left_anti").collect():
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (event_date = DATE'{day.event_date}')")
+    left = {r.event_date for r in stored.select("event_date").distinct().collect()}
+    for day in days:
+        if day not in left:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (event_date = DATE'{day}')")
 
 
 def load_arrivals(

@@ -219,11 +219,15 @@ def backfill_labels(table: str, rows: DataFrame) -> None:
     """
     spark = rows.sparkSession
     stored = spark.table(table)
-    closed = rows.where("label_available").select("snapshot_date").distinct()
-    due = stored.where("label is null").select("snapshot_date").distinct().join(closed, "snapshot_date", "left_semi")
-    due = materialise(due, "due")
-    known = backfilled_labels(stored.join(due, "snapshot_date", "left_semi").select(*stored.columns), rows)
-    overwrite_partitions(materialise(known, "backfilled"), table)
+    # Snapshots are as many as the history has strides; as literals they prune the partitions of the table.
+    closed = _dates(rows.where("label_available"))
+    due = _dates(stored.where(F.col("snapshot_date").isin(closed) & F.col("label").isNull()))
+    on_due = F.col("snapshot_date").isin(due)
+    overwrite_partitions(materialise(backfilled_labels(stored.where(on_due), rows.where(on_due)), "backfilled"), table)
+
+
+def _dates(rows: DataFrame) -> list[dt.date]:
+    return sorted(r.snapshot_date for r in rows.select("snapshot_date").distinct().collect())
 
 
 def fit_models(

@@ -54,10 +54,16 @@ TABLES: dict[str, TableContract] = {
         ("event_date",),
         ("event_type", "repo_id", "created_at", "event_id"),
     ),
+    # Days in which an event id is or was stored, so that a load finds its copies without reading the history.
+    "event_days": TableContract(
+        "event_id string, event_date date, id_range string",
+        ("id_range",),
+        ("event_id", "event_date"),
+    ),
     "mart_language_activity": TableContract(
         "hour timestamp, language string, total_events bigint, unique_actors bigint,"
-        " push_count bigint, star_count bigint, pr_count bigint, fork_count bigint",
-        (),
+        " push_count bigint, star_count bigint, pr_count bigint, fork_count bigint, event_date date",
+        ("event_date",),
         ("hour", "language"),
     ),
     "mart_repo_activity": TableContract(
@@ -69,8 +75,8 @@ TABLES: dict[str, TableContract] = {
     ),
     "mart_hourly_activity": TableContract(
         "hour timestamp, event_type string, event_count bigint, unique_users bigint,"
-        " unique_repos bigint",
-        (),
+        " unique_repos bigint, event_date date",
+        ("event_date",),
         ("hour", "event_type"),
     ),
     "ml_repo_predictions": TableContract(

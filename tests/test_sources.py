@@ -112,7 +112,7 @@ def test_sinks(spark, database):
     name = f"{database}.mart_hourly_activity"
     rows = spark.sql(
         "select timestamp'2025-03-01 10:00:00' hour, 'PushEvent' event_type, 5L event_count, 2L unique_users,"
-        " 3L unique_repos"
+        " 3L unique_repos, date'2025-03-01' event_date"
     )
     tables.overwrite_table(rows, name)
     tables.overwrite_table(rows.select(*reversed(rows.columns)), name)

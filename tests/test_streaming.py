@@ -1,9 +1,13 @@
 import gzip
 import json
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from codetide.plans import etl, incremental
+from codetide.plans.etl import MARTS
+from codetide.sources import tables as tables_
 from codetide.streaming import archives as stream
 from test_cleaning import NOW, event
 
@@ -81,6 +85,69 @@ def test_same_arrivals_again_and_only_touched_days(spark, load):
     assert {f for f in first if "2025-03-02" in f} <= files()
 
 
+def lines_of(spark, name, *events):
+    return spark.createDataFrame([(json.dumps(e), name) for e in events], "value string, file_name string")
+
+
+def spoil(spark, table, kept):
+    """Make all files of a table unreadable but those of a path that ``kept`` names."""
+    spoiled = 0
+    for file in spark.table(table).inputFiles():
+        if not any(k in file for k in kept):
+            Path(file.removeprefix("file://")).write_bytes(b"unreadable")
+            spoiled += 1
+    return spoiled
+
+
+def test_a_load_reads_the_touched_days_only(spark, load):
+    """With thirty days stored, a load of one more archive works though all other days are unreadable."""
+    run = lambda name, *events: incremental.merge_arrivals(lines_of(spark, name, *events), "arrivals", NOW)
+    tables_.ensure_database(spark, "arrivals")
+    number = lambda day, k: str(day * incremental.RANGE_IDS + k)
+    month = [event(number(d, k), at=f"2025-03-{d:02}T0{k}:10:00Z") for d in range(1, 31) for k in range(4)]
+    incremental.merge_arrivals(
+        spark.createDataFrame([(json.dumps(e), f"{e['created_at'][:10]}-1.json.gz") for e in month], "value string, file_name string"), "arrivals", NOW
+    )
+    days, ranges = ["2025-03-07", "2025-03-20"], ["id_range=7", "id_range=20"]
+    spoiled = {n: spoil(spark, f"arrivals.{n}", days) for n in ("events_parsed", "events_raw", *MARTS)}
+    assert min(k for n, k in spoiled.items() if n != "mart_language_activity") >= 28  # no language is known here
+    assert spoil(spark, "arrivals.event_days", [f"{r}/" for r in ranges]) >= 28
+    # A new event, a copy of a stored one of the same day, and an earlier copy of one stored on another day.
+    new = [event(number(7, 9), at="2025-03-07T09:00:00Z"), event(number(7, 2), at="2025-03-07T05:00:00Z"), event(number(20, 1), at="2025-03-07T08:00:00Z")]
+    run("2025-03-07-2.json.gz", *new)
+    for name in ("events_parsed", *MARTS):
+        spark.catalog.refreshTable(f"arrivals.{name}")
+    stored = spark.table("arrivals.events_parsed").where("event_date in (date'2025-03-07', date'2025-03-20')")
+    hours = {(r.event_id, str(r.created_at)) for r in stored.collect()}
+    want = {(e["id"], e["created_at"].replace("T", " ").removesuffix("Z")) for e in month if e["created_at"][8:10] in ("07", "20")}
+    want = (want - {(number(20, 1), "2025-03-20 01:10:00")}) | {(number(7, 9), "2025-03-07 09:00:00"), (number(20, 1), "2025-03-07 08:00:00")}
+    assert hours == want
+    mart = spark.table("arrivals.mart_hourly_activity").where("event_date in (date'2025-03-07', date'2025-03-20')")
+    assert mart.agg(F.sum("event_count")).first()[0] == len(want)
+
+
+def test_plans_name_the_days(spark, load, capsys):
+    inbox, run = load
+    put(inbox, "2025-03-02-9.json.gz", event("1", at="2025-03-02T09:10:00Z"))
+    run()
+    ids = spark.createDataFrame([("1",), ("x",)], "event_id string")
+    incremental.indexed_days(spark, "arrivals", ids).explain("formatted")
+    assert "PartitionFilters: [id_range#" in capsys.readouterr().out.replace("isnotnull(id_range#", "id_range#")
+
+
+def test_index_after_a_whole_load(spark, load, tmp_path):
+    """A whole load empties the index; the next arrivals build it and find copies of any day."""
+    inbox, run = load
+    put(inbox, "2025-03-02-9.json.gz", event("1", at="2025-03-02T09:10:00Z"), event("b", at="2025-03-02T09:10:00Z"))
+    run()
+    etl.run_etl(spark, str(inbox), "arrivals", NOW)
+    assert spark.table("arrivals.event_days").isEmpty()
+    put(inbox, "2025-03-01-9.json.gz", event("1", at="2025-03-01T09:00:00Z"), event("b", at="2025-03-04T09:00:00Z"), event("n", at="2025-03-04T09:00:00Z"))
+    assert run() == [("1", "2025-03-01 09:00:00"), ("b", "2025-03-02 09:10:00"), ("n", "2025-03-04 09:00:00")]
+    index = {(r.event_id, str(r.event_date)) for r in spark.table("arrivals.event_days").collect()}
+    assert {("1", "2025-03-01"), ("b", "2025-03-02"), ("n", "2025-03-04")} <= index and len(index) == 4
+
+
 def test_lines_are_landed_as_they_arrive(spark, tmp_path):
     inbox, out = tmp_path / "in", str(tmp_path / "out")
     inbox.mkdir()

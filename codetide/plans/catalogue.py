@@ -6,10 +6,10 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codetide.functions.time import in_period, instant
@@ -20,7 +20,7 @@ from codetide.operators.snapshots import (
     data_bounds,
     snapshot_calendar,
 )
-from codetide.plans import incremental, reports, risk_reports, training
+from codetide.plans import incremental, model_tables, reports, risk_reports, training
 from codetide.session import materialise, scratch_path
 from codetide.sources import archives, manifest
 from codetide.sources.clickstream import (
@@ -320,18 +320,31 @@ def scaled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _is_probability() -> Column:
-    return F.col("probability").between(0, 1)
+#: Settings with which the optimum is met to more digits than are compared.
+EXACT = {"tol": 1e-14}
+PROBABILITY_DECIMALS = 3
+
+
+def _fitted(spark: SparkSession, train: DataFrame, name: str) -> PipelineModel:
+    exact = {name: EXACT} if name == "logreg_baseline" else {}
+    return training.fit_models(materialise(train, "train"), {name: training.MODELS[name]}, **exact)[name]
 
 
 def _trained(name: str) -> Query:
-    """The test rows that a fitted model has scored, each with a probability."""
+    """The test rows that a fitted model has scored, and whether the model's rows alone give the same probabilities."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         train, test = training.training_rows(materialise(dataset_train(spark, sf_dir), "labelled"))
-        fitted = training.fit_models(materialise(train, "train"), {name: training.MODELS[name]})
-        return training.score(fitted[name], test).select(
-            "snapshot_date", "repo_id", "abandoned", F.lit(name).alias("model"), _is_probability().alias("scored")
+        model, key = _fitted(spark, train, name), ["snapshot_date", "repo_id"]
+        scored = materialise(training.score(model, test).select(*key, "abandoned", "probability"), "scored")
+        by_rows = model_tables.probability_by_rows(spark, model, test, *key).withColumnRenamed("probability", "by_rows")
+        if name == "logreg_baseline":
+            value = F.round("probability", PROBABILITY_DECIMALS).alias("probability")
+        else:
+            value = F.col("probability").between(0, 1).alias("scored")
+        agree = F.abs(F.col("probability") - F.col("by_rows")) < 1e-9
+        return scored.join(by_rows, key, "left").select(
+            *key, "abandoned", F.lit(name).alias("model"), value, F.coalesce(agree, F.lit(False)).alias("rows_agree")
         )
 
     return query
@@ -447,16 +460,13 @@ def predictions_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train the baseline, score the open snapshots, write them by date and read them back."""
     train, predict = features.build_dataset(_stored_clean(spark, sf_dir), WINDOWS)
     rows, _ = training.training_rows(materialise(train, "labelled"))
-    model = training.fit_models(
-        materialise(rows, "train"), {"logreg_baseline": training.logistic_regression}
-    )["logreg_baseline"]
+    model = _fitted(spark, rows, "logreg_baseline")
     out = training.predictions(training.score(model, predict), "logreg_baseline", 0.5, LAST_RUN)
     path = scratch_path(spark, "export")
     out.write.partitionBy("snapshot_date").parquet(path)
-    agrees = F.col("prediction") == (F.col("probability") >= 0.5).cast("int")
     return spark.read.parquet(path).select(
         "snapshot_date", "repo_id", "repo_name", "language", "label", "model", "trained_at",
-        _is_probability().alias("scored"), agrees.alias("prediction_agrees"),
+        F.round("probability", PROBABILITY_DECIMALS).alias("probability"), "prediction",
     )
 
 

@@ -30,7 +30,8 @@ from codetide.operators.split import (
     with_split,
     with_validation,
 )
-from codetide.session import materialise, require_utc, scratch, scratch_path
+from codetide.plans.model_tables import cut_to, model_rows
+from codetide.session import ensure_checkpoints, materialise, require_utc, scratch
 from codetide.sources.tables import append_table, overwrite_partitions
 
 LABEL, WEIGHT, FEATURES = "abandoned", "class_weight", "features"
@@ -43,8 +44,11 @@ BOOST_ITERATIONS, BOOST_RATE, BOOST_DEPTH, BOOST_PATIENCE, BOOST_BINS = 500, 0.0
 # The library's limit; the size of a leaf ends the growth before.
 FOREST_DEPTH = 30
 
-# Boosting is fitted with so many rounds at first, and with twice as many while the patience lasts.
-BOOST_FIRST = 64
+# Boosting is fitted with so many rounds at first, which mostly shows the least loss and the patience after it; else with all.
+BOOST_FIRST = 128
+
+#: Rows of a task when trees are fitted: many for large sets; for small ones enough to keep the cores busy.
+ROWS_PER_TASK, FEWEST_ROWS = 100_000, 500
 
 
 def feature_stages(languages: list[str]) -> list:
@@ -85,17 +89,29 @@ def logistic_regression(train: DataFrame, languages: list[str], **params) -> Pip
     )
 
 
+def _dealt(rows: DataFrame, fewest: int = FEWEST_ROWS) -> DataFrame:
+    """Stored rows in as many parts as their number is worth: every level of a tree is a job over all of them."""
+    n = rows.count()
+    parts = max(-(-n // ROWS_PER_TASK), min(rows.sparkSession.sparkContext.defaultParallelism, -(-n // fewest)), 1)
+    return materialise(rows.repartition(parts, "repo_id", "snapshot_date"), "fit_rows")
+
+
 def random_forest(train: DataFrame, languages: list[str], **params) -> PipelineModel:
+    """The node that a row has reached in each tree is kept with the row, so a level does not walk down all trees again."""
     settings = {
         "numTrees": FOREST_TREES,
         "minInstancesPerNode": FOREST_MIN_LEAF,
         "maxDepth": FOREST_DEPTH,
         "maxMemoryInMB": 1024,
+        "cacheNodeIds": True,
         "seed": SPLIT_SEED,
         **params,
     }
+    ensure_checkpoints(train.sparkSession)
+    rows = _dealt(with_class_weight(train))
+    stages = Pipeline(stages=feature_stages(languages)).fit(rows)
     model = RandomForestClassifier(featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT, **settings)
-    return Pipeline(stages=[*feature_stages(languages), model]).fit(with_class_weight(train))
+    return PipelineModel([*stages.stages, model.fit(stages.transform(rows))])
 
 
 def rounds_kept(losses: list[float], patience: int) -> tuple[int, bool]:
@@ -112,8 +128,9 @@ def rounds_kept(losses: list[float], patience: int) -> tuple[int, bool]:
 def boosted_trees(train: DataFrame, languages: list[str], **params) -> PipelineModel:
     """Boosting on the rows that are not ``is_validation``, ended by the loss on those that are.
 
-    A longer run with the same seed begins with the trees of a shorter one, so runs of growing length show where the loss was least
-    before ``patience`` rounds without improvement; the model is fitted with as many rounds.
+    A longer run with the same seed begins with the trees of a shorter one, so the model is one that was cut to the rounds up to the least loss
+    before ``patience`` rounds without improvement. Nothing is fitted again for that; where the first ``BOOST_FIRST`` rounds do not show it, all are
+    fitted.
     """
     most = params.pop("maxIter", BOOST_ITERATIONS)
     patience = params.pop("patience", BOOST_PATIENCE)
@@ -126,12 +143,11 @@ def boosted_trees(train: DataFrame, languages: list[str], **params) -> PipelineM
         **params,
     }
     spark = train.sparkSession
-    spark.sparkContext.setCheckpointDir(scratch_path(spark, "boosting"))  # cuts the lineage of many rounds
+    ensure_checkpoints(spark)
     fitted = train.where(~F.col("is_validation"))
     weights = class_weights(fitted).drop("class_rows")
     stages = Pipeline(stages=feature_stages(languages)).fit(train)
-    weighted = stages.transform(train.join(F.broadcast(weights), LABEL)).select(FEATURES, LABEL, WEIGHT, "is_validation")
-    weighted = materialise(weighted, "boosting_rows")
+    weighted = stages.transform(_dealt(train.join(F.broadcast(weights), LABEL), 4 * FEWEST_ROWS)).select(FEATURES, LABEL, WEIGHT, "is_validation")
     own, held = weighted.where(~F.col("is_validation")), weighted.where(F.col("is_validation"))
 
     def fit(rounds: int):
@@ -139,13 +155,12 @@ def boosted_trees(train: DataFrame, languages: list[str], **params) -> PipelineM
 
     if held.isEmpty():
         return PipelineModel([*stages.stages, fit(most)])
-    rounds = min(BOOST_FIRST, most)
-    while True:
+    for rounds in sorted({min(max(BOOST_FIRST, 2 * patience), most), most}):
         model = fit(rounds)
         keep, over = rounds_kept(model.evaluateEachIteration(held), patience)
-        if over or rounds >= most:
-            return PipelineModel([*stages.stages, model if keep == rounds else fit(keep)])
-        rounds = min(2 * rounds, most)
+        if over:
+            break
+    return PipelineModel([*stages.stages, model if keep == rounds else cut_to(spark, model, keep)])
 
 
 Fit = Callable[..., PipelineModel]
@@ -254,7 +269,7 @@ def run_training(
 
     Returns metrics history rows and predictions. The feature rows and the test scores are
     written to the shared folder once, since every model and metric reads them again; what is not a result is removed at the end.
-    The report folder gets the metrics, the feature columns and the best model's ROC points. Labels that have become known are
+    The report folder gets the metrics, the feature columns, the best model's ROC points and the model itself as rows. Labels that have become known are
     written into the stored predictions.
     """
     spark = events.sparkSession
@@ -303,6 +318,7 @@ def _training(
     if report_path:
         columns = F.array(*[F.lit(c) for c in NUMERIC_FEATURES], *[F.lit(f"language={x}") for x in language_list(train)], F.lit("language=other"))
         metrics.withColumn("feature_columns", columns).write.mode("overwrite").json(f"{report_path}/metrics")
+        model_rows(spark, fitted[best.model]).write.mode("overwrite").json(f"{report_path}/model")
         points = roc_curve(score_curve(scores[best.model])).withColumn("model", F.lit(best.model))
         points.write.mode("overwrite").json(f"{report_path}/roc")
     if metrics_table:

@@ -81,6 +81,12 @@ def _stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ensure_checkpoints(spark: SparkSession) -> None:
+    """Library code that cuts its own lineage needs a checkpoint folder: the session's, or a lasting one in the shared folder."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(f"{shared_dir(spark)}/codetide/checkpoints")
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder in whatever store it is."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()

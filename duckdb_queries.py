@@ -300,21 +300,86 @@ def scaled(column: str) -> str:
     )
 
 
+IS_TEST = "CAST('0x' || substr(md5('42:' || repo_id), 1, 8) AS BIGINT) % 100 < 25"
+TERMS = len(NUMERIC) + 16
+STEPS = 15
+
+
 def scored_test_rows(model: str) -> str:
-    """What a fitted model has to score; the values of its scores are no matter for SQL."""
+    """What a fitted ensemble has to score, and that its rows give the library's probabilities; SQL cannot fit it again."""
     return query("train", f"""
-  SELECT snapshot_date, repo_id, abandoned, '{model}' AS model, true AS scored FROM train
-  WHERE CAST('0x' || substr(md5('42:' || repo_id), 1, 8) AS BIGINT) % 100 < 25""")
+  SELECT snapshot_date, repo_id, abandoned, '{model}' AS model, true AS scored, true AS rows_agree FROM train WHERE {IS_TEST}""")
+
+
+def logistic(select: str) -> str:
+    """Probabilities of the logistic model, fitted here by Newton's method: its optimum is unique.
+
+    A step solves the augmented matrix of second derivatives and slopes by elimination, pivot by pivot.
+    """
+    one_hot = ", ".join(f"CAST(coalesce(place = {i + 1}, false) AS DOUBLE)" for i in range(15))
+    each = lambda f: ", ".join(f"{f}(raw[{i + 1}])" for i in range(TERMS))
+    pivots = ", ".join(f"[[{i + 1}.0::DOUBLE]]" for i in range(TERMS + 1))
+    return query("rows train", f"""
+, fit_language AS MATERIALIZED (
+  SELECT language, row_number() OVER (ORDER BY count(*) DESC, language) AS place
+  FROM train WHERE NOT ({IS_TEST}) GROUP BY language QUALIFY place <= 15
+),
+placed AS MATERIALIZED (
+  SELECT r.*, label_available AND NOT ({IS_TEST}) AS is_fit,
+         [{", ".join(f"CAST({c} AS DOUBLE)" for c in NUMERIC)}, {one_hot}, CAST(place IS NULL AS DOUBLE)] AS raw
+  FROM rows r LEFT JOIN fit_language USING (language)
+),
+spread AS MATERIALIZED (SELECT [{each("avg")}] AS mean, [{each("stddev_pop")}] AS deviation FROM placed WHERE is_fit),
+class AS MATERIALIZED (
+  SELECT abandoned, sum(count(*)) OVER ()::DOUBLE / (count(*) OVER () * count(*)) AS w FROM placed WHERE is_fit GROUP BY abandoned
+),
+vector AS MATERIALIZED (
+  SELECT p.*, w, list_prepend(1.0::DOUBLE, list_transform(list_zip(raw, mean, deviation),
+           lambda z: CASE WHEN z[3] = 0 THEN 0.0::DOUBLE ELSE (z[1] - z[2]) / z[3] END)) AS x
+  FROM placed p LEFT JOIN class USING (abandoned), spread
+),
+newton AS (
+  SELECT 0 AS k, list_transform(range({TERMS + 1}), lambda _: 0.0::DOUBLE) AS beta
+  UNION ALL
+  SELECT k + 1, list_transform(list_zip(beta, list_transform(list_reduce(list_prepend(m, [{pivots}]),
+           lambda m, q: list_transform(m, lambda r, i: CASE WHEN i = q[1][1] THEN list_transform([r[i]], lambda d: list_transform(r, lambda v: v / d))[1]
+             ELSE list_transform([r[CAST(q[1][1] AS INTEGER)] / m[CAST(q[1][1] AS INTEGER)][CAST(q[1][1] AS INTEGER)]],
+               lambda f: list_transform(list_zip(r, m[CAST(q[1][1] AS INTEGER)]), lambda z: z[1] - f * z[2]))[1] END)),
+           lambda r: r[{TERMS + 2}])), lambda z: z[1] - z[2])
+  FROM (
+    SELECT k, any_value(beta) AS beta, list(line ORDER BY i) AS m
+    FROM (
+      SELECT k, i, any_value(beta) AS beta,
+             list_append(list(h + CASE WHEN i = j AND i > 1 THEN 1 ELSE 0 END ORDER BY j), any_value(g) + CASE WHEN i > 1 THEN any_value(beta)[i] ELSE 0 END) AS line
+      FROM (
+        SELECT k, i, j, any_value(beta) AS beta, sum(w * p * (1 - p) * x[i] * x[j]) AS h, sum(w * (p - abandoned) * x[i]) AS g
+        FROM (
+          SELECT *, unnest(range(1, {TERMS + 2})) AS j
+          FROM (
+            SELECT n.k, n.beta, v.x, v.w, v.abandoned, 1 / (1 + exp(-list_dot_product(v.x, n.beta))) AS p, unnest(range(1, {TERMS + 2})) AS i
+            FROM newton n, vector v WHERE n.k < {STEPS} AND v.is_fit
+          )
+        ) GROUP BY k, i, j
+      ) GROUP BY k, i
+    ) GROUP BY k
+  )
+),
+judged AS (
+  SELECT v.*, 1 / (1 + exp(-list_dot_product(x, beta))) AS probability FROM vector v, newton WHERE k = {STEPS}
+)
+{select}""").replace("WITH ", "WITH RECURSIVE ", 1)
 
 
 ORACLES: dict[str, str] = {
-    "model_logreg": scored_test_rows("logreg_baseline"),
+    "model_logreg": logistic(f"""
+  SELECT snapshot_date, repo_id, abandoned, 'logreg_baseline' AS model, round(probability, 3) AS probability, true AS rows_agree
+  FROM judged WHERE label_available AND {IS_TEST}"""),
     "model_rf": scored_test_rows("random_forest"),
     "model_gbt": scored_test_rows("boosted_trees"),
-    "predictions_export": query("rows", f"""
+    "predictions_export": logistic(f"""
   SELECT snapshot_date, repo_id, repo_name, language, CAST(NULL AS INTEGER) AS label, 'logreg_baseline' AS model,
-         TIMESTAMP '{LAST_RUN}' AS trained_at, true AS scored, true AS prediction_agrees
-  FROM rows WHERE NOT label_available"""),
+         TIMESTAMP '{LAST_RUN}' AS trained_at, round(probability, 3) AS probability, CAST(probability >= 0.5 AS INTEGER) AS prediction
+  FROM judged WHERE NOT label_available"""),
     "raw_scan": query("raw", """
   SELECT id, type, actor_id, 'dev' || actor_id AS actor_login, repo_id, repo_name, action, size,
          CASE WHEN type = 'ForkEvent' THEN lang END AS fork_language,

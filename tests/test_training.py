@@ -5,11 +5,11 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from codetide.operators import split
+from codetide.operators import features, split
 from codetide.operators.features import build_dataset
 from codetide.operators.snapshots import Windows
-from codetide.plans import training
-from codetide.session import materialise, shared_dir
+from codetide.plans import model_tables, training
+from codetide.session import ensure_checkpoints, materialise, scratch, shared_dir
 from codetide.sources import tables
 
 RUN = dt.datetime(2024, 2, 8)
@@ -68,18 +68,68 @@ def test_patience():
     assert training.rounds_kept([1.0], 50) == (1, False)
 
 
-def test_boosting_goes_on_past_a_noisy_round_and_stops(labelled):
-    """A rule of two columns needs many small trees; noise alone ends the growth early."""
-    rule = ((F.col("hours_since_last") > 100) != (F.col("events_total") > 4)).cast("int")
-    flipped = F.when(F.pmod(F.xxhash64("repo_id", "snapshot_date"), F.lit(10)) == 0, 1 - rule).otherwise(rule)
-    train, test = training.training_rows(labelled.withColumn("abandoned", flipped))
+@pytest.fixture(scope="module")
+def many(spark):
+    """6,000 rows of 3,000 repositories with features drawn by hash, for rules that need data to show."""
+    draw = lambda salt, n: F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(n))
+    numbers = {c: draw(c, 200).cast("bigint") for c in features.NUMERIC_FEATURES}
+    rows = spark.range(6000).withColumns({**numbers, "language": F.lit("Go")}).withColumns(
+        {"repo_id": F.col("id") % 3000, "snapshot_date": F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("id") / 3000).cast("int") * 7)}
+    )
+    return materialise(rows, "many")
+
+
+def trees_of(model):
+    return [t.toDebugString.split("\n")[1:] for t in model.stages[-1].trees]
+
+
+def test_boosting_goes_on_past_a_noisy_round_and_stops(many):
+    """A rule of six columns needs many small trees; noise alone ends the growth early."""
+    six = sum((F.col(c) for c in features.NUMERIC_FEATURES[1:6]), F.col(features.NUMERIC_FEATURES[0]))
+    rule = (six > 600).cast("int")
+    flipped = F.when(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(10)) == 0, 1 - rule).otherwise(rule)
     settings = {"maxIter": 30, "stepSize": 0.2, "maxDepth": 2, "patience": 10}
+    train, _ = training.training_rows(many.withColumn("abandoned", flipped))
     model = training.boosted_trees(materialise(train, "train"), ["Go"], **settings)
-    assert model.stages[-1].getNumTrees > 3
-    noise = F.pmod(F.xxhash64("repo_id", "snapshot_date", F.lit(3)), F.lit(2)).cast("int")
-    train, _ = training.training_rows(labelled.withColumn("abandoned", noise))
-    model = training.boosted_trees(materialise(train, "train"), ["Go"], **settings | {"patience": 3, "maxDepth": 5})
-    assert model.stages[-1].getNumTrees < 30
+    assert model.stages[-1].getNumTrees > 15
+    noise = F.pmod(F.xxhash64("id", F.lit(3)), F.lit(2)).cast("int")
+    train, _ = training.training_rows(many.withColumn("abandoned", noise))
+    noisy = training.boosted_trees(materialise(train, "train"), ["Go"], **settings | {"patience": 3, "maxDepth": 5})
+    assert noisy.stages[-1].getNumTrees < 15
+
+
+def test_a_cut_ensemble_is_a_shorter_fit(spark, many):
+    noise = F.pmod(F.xxhash64("id", F.lit(3)), F.lit(3)).cast("boolean").cast("int")
+    train = materialise(training.training_rows(many.withColumn("abandoned", noise))[0].where("not is_validation"), "train")
+    settings = {"stepSize": 0.2, "maxDepth": 3}
+    long, short = (training.boosted_trees(train, ["Go"], maxIter=n, **settings) for n in (7, 4))
+    cut = PipelineModel([*long.stages[:-1], model_tables.cut_to(spark, long.stages[-1], 4)])
+    assert trees_of(cut) == trees_of(short) and cut.stages[-1].treeWeights == short.stages[-1].treeWeights
+    assert training.score(cut, train).select("id", "probability").exceptAll(training.score(short, train).select("id", "probability")).count() == 0
+    assert cut.stages[-1].getMaxIter() == 4
+
+
+def test_rows_of_a_model_give_its_probabilities(spark, many):
+    """Also with languages that are not listed, and from the rows alone."""
+    rule = ((F.col("hours_since_last") > 100) != (F.col("language") == "Rust")).cast("int")
+    mixed = many.withColumn("language", F.expr("element_at(array('Go', 'Rust', 'Zig', null), int(1 + id % 4))")).withColumn("abandoned", rule)
+    train, test = training.training_rows(mixed)
+    for name, model in training.fit_models(materialise(train, "train"), **SMALL).items():
+        test = training.prepared(test)
+        by_rows = model_tables.probability_by_rows(spark, model, test, "id").withColumnRenamed("probability", "by_rows")
+        found = training.score(model, test).join(by_rows, "id").selectExpr("count(*) n", "max(abs(probability - by_rows)) apart", "stddev(by_rows) s").first()
+        assert found.n == test.count() and found.apart < 1e-12 and found.s > 0.01, name
+        rows = model_tables.model_rows(spark, model)
+        assert rows.where("feature like 'language=%'").count() > 0 and not set(rows.columns) & {"nodeData", "place"}
+
+
+def test_checkpoints_outlive_a_run(spark):
+    ensure_checkpoints(spark)
+    folder = spark.sparkContext.getCheckpointDir()
+    with scratch(spark):
+        ensure_checkpoints(spark)
+    assert spark.sparkContext.getCheckpointDir() == folder and "/run" not in folder
+    assert Path(folder.removeprefix("file:")).is_dir()
 
 
 def test_validation_rows_are_not_fitted(labelled):

@@ -21,15 +21,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codetide.llm.common import map_text, materialise, whole_text
+from codetide.llm.common import Remembered, map_text, materialise, whole_text
 
 SEQUENCE = 2048
 #: Pieces a task packs together; some 200 open gaps are spread over as many.
 CHUNK = 3000
 #: Sequences filled less than this are packed again with those of other chunks.
 WELL_FILLED = 0.98
-#: Chunks of words whose ids a worker remembers.
-REMEMBERED = 400_000
+#: New words after which a worker forgets those not met lately.
+REMEMBERED = 150_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids array<long>"
 
@@ -60,16 +60,7 @@ class ByteIds:
             ranks = {base64.b64decode(k): int(v) for k, v in map(bytes.split, lines)}
         encoding = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self._encode = encoding.encode_ordinary
-        outer = self
-
-        class After(dict):
-            def __missing__(self, word: str) -> bytes:
-                if len(self) >= REMEMBERED:
-                    self.clear()
-                found = self[word] = outer.whole(f" {word}")
-                return found
-
-        self._after = After()
+        self._after = Remembered(lambda word: self.whole(f" {word}"), REMEMBERED)
 
     def whole(self, text: str) -> bytes:
         return array("I", self._encode(text)).tobytes()

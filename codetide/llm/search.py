@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from codetide.llm.common import materialise, whole_text
+from codetide.llm.common import in_batches, item_blocks, materialise, whole_text
 
 TOP = 50
 ITEMS = 2048
@@ -247,7 +247,7 @@ def term_vectors(docs: DataFrame, items: Items) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=VECTORS)
 
-    return docs.select("doc_id", whole_text().alias("text")).mapInArrow(run, "doc_id long, n long, terms array<int>, tfs array<int>")
+    return in_batches(docs.select("doc_id", whole_text().alias("text")), run, "doc_id long, n long, terms array<int>, tfs array<int>")
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
@@ -281,24 +281,14 @@ def best_documents(vectors: DataFrame, ranking: Ranking, n_documents: int, all_t
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema=FOUND)
 
-    return vectors.mapInArrow(run, "item_id long, doc_id long, score long")
-
-
-def item_blocks(benchmark: DataFrame, size: int) -> Iterator[list[tuple]]:
-    """Rows of about ``size`` items at a time, by the hash of the id."""
-    items = benchmark.select("item_id", whole_text().alias("text")).distinct()
-    blocks = max(1, -(-items.select("item_id").distinct().count() // size))
-    for k in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).collect()
-        if rows:
-            yield sorted((tuple(r) for r in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    return in_batches(vectors, run, "item_id long, doc_id long, score long")
 
 
 def ranked(docs: DataFrame, benchmark: DataFrame, top: int = TOP, size: int = ITEMS, block: int = BLOCK, leaf: int = LEAF) -> DataFrame:
     """item_id, rank, doc_id, score of the ``top`` documents of each item."""
     found = []
-    for rows in item_blocks(benchmark, size):
-        items = Items(rows)
+    for rows in item_blocks(benchmark.select("item_id", whole_text().alias("text")).distinct(), size, "item_id"):
+        items = Items(sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1])))
         vectors = materialise(term_vectors(docs, items), "vectors")
         n_documents, all_terms = vectors.agg(F.count(F.lit(1)), F.sum("n")).first()
         if not n_documents or not items.numbers:

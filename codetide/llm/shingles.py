@@ -5,20 +5,13 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-SHINGLE = 5
-#: Words whose number a worker remembers.
-REMEMBERED = 400_000
-
-
-class _WordNumbers(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
-        return found
+from codetide.llm.common import Remembered
 
+SHINGLE = 5
+#: New words after which a worker forgets those not met lately.
+REMEMBERED = 100_000
 
-_numbers = _WordNumbers()
+_numbers = Remembered(xxhash.xxh3_64_intdigest, REMEMBERED)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

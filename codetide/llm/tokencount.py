@@ -21,13 +21,13 @@ from collections.abc import Iterable, Iterator
 import ahocorasick
 from pyspark.sql import DataFrame
 
-from codetide.llm.common import map_text, whole_text
+from codetide.llm.common import Remembered, map_text, whole_text
 
 # The mark of a space, the penalty of an unknown character.
 SPACE_MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-#: Words whose count a worker remembers.
-REMEMBERED = 400_000
+#: New words after which a worker forgets those not met lately.
+REMEMBERED = 150_000
 
 
 def vocabulary_path() -> str:
@@ -61,16 +61,7 @@ class UnigramCounter:
         self._unknown = min((s for _, s in vocabulary), default=0.0) - UNKNOWN_PENALTY
         self._bytes = bytes_for_unknown
         self._by_word = not any(SPACE_MARK in p.lstrip(SPACE_MARK) for p, _ in vocabulary)
-        outer = self
-
-        class Counts(dict):
-            def __missing__(self, word: str) -> int:
-                if len(self) >= REMEMBERED:
-                    self.clear()
-                found = self[word] = outer.best(SPACE_MARK + word)
-                return found
-
-        self._counts = Counts()
+        self._counts = Remembered(lambda word: self.best(SPACE_MARK + word), REMEMBERED)
 
     def best(self, marked: str) -> int:
         """Pieces of the best path over a text whose spaces are marks."""

@@ -1,18 +1,17 @@
 """Quality rules from one text and from the lines that a host's documents share.
 
 Everything here is built-in expressions. A text is read once; its words, windows and lines are counted inside the row.
-Only line hashes are shuffled: distinct (host, line, text) first, which spreads a line that every document bears,
-then counts per (host, line).
+Only line hashes are shuffled: a document names each of its lines once, and counts per (host, line) are combined in the tasks first, so a line
+that every document of a host bears costs a row per task.
 
-A line is above the limits of its host when more than ``MIN_DOCUMENTS`` different texts of the host bear it and these are
-more than ``MAX_SHARE`` of the host's different texts. It is removed from all texts but the first that bears it (least
-doc_id), so that a passage is never lost as a whole. A document is depleted when less than ``LEAST_LEFT`` of
-the characters of its lines is left.
+A line is above the limit when more than ``MOST_DOCUMENTS`` documents of the host bear it, however large the host is. It is removed from all documents but the
+first that bears it (least doc_id), so that a passage is never lost as a whole. A document is depleted when less than
+``LEAST_LEFT`` of the characters of its lines is left. Copies are documents like others: of many in one host the first is kept.
 
-Lines are compared lower-cased, with each run of white space as one space, by 64-bit hash; texts likewise.
+Lines are compared lower-cased, with each run of white space as one space, by 64-bit hash.
 
-Defined cases: a null text is an empty one and fails the base rules; a null source is the host ''; repeated rows get a row each and
-count as one text; lines without a word are no lines; other columns are ignored; no rows give no rows.
+Defined cases: a null text is an empty one and fails the base rules; a null source is the host ''; repeated rows get a row each, count as a document each and
+are judged alike; a null doc_id is first only where there is no other; lines without a word are no lines; other columns are ignored; no rows give no rows.
 """
 
 from __future__ import annotations
@@ -30,8 +29,7 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 
-MIN_DOCUMENTS = 10
-MAX_SHARE = 0.02
+MOST_DOCUMENTS = 10
 LEAST_LEFT = 0.3
 
 _POSITION_BITS = 30
@@ -131,33 +129,22 @@ def base_statistics(docs: DataFrame, *carried: str) -> DataFrame:
     )
 
 
-def lines_above_limits(texts: DataFrame, min_documents: int, max_share: float) -> DataFrame:
-    """host, line, first_text of the lines to remove, from rows of host, text_hash, doc_id and lines."""
-    host_size = texts.groupBy("host").agg(F.count_distinct("text_hash").alias("host_texts"))
-    bearers = (
-        texts.select("host", "text_hash", "doc_id", F.explode("lines.line").alias("line"))
-        .groupBy("host", "line", "text_hash").agg(F.min("doc_id").alias("doc_id"))
-        .groupBy("host", "line").agg(F.count(F.lit(1)).alias("bearers"), F.min(F.struct("doc_id", "text_hash")).alias("first"))
-        .where(F.col("bearers") > min_documents)
-    )
-    return (
-        bearers.join(host_size, "host")
-        .where(F.col("bearers") > max_share * F.col("host_texts"))
-        .select("host", "line", F.col("first.text_hash").alias("first_text"))
-    )
+def lines_above_limit(texts: DataFrame, most_documents: int) -> DataFrame:
+    """host, line, first_id of the lines to remove, from rows of host, doc_id and lines."""
+    borne = texts.select("host", "doc_id", F.explode(F.array_distinct("lines.line")).alias("line"))
+    bearers = borne.groupBy("host", "line").agg(F.count(F.lit(1)).alias("bearers"), F.min("doc_id").alias("first_id"))
+    return bearers.where(F.col("bearers") > most_documents).select("host", "line", "first_id", F.lit(True).alias("above"))
 
 
-def quality_of(
-    docs: DataFrame, min_documents: int = MIN_DOCUMENTS, max_share: float = MAX_SHARE, least_left: float = LEAST_LEFT
-) -> DataFrame:
+def quality_of(docs: DataFrame, most_documents: int = MOST_DOCUMENTS, least_left: float = LEAST_LEFT) -> DataFrame:
     """One row per document: host, text_hash, the base counts, line_chars, removed_chars, base_failed, depleted, kept."""
     hosted = docs.withColumn("host", F.coalesce("source", F.lit("")))
     stored = materialise(base_statistics(hosted, "host").withColumn("row", F.monotonically_increasing_id()), "statistics")
-    above = materialise(lines_above_limits(stored, min_documents, max_share), "above")
+    above = materialise(lines_above_limit(stored, most_documents), "above")
     names = [c for c in stored.columns if c != "lines"]
     each = stored.select(*names, F.explode_outer("lines").alias("line"))
     each = each.select(*names, "line.line", "line.chars").join(above, ["host", "line"], "left")
-    gone = F.col("first_text").isNotNull() & (F.col("first_text") != F.col("text_hash"))
+    gone = F.col("above") & ~F.col("first_id").eqNullSafe(F.col("doc_id"))
     per_row = each.groupBy(*names).agg(
         F.coalesce(F.sum("chars"), F.lit(0)).alias("line_chars"),
         F.coalesce(F.sum(F.when(gone, F.col("chars"))), F.lit(0)).alias("removed_chars"),
@@ -168,14 +155,14 @@ def quality_of(
 
 def kept_documents(docs: DataFrame, **limits: float) -> DataFrame:
     """The documents, with all their columns, that the rules keep. A verdict holds for a document's id, source and text."""
-    rejected = quality_of(docs, **limits).where("not kept").select("doc_id", "host", "text_hash").distinct()
-    rejected = materialise(rejected, "rejected").toDF("r_id", "r_host", "r_hash")
+    rejected = materialise(quality_of(docs, **limits).where("not kept").select("doc_id", "host", "text_hash").distinct(), "rejected")
+    mine, other = docs.alias("mine"), rejected.alias("rejected")
     same = (
-        F.col("doc_id").eqNullSafe(F.col("r_id"))
-        & (F.coalesce("source", F.lit("")) == F.col("r_host"))
-        & (F.xxhash64(whole_text()) == F.col("r_hash"))
+        F.col("mine.doc_id").eqNullSafe(F.col("rejected.doc_id"))
+        & (F.coalesce("mine.source", F.lit("")) == F.col("rejected.host"))
+        & (F.xxhash64(whole_text("mine.text")) == F.col("rejected.text_hash"))
     )
-    return docs.join(rejected, same, "left_anti")
+    return mine.join(other, same, "left_anti")
 
 
 def quality_query(docs: DataFrame) -> DataFrame:

@@ -31,20 +31,16 @@ base AS (
   FROM docs d LEFT JOIN covered c ON d.rid = c.rid
 ),
 line AS (
-  SELECT rid, doc_id, host, body, trim(lower(regexp_replace(x, '[ \t\n\x0b\x0c\r]+', ' ', 'g'))) AS line
-  FROM (SELECT rid, doc_id, host, body, unnest(lines) AS x FROM docs)
-),
-hosts AS (SELECT host, count(DISTINCT body) AS n FROM docs GROUP BY host),
-bearers AS (
-  SELECT host, line, count(DISTINCT body) AS n, arg_min(body, doc_id) AS first_body FROM line GROUP BY host, line
+  SELECT rid, doc_id, host, trim(lower(regexp_replace(x, '[ \t\n\x0b\x0c\r]+', ' ', 'g'))) AS line
+  FROM (SELECT rid, doc_id, host, unnest(lines) AS x FROM docs)
 ),
 above AS (
-  SELECT b.host, line, first_body FROM bearers b JOIN hosts h ON b.host = h.host
-  WHERE b.n > {quality.MIN_DOCUMENTS} AND b.n > {quality.MAX_SHARE} * h.n
+  SELECT host, line, min(doc_id) AS first_id FROM (SELECT DISTINCT rid, doc_id, host, line FROM line)
+  GROUP BY host, line HAVING count(*) > {quality.MOST_DOCUMENTS}
 ),
 per_doc AS (
   SELECT l.rid, CAST(sum(length(l.line)) AS BIGINT) AS line_chars,
-         CAST(coalesce(sum(CASE WHEN a.first_body <> l.body THEN length(l.line) END), 0) AS BIGINT) AS removed_chars
+         CAST(coalesce(sum(CASE WHEN a.line IS NOT NULL AND a.first_id IS DISTINCT FROM l.doc_id THEN length(l.line) END), 0) AS BIGINT) AS removed_chars
   FROM line l LEFT JOIN above a ON a.host = l.host AND a.line = l.line GROUP BY l.rid
 ),
 judged AS (

@@ -50,10 +50,32 @@ def test_lines_above_limits_deplete(make_documents):
     assert all(rows[i].kept for i, _ in rest)
 
 
-def test_copies_are_one_text(make_documents):
+def test_hosts_of_any_size_have_one_limit(make_documents):
+    """The same lines are removed in a host of a few and in one of thousands of documents."""
+    shared = "a line that some documents of this host bear " * 4
+    bearers = lambda first: [(first + i, f"{shared}\n{'own words ' + str(i)}") for i in range(11)]
+    others = [(100 + i, " ".join(f"word{i}x{k}" for k in range(60))) for i in range(3000)]
+    docs = make_documents(*bearers(0)).unionByName(make_documents(*bearers(50), *others, source="hot"))
+    rows = {r.doc_id: r for r in quality.quality_query(docs).collect()}
+    assert [i for i in range(100) if i in rows and rows[i].depleted] == [*range(1, 11), *range(51, 61)]
+    assert all(rows[i].kept for i, _ in others)
+    assert not any(r.depleted for r in quality.quality_query(make_documents(*bearers(0)[:10])).collect())
+
+
+def test_copies_are_documents(make_documents):
     text = "\n".join(f"line {k} " + " ".join(f"w{k}x{j}" for j in range(20)) for k in range(5))
-    rows = quality.quality_query(make_documents(*((i, text) for i in range(50)), (7, text))).collect()
-    assert len(rows) == 51 and all(r.kept for r in rows)
+    rows = quality.quality_query(make_documents(*((i, text) for i in range(7, 50)), (7, text))).collect()
+    assert len(rows) == 44 and sorted(r.doc_id for r in rows if r.kept) == [7, 7]
+    assert all(r.kept for r in quality.quality_query(make_documents(*((i, text) for i in range(10)))).collect())
+
+
+def test_clashing_names(make_documents):
+    docs = make_documents((1, "short"), (2, " ".join(f"w{k}" for k in range(60))), (None, "x"))
+    for names in (("r_id", "r_host", "r_hash"), ("text_hash", "rejected", "mine")):
+        for name in names:
+            docs = docs.selectExpr("*", f"'x' as {name}")
+    assert [r.doc_id for r in quality.kept_documents(docs).collect()] == [2]
+    assert quality.kept_documents(docs).columns == docs.columns
 
 
 def test_cases(make_documents):

@@ -4,8 +4,12 @@ The lexicon is a set of word stems, each with a weight, learned from labelled do
 intersected with the stems' trie: a state is the set of (trie node, edits so far) that the letters read may stand for. States and
 their successors are built when a word first needs them, so a word costs one look-up per letter and most words end after a few.
 
-A match counts by its weight, by the edits it took and by its context window: less within quotation marks or after a
-reporting word, more beside an address ("you"). A logistic model turns the sums of a document into a score.
+A match counts by its weight. Its context window says whether it stands within quotation marks or after a reporting word, or beside an
+address ("you"); those shares of a document's matches, and that of misspelt ones, are features of their own. A logistic model learns from the labels how much each
+counts, and turns them into a score. Where no label tells, a quoted match counts ``QUOTED_PRIOR`` of another.
+
+A stem has to tell toxic documents by more than chance: were its bearers drawn at random from the labelled documents, so many toxic ones among them have to be so rare that
+of all beginnings tried ``CHANCE`` would be expected to pass. Few labels thus teach the frequent words only.
 
 Learning uses at most ``TOXIC_SAMPLE`` toxic and ``CLEAN_SAMPLE`` other labelled documents, chosen by hash; scoring is
 the same for every document. A misspelling that sampled clean documents use is an innocent word, unless toxic ones tell it as surely
@@ -23,16 +27,13 @@ import math
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
-import pyarrow as pa
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codetide.llm.common import map_text, materialise, whole_text
+from codetide.llm.common import Remembered, keep_rows, map_text, materialise, whole_text
 
 HOLD_OUT = 5
 TOXIC_SAMPLE = 4_000
@@ -43,10 +44,13 @@ LEAST_BEARERS = 4
 LEAST_SHARE = 0.01
 #: Share of the toxic bearers among all, were both kinds equally frequent.
 LEAST_PRECISION = 0.98
-MOST_STEMS = 500
-MISSPELLED, QUOTED, ADDRESSED = 0.7, 0.4, 1.3
+#: Stems expected to pass by chance alone.
+CHANCE = 0.05
+QUOTED_PRIOR = 0.4
 CONTEXT_WORDS = 6
-REMEMBERED = 500_000
+PLAIN, QUOTED, ADDRESSED = "plain", "quoted", "addressed"
+#: New words after which a worker forgets those not met lately.
+REMEMBERED = 50_000
 
 # Reporting words, forms of address, endings that a misspelt word may have, letters written as digits or signs.
 REPORTING = frozenset("said says wrote writes called quote quoted quotes word term phrase sagte schrieb wort dit mot terme dijo palabra".split())
@@ -83,12 +87,12 @@ class FuzzyTrie:
     With an edit, a stem of ``whole_only`` has to be the word up to its plural ending.
     """
 
-    def __init__(self, stems: list[str], exact_only: frozenset[str] = frozenset(), whole_only: frozenset[str] = frozenset()):
+    def __init__(self, stems: list[str], whole_only: frozenset[str] = frozenset()):
         self._next: list[dict[str, int]] = [{}]
         self._stem: list[str | None] = [None]
         self._most = [0]
         for stem in sorted(stems):
-            edits, node, path = (0 if stem in exact_only else edits_allowed(stem)), 0, [0]
+            edits, node, path = edits_allowed(stem), 0, [0]
             for letter in stem:
                 if letter not in self._next[node]:
                     self._next[node][letter] = len(self._next)
@@ -100,7 +104,7 @@ class FuzzyTrie:
             self._stem[node] = stem
             for n in path:
                 self._most[n] = max(self._most[n], edits)
-        self._allowed = {s: 0 if s in exact_only else edits_allowed(s) for s in stems}
+        self._allowed = {s: edits_allowed(s) for s in stems}
         self._whole_only = whole_only
         self._states: dict[frozenset, int] = {}
         self._sets: list[frozenset] = []
@@ -154,12 +158,12 @@ class FuzzyTrie:
 
 
 class Matcher:
-    """Matches of a text as (word, stem, edits, factor of the context)."""
+    """Matches of a text as (word, stem, edits, context)."""
 
     def __init__(self, lexicon: Lexicon):
         self._trie = FuzzyTrie(list(lexicon.weights), whole_only=lexicon.whole_only)
         self._innocent = lexicon.innocent
-        self._known: dict[str, tuple[str, int] | None] = {}
+        self._known = Remembered(self._look_up, REMEMBERED)
 
     def _look_up(self, word: str) -> tuple[str, int] | None:
         found = self._trie.match(word)
@@ -168,15 +172,11 @@ class Matcher:
             found = found and (found[0], max(1, found[1]))
         if found and found[1] and word in self._innocent:
             found = None
-        if len(self._known) >= REMEMBERED:
-            self._known.clear()
-        self._known[word] = found
         return found
 
-    def __call__(self, text: str) -> tuple[int, list[tuple[str, str, int, float]]]:
+    def __call__(self, text: str) -> tuple[int, list[tuple[str, str, int, str]]]:
         words = _word.findall(text.lower())
-        known, look_up = self._known, self._look_up
-        hits = {w for w in set(words) if (known[w] if w in known else look_up(w))}
+        hits = {w: found for w in set(words) if (found := self._known[w])}
         if not hits:
             return len(words), []
         placed = words_with_places(text)
@@ -184,31 +184,32 @@ class Matcher:
         out = []
         for i, (word, start, end) in enumerate(placed):
             if word in hits:
-                found = known.get(word) or look_up(word)
-                out.append((word, *found, self._context(text, names, i, start, end)))
+                out.append((word, *hits[word], self._context(text, names, i, start, end)))
         return len(words), out
 
     @staticmethod
-    def _context(text: str, names: list[str], i: int, start: int, end: int) -> float:
+    def _context(text: str, names: list[str], i: int, start: int, end: int) -> str:
         left, right = text[max(0, start - 60) : start], text[end : end + 60]
         within = any(left.count(a) > (left.count(b) if a != b else left.count(a) // 2 * 2) and b in right for a, b in QUOTES.items())
         window = names[max(0, i - CONTEXT_WORDS) : i] + names[i + 1 : i + 1 + CONTEXT_WORDS]
         if within or REPORTING & set(names[max(0, i - 3) : i]):
             return QUOTED
-        return ADDRESSED if ADDRESS & set(window) else 1.0
-
-
-N_FEATURES = 4
+        return ADDRESSED if ADDRESS & set(window) else PLAIN
 
 
-def features_of(lexicon: Lexicon, n_words: int, matches: list[tuple[str, str, int, float]]) -> list[float]:
-    """Strongest match, sum of matches, different stems, matches per 100 words."""
-    weighted = [lexicon.weights[stem] * (MISSPELLED if edits else 1.0) * factor for _, stem, edits, factor in matches]
+def features_of(lexicon: Lexicon, n_words: int, matches: list[tuple[str, str, int, str]]) -> list[float]:
+    """Strongest match, sum of matches, different stems, matches per 100 words; shares of misspelt, quoted and addressed ones."""
+    weighted = [(lexicon.weights[stem] * (QUOTED_PRIOR if context == QUOTED else 1.0), edits, context) for _, stem, edits, context in matches]
+    total = sum(w for w, _, _ in weighted)
+    share = lambda kind: sum(w for w, edits, context in weighted if kind(edits, context)) / total if total else 0.0
     return [
-        max(weighted, default=0.0),
-        math.log1p(sum(weighted)),
+        max((w for w, _, _ in weighted), default=0.0),
+        math.log1p(total),
         math.log1p(len({stem for _, stem, _, _ in matches})),
-        math.log1p(100 * sum(weighted) / max(50, n_words)),
+        math.log1p(100 * total / max(50, n_words)),
+        share(lambda edits, _: edits > 0),
+        share(lambda _, context: context == QUOTED),
+        share(lambda _, context: context == ADDRESSED),
     ]
 
 
@@ -258,15 +259,19 @@ def learn_stems(sample: DataFrame) -> dict[str, float]:
         own = map_text(kinds.where(F.col("toxic") == kind), beginnings, "stem string, bearer long")
         return own.distinct().groupBy("stem").agg(F.count(F.lit(1)).alias(f"n{kind}"))
 
-    toxic = materialise(counts(1), "toxic_stems")
+    toxic, clean = materialise(counts(1), "toxic_stems"), materialise(counts(0), "clean_stems")
     n_toxic = toxic.where("stem = ''").first().n1  # the empty beginning is in every document
-    candidates = toxic.where((F.col("n1") >= max(LEAST_BEARERS, LEAST_SHARE * n_toxic)) | (F.col("stem") == ""))
-    joined = candidates.join(counts(0), "stem", "left").select("stem", "n1", F.coalesce("n0", F.lit(0)).alias("n0"))
-    joined = materialise(joined, "candidates")
-    n_clean = joined.where("stem = ''").first().n0
-    share1, share0 = F.col("n1") / n_toxic, F.col("n0") / max(1, n_clean)
-    precise = joined.where("stem <> ''").where(share1 / (share1 + share0) >= LEAST_PRECISION).orderBy(F.desc("n1"), "stem").limit(MOST_STEMS * (most - least + 1) * 4)
-    found = {r.stem: (r.n1, r.n0) for r in precise.collect()}
+    n_clean = clean.where("stem = ''").first().n0
+    tried = toxic.join(clean, "stem", "left_anti").count() + clean.count()
+    share = n_toxic / (n_toxic + n_clean)
+    # All bearers toxic is the rarest case, so this many are needed at least.
+    needed = math.log(CHANCE / tried) / math.log(share)
+    candidates = toxic.where((F.col("n1") >= max(LEAST_BEARERS, LEAST_SHARE * n_toxic, needed)) & (F.col("stem") != ""))
+    joined = candidates.join(clean, "stem", "left").select("stem", "n1", F.coalesce("n0", F.lit(0)).alias("n0"))
+    share1, share0 = F.col("n1") / n_toxic, F.col("n0") / n_clean
+    precise = joined.where(share1 / (share1 + share0) >= LEAST_PRECISION)
+    # Bounded by the beginnings that the sample's toxic documents have in common.
+    found = {r.stem: (r.n1, r.n0) for r in precise.collect() if by_chance(r.n1, r.n0, share) * tried <= CHANCE}
     weights: dict[str, float] = {}
     for stem in sorted(found, key=lambda s: (len(s), s)):
         if any(stem[:k] in found for k in range(least, len(stem))):
@@ -276,7 +281,17 @@ def learn_stems(sample: DataFrame) -> dict[str, float]:
             longest = more[0]
         n1, n0 = found[longest]
         weights[longest] = math.log((n1 + 0.5) / (n_toxic + 1)) - math.log((n0 + 0.5) / (n_clean + 1))
-    return dict(sorted(weights.items(), key=lambda x: (-x[1], x[0]))[:MOST_STEMS])
+    return weights
+
+
+def by_chance(n1: int, n0: int, share: float) -> float:
+    """Probability of at least ``n1`` toxic documents among ``n1 + n0`` drawn at random."""
+    n = n1 + n0
+    logs = (
+        math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(share) + (n - k) * math.log1p(-share)
+        for k in range(n1, n + 1)
+    )
+    return sum(map(math.exp, logs))
 
 
 def innocent_words(sample: DataFrame, lexicon: Lexicon) -> tuple[frozenset[str], frozenset[str]]:
@@ -334,6 +349,9 @@ def _matcher(lexicon: Lexicon) -> Matcher:
 
 def learn(docs: DataFrame, labels: DataFrame) -> Lexicon | None:
     """Lexicon and logistic model of the labelled sample; None where one kind is missing."""
+    from pyspark.ml.classification import LogisticRegression  # workers do not need it
+    from pyspark.ml.functions import array_to_vector
+
     sample = labelled_sample(docs, labels)
     sizes = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes.get(0) or not sizes.get(1):
@@ -363,19 +381,17 @@ def without_toxic(docs: DataFrame, lexicon: Lexicon | None, limit: float = 0.5)
     if lexicon is None:
         return docs
 
-    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def passes() -> Callable[[str], bool]:
         match = _matcher(lexicon)
 
-        def passes(text: str) -> bool:
+        def clean(text: str) -> bool:
             values = features_of(lexicon, *match(text))
             linear = lexicon.intercept + sum(c * v for c, v in zip(lexicon.coefficients, values, strict=True))
             return 1 / (1 + math.exp(-linear)) < limit
 
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text"))
-            yield batch.filter(pa.array([passes(t.as_py() or "") for t in texts], pa.bool_()))
+        return clean
 
-    return docs.mapInArrow(clean, docs.schema)
+    return keep_rows(docs, passes)
 
 
 def toxicity_query(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -1,8 +1,10 @@
 import itertools
+import math
 import random
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from codetide.llm import toxicity as tox
 from codetide.llm.common import documents, read_table
@@ -42,11 +44,6 @@ def test_automaton_equals_distances(seed):
         assert trie.match(word) == brute_match(stems, word), (stems, word)
 
 
-def test_exact_only_stems():
-    trie = tox.FuzzyTrie(["moron"], frozenset(["moron"]))
-    assert trie.match("morons") == ("moron", 0) and trie.match("maron") is None
-
-
 def test_whole_only_stems():
     trie = tox.FuzzyTrie(["moron", "loser"], whole_only=frozenset(["moron", "loser"]))
     assert trie.match("morron") == trie.match("maron") == trie.match("morrons") == ("moron", 1) and trie.match("loosers") == ("loser", 1)
@@ -73,11 +70,37 @@ def test_misspellings_and_context():
     found = lambda text: [(w, s, e) for w, s, e, _ in match(text)[1]]
     assert found("Stupid, id*ot st00pid 1d1ot wortless stupip plain") == [
         ("stupid", "stupid", 0), ("id*ot", "idiot", 1), ("1d1ot", "idiot", 1), ("wortless", "worthless", 1)]
-    factor = lambda text: match(text)[1][0][3]
-    assert factor("plain stupid words") == 1.0
-    assert factor("you stupid thing") == tox.ADDRESSED
-    assert factor('he "called it stupid stuff" then') == tox.QUOTED
-    assert factor("she said stupid") == tox.QUOTED
+    context = lambda text: match(text)[1][0][3]
+    assert context("plain stupid words") == tox.PLAIN
+    assert context("you stupid thing") == tox.ADDRESSED
+    assert context('he "called it stupid stuff" then') == tox.QUOTED
+    assert context("she said stupid") == tox.QUOTED
+
+
+def test_context_is_learned(make_documents):
+    """Quoted insults of clean documents teach that quotation is no abuse."""
+    bad = [(i, f"wa{i} wb{i} you idiot wc{i} wd{i}") for i in range(150)]
+    good = [(1000 + i, f"wa{i}x wb{i}x wc{i}x wd{i}x we{i}x") for i in range(600)] + [(2000 + i, f'wa{i} they wrote "idiot" wb{i}') for i in range(2)]
+    labelled = make_documents(*bad, *good)
+    lexicon = tox.learn(labelled, labelled.selectExpr("doc_id", "cast(doc_id < 1000 as int) as toxic"))
+    asked = make_documents((1, "xa you idiot xb"), (2, 'xa he wrote "idiot" xb'), (3, "xa you idjot xb"))
+    score = {r.doc_id: r.score for r in tox.score_documents(asked, lexicon).collect()}
+    assert score[1] > score[2] and score[1] >= 0.5 and score[3] >= 0.5
+
+
+@pytest.mark.parametrize(("n1", "n0", "share"), [(4, 0, 0.1), (4, 3, 0.25), (1, 0, 0.5), (30, 2, 0.3)])
+def test_chance(n1, n0, share):
+    n = n1 + n0
+    assert math.isclose(tox.by_chance(n1, n0, share), sum(math.comb(n, k) * share**k * (1 - share) ** (n - k) for k in range(n1, n + 1)))
+
+
+@pytest.mark.parametrize("sf", ["0.01", "0.1"])
+def test_no_stem_is_chance(spark, sf):
+    """With the labels dealt out at random nothing is learned."""
+    folder = f"/root/testdata/sf{sf}"
+    labels = read_table(spark, folder, "labels")
+    shuffled = labels.select("doc_id", (F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(100)) < 11).cast("int").alias("toxic"))
+    assert tox.learn_stems(tox.labelled_sample(documents(spark, folder), shuffled)) == {}
 
 
 @pytest.mark.parametrize("sf", ["0.01", "0.1"])

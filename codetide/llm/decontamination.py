@@ -8,26 +8,29 @@ compared in all bits, then by the exact weighted overlap: the share of the item'
 
 A window without ``THRESHOLD`` of its shingles among all the benchmark's cannot reach that share with any item; such windows
 are left out before they are fingerprinted, which loses nothing. Fingerprints of an overlap at the threshold differ in 26 bits on
-average with a deviation of 4.6, so the radius of 47 misses one of 300,000 of them, and none of higher overlap.
+average with a deviation of 4.6, so the radius of 47 misses one of 300,000 of them, and none of higher overlap. A document shorter than an
+item is one window, which may still hold that share of it.
 
-The items are the stated query set: they are collected in blocks of ``ITEMS`` at most, and each block is one pass over the documents.
+Windows are worked on ``PIECE`` at a time, whatever the length of a text. Of an item's windows those with the most shingles of the item are compared first, and the rest
+only as long as they could be better, so a text that repeats a passage costs little more than one that has it once.
+
+The items are the stated query set: they are collected in blocks of about ``ITEMS`` by hash, and each block is one pass over the documents whose result is
+stored before the next block is collected.
 
 Defined cases: null and empty texts match nothing; items with fewer than five words have no shingle and are found nowhere; equal items are
-found each; repeated documents are reported each; other columns are ignored; no rows give no rows.
+found each; of equally good windows the first is reported; repeated documents are reported each; other columns are ignored; no rows give no rows.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from codetide.llm.common import map_text, materialise, whole_text
+from codetide.llm.common import item_blocks, keep_rows, map_text, materialise, text_key, whole_text
 from codetide.llm.shingles import SHINGLE, mixed, shingle_numbers, word_numbers
 
 THRESHOLD = 0.8
@@ -35,6 +38,8 @@ RADIUS = 47
 BLOCKS = 16
 BLOCK_ERRORS = RADIUS // BLOCKS
 ITEMS = 2048
+#: Windows fingerprinted at a time.
+PIECE = 2048
 
 _word = re.compile(r"[^\W_]+")
 _NEAR = np.array([[bin(a ^ b).count("1") <= BLOCK_ERRORS for b in range(256)] for a in range(256)])
@@ -75,16 +80,20 @@ class BenchmarkIndex:
             own = prints[of_size]
             self.by_size[int(size)] = (of_size, own, [_NEAR[:, own[:, b]] for b in range(BLOCKS)])
 
-    def near(self, size: int, found: np.ndarray) -> Iterator[tuple[int, int]]:
-        """(window, item) of all fingerprints within the radius."""
+    def near(self, size: int, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of window and item, item by item, of all fingerprints within the radius. Equal fingerprints are compared once."""
         of_size, own, tables = self.by_size[size]
-        candidate = np.zeros((len(found), len(of_size)), dtype=bool)
+        once, same = np.unique(np.ascontiguousarray(found).view(f"V{BLOCKS}").ravel(), return_inverse=True)
+        once = once.view(np.uint8).reshape(-1, BLOCKS)
+        candidate = np.zeros((len(once), len(of_size)), dtype=bool)
         for b, table in enumerate(tables):
-            candidate |= table[found[:, b]]
-        windows, items = np.nonzero(candidate)
-        apart = np.bitwise_count(found[windows] ^ own[items]).sum(axis=1)
-        for w, i in zip(windows[apart <= RADIUS], items[apart <= RADIUS], strict=True):
-            yield int(w), int(of_size[i])
+            candidate |= table[once[:, b]]
+        mine, others = (np.ascontiguousarray(x).view(np.uint64) for x in (once, own))
+        apart = np.zeros(candidate.shape, dtype=np.uint8)
+        for k in range(mine.shape[1]):
+            apart += np.bitwise_count(mine[:, k, None] ^ others[None, :, k])
+        items, windows = np.nonzero((candidate & (apart <= RADIUS)).T[:, same])
+        return windows, of_size[items]
 
     def covered(self, item: int, window: np.ndarray) -> float:
         values, counts = self.counts[item]
@@ -106,32 +115,36 @@ class BenchmarkIndex:
         sums = np.concatenate([[0], np.cumsum(known)])
         best: dict[int, tuple[float, int]] = {}
         for size in self.by_size:
-            if size > len(shingles):
+            width = min(size, len(shingles))
+            starts = np.flatnonzero(sums[width:] - sums[:-width] >= threshold * size)
+            if not len(starts):
                 continue
-            starts = np.flatnonzero(sums[size:] - sums[:-size] >= threshold * size)
-            for stretch in np.split(starts, np.flatnonzero(np.diff(starts) > size) + 1) if len(starts) else ():
-                low = stretch[0]
-                running = np.cumsum(signs(shingles[low : stretch[-1] + size]), axis=0, dtype=np.int32)
-                running = np.concatenate([np.zeros((1, running.shape[1]), dtype=np.int32), running])
-                prints = fingerprint(running[stretch - low + size] - running[stretch - low])
-                for w, item in self.near(size, prints):
-                    at = int(stretch[w])
-                    share = self.covered(item, shingles[at : at + size])
-                    if share >= threshold and (item not in best or share > best[item][0]):
-                        best[item] = (share, at)
-        return sorted((self.ids[i], share, at) for i, (share, at) in best.items())
-
-
-def item_blocks(benchmark: DataFrame, size: int = ITEMS) -> Iterator[list[tuple[int, str]]]:
-    """The items, at most ``size`` at a time; only one block is on the driver."""
-    items = benchmark.select("item_id", whole_text().alias("text"))
-    n = items.count()
-    if n <= size:
-        yield [tuple(r) for r in items.orderBy("item_id", "text").collect()]
-        return
-    numbered = materialise(items.withColumn("block", F.floor((F.row_number().over(Window.orderBy("item_id", "text")) - 1) / size)), "items")
-    for k in range(-(-n // size)):
-        yield [tuple(r) for r in numbered.where(F.col("block") == k).select("item_id", "text").collect()]
+            for stretch in np.split(starts, np.flatnonzero(np.diff(starts) > width) + 1):
+                for at in range(0, len(stretch), PIECE):
+                    self._best_of(shingles, stretch[at : at + PIECE], size, width, threshold, best)
+        return sorted((self.ids[i], share, -at) for i, (share, at) in best.items())
+
+    def _best_of(self, shingles: np.ndarray, starts: np.ndarray, size: int, width: int, threshold: float, best: dict) -> None:
+        """Compare the windows of ``width`` shingles at ``starts`` with the items of ``size``."""
+        low = starts[0]
+        here = shingles[low : starts[-1] + width]
+        running = np.cumsum(signs(here), axis=0, dtype=np.int32)
+        running = np.concatenate([np.zeros((1, running.shape[1]), dtype=np.int32), running])
+        windows, items = self.near(size, fingerprint(running[starts - low + width] - running[starts - low]))
+        for of_item in np.split(np.arange(len(items)), np.flatnonzero(np.diff(items)) + 1) if len(items) else ():
+            item = int(items[of_item[0]])
+            inside = np.concatenate([[0], np.cumsum(np.isin(here, self.counts[item][0]))])
+            offsets = starts[windows[of_item]] - low
+            most = (inside[offsets + width] - inside[offsets]) / size  # what a window could cover at best
+            for k in np.argsort(-most, kind="stable"):
+                at, held = int(offsets[k]), best.get(item, (threshold, -np.inf))
+                if most[k] < held[0]:
+                    break
+                if (most[k], -(low + at)) > held:
+                    share = self.covered(item, here[at : at + width])
+                    best_here = (share, -int(low + at))
+                    if share >= threshold and best_here > held:
+                        best[item] = best_here
 
 
 def _index(items: list[tuple[int, str]], known: dict) -> BenchmarkIndex:
@@ -145,32 +158,43 @@ def _index(items: list[tuple[int, str]], known: dict) -> BenchmarkIndex:
 _indexes: dict[int, BenchmarkIndex] = {}
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, size: int = ITEMS) -> DataFrame:
     """doc_id, item_id, similarity, first_word: the best window of every item found in a document."""
-    out = "doc_id long, item_id long, similarity double, first_word long"
     texts = docs.select("doc_id", whole_text().alias("text"))
+    return _found(texts, benchmark, threshold, size, "doc_id long")
+
+
+def _found(texts: DataFrame, benchmark: DataFrame, threshold: float, size: int, carried: str) -> DataFrame:
+    """A row per item found, with the columns of ``carried``."""
+    out, names = f"{carried}, item_id long, similarity double, first_word long", [c.split()[0] for c in carried.split(", ")]
     found = texts.sparkSession.createDataFrame([], out)
-    for block in item_blocks(benchmark):
+    for block in item_blocks(benchmark.select("item_id", whole_text().alias("text")), size, "item_id", "text"):
 
         def run(rows: list[dict], items: list[tuple[int, str]] = block) -> Iterator[dict]:
             index = _index(items, _indexes)
             for row in rows:
                 for item_id, share, at in index.matches(row["text"], threshold):
-                    yield {"doc_id": row["doc_id"], "item_id": item_id, "similarity": share, "first_word": at}
+                    yield {**{c: row[c] for c in names}, "item_id": item_id, "similarity": share, "first_word": at}
 
-        found = found.unionByName(map_text(texts, run, out))
+        found = found.unionByName(materialise(map_text(texts, run, out), "leaks"))
     return found
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents, with all their columns, in which no item is found."""
-    for block in item_blocks(benchmark):
+def without_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, size: int = ITEMS) -> DataFrame:
+    """The documents, with all their columns, in which no item is found.
 
-        def clean(batches: Iterator[pa.RecordBatch], items: list[tuple[int, str]] = block) -> Iterator[pa.RecordBatch]:
-            index = _index(items, _indexes)
-            for batch in batches:
-                texts = batch.column(batch.schema.get_field_index("text"))
-                yield batch.filter(pa.array([not index.matches(t.as_py() or "", threshold) for t in texts], pa.bool_()))
-
-        docs = docs.mapInArrow(clean, docs.schema)
-    return docs
+    One block of items is looked for where the documents are. With several, the texts that hold an item of any are listed by digest.
+    """
+    items = benchmark.select("item_id", whole_text().alias("text"))
+    if items.distinct().count() > size:
+        texts = docs.select(text_key().alias("key"), whole_text().alias("text"))
+        listed = materialise(_found(texts, benchmark, threshold, size, "key string").select("key").distinct(), "listed")
+        mine, leaked = docs.alias("mine"), listed.alias("leaked")
+        return mine.join(leaked, text_key("mine.text") == F.col("leaked.key"), "left_anti")
+    block = [tuple(r) for r in items.distinct().collect()]
+
+    def passes() -> Callable[[str], bool]:
+        index = _index(block, _indexes)
+        return lambda text: not index.matches(text, threshold)
+
+    return keep_rows(docs, passes)

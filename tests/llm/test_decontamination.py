@@ -1,5 +1,7 @@
 import random
 import re
+import resource
+import time
 from collections import Counter
 
 import numpy as np
@@ -26,15 +28,15 @@ def brute(docs, items, threshold=0.8):
             n = sum(own.values())
             if not n or not own.keys() & set(shingles):
                 continue
-            best = max(((sum((Counter(shingles[i : i + n]) & own).values()) / n, -i) for i in range(len(shingles) - n + 1)), default=(0, 0))
+            best = max(((sum((Counter(shingles[i : i + n]) & own).values()) / n, -i) for i in range(max(1, len(shingles) - n + 1))), default=(0, 0))
             if best[0] >= threshold:
                 found[doc, item] = (pytest.approx(best[0]), -best[1])
     return found
 
 
-def leaks(spark, docs, items):
+def leaks(spark, docs, items, **settings):
     benchmark = spark.createDataFrame([(i, t, "x") for i, t in items], "item_id long, text string, doc_id string")
-    return {(r.doc_id, r.item_id): (r.similarity, r.first_word) for r in dec.find_leaks(docs, benchmark).collect()}
+    return {(r.doc_id, r.item_id): (r.similarity, r.first_word) for r in dec.find_leaks(docs, benchmark, **settings).collect()}
 
 
 def test_equals_every_window(spark):
@@ -61,11 +63,35 @@ def planted(seed):
 
 
 @pytest.mark.parametrize("seed", range(3))
-def test_edited_items(spark, make_documents, monkeypatch, seed):
-    monkeypatch.setattr(dec, "item_blocks", lambda b, f=dec.item_blocks: f(b, 7))
+def test_edited_items(spark, make_documents, seed):
+    """Items in several blocks, each a pass of its own; also whole documents that are shorter than an item."""
     docs, items = planted(seed)
-    want, got = brute(docs, items), leaks(spark, make_documents(*docs), items)
-    assert got == want and len(want) > 60
+    for k, (_, text) in enumerate(items[:20]):
+        cut = text.split()
+        docs += [(1000 + k, " ".join(cut[: int(len(cut) * 0.9)])), (2000 + k, " ".join(cut[: int(len(cut) * 0.7)])), (3000 + k, " ".join(cut[2:]))]
+    table = make_documents(*docs)
+    want, got = brute(docs, items), leaks(spark, table, items, size=7)
+    assert got == want and len(want) > 60 and sum(1000 <= d < 2000 for d, _ in want) >= 8
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    for size in (7, 100):
+        kept = {r.doc_id for r in dec.without_leaks(table, benchmark, size=size).collect()}
+        assert kept == {d for d, _ in docs} - {d for d, _ in want}
+
+
+@pytest.mark.parametrize("edit", [False, True])
+def test_repeated_passages_are_cheap(edit):
+    """A long text that repeats an item, or one of its words changed each time."""
+    rng = random.Random(5)
+    item = [f"w{i}" for i in range(60)]
+    index = dec.BenchmarkIndex([(1, " ".join(item)), *((i, " ".join(f"v{rng.randrange(10**6)}" for _ in range(60))) for i in range(2, 600))])
+    again = []
+    while len(again) < 1_000_000:
+        again += [*item[:30], f"x{len(again)}", *item[31:]] if edit else item
+    text = " ".join(again)
+    start, before = time.perf_counter(), resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    (found,) = index.matches(text)
+    assert found[0] == 1 and found[2] == 0 and found[1] == pytest.approx(51 / 56 if edit else 1.0)
+    assert time.perf_counter() - start < 40 and resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 500 << 10
 
 
 def test_blocks_find_all_fingerprints_within_the_radius():
@@ -75,7 +101,7 @@ def test_blocks_find_all_fingerprints_within_the_radius():
     found = own[rng.integers(0, 50, 400)] ^ np.packbits(rng.random((400, 128)) < rng.random((400, 1)) * 0.5, axis=1)
     apart = np.bitwise_count(found[:, None, :] ^ own[None]).sum(axis=2)
     want = {(w, int(of_size[i])) for w, i in zip(*np.nonzero(apart <= dec.RADIUS), strict=True)}
-    assert set(index.near(size, found)) == want and len(want) > 50
+    assert set(zip(*(x.tolist() for x in index.near(size, found)), strict=True)) == want and len(want) > 50
 
 
 def test_fingerprint_is_the_sign_of_sums():

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codetide.llm.common import map_text, materialise, text_key, whole_text
+from codetide.llm.common import in_batches, join_listed, map_text, materialise, text_key, whole_text
 from codetide.llm.components import components
 from codetide.llm.shingles import counted, mixed, multiset_similarity, text_shingles
 
@@ -143,9 +143,9 @@ def _classed(members: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _unsettled(classed: DataFrame) -> DataFrame:
-    """Members of the buckets with more than one class."""
+    """Members of the buckets with more than one class. Classes are combined in the tasks; a hot bucket's members stay where they are."""
     several = classed.groupBy("bucket").agg(F.min("class").alias("c"), F.max("class").alias("d")).where("c <> d").select("bucket")
-    return classed.join(several, "bucket")
+    return join_listed(classed, materialise(several, "several"), "bucket")
 
 
 def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -168,14 +168,14 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     first = members.where("node <> lead").groupBy("node").agg(F.min("lead").alias("lead"))
     links = materialise(verified(first.select(F.col("node").alias("a"), F.col("lead").alias("b")), shingles, threshold), "links")
     classes = components(links)
-    unsettled = materialise(_unsettled(_classed(members, classes)), "unsettled")
+    unsettled = materialise(_unsettled(materialise(_classed(members, classes), "classed")), "unsettled")
 
     size = unsettled.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
-    sized = materialise(unsettled.join(size, "bucket"), "sized")
+    sized = materialise(join_listed(unsettled, materialise(size, "sizes"), "bucket"), "sized")
     pairs = _pairs_of_small_buckets(sized.where(F.col("size") <= SMALL), threshold)
     links = materialise(links.unionByName(verified(pairs, shingles, threshold)), "links")
     classes = components(links)
-    large = _unsettled(_classed(sized.where(F.col("size") > SMALL).drop("class"), classes))
+    large = _unsettled(materialise(_classed(sized.where(F.col("size") > SMALL).drop("class"), classes), "classed"))
     bands = once.select("node", "bands")
     links = links.unionByName(materialise(_links_of_large_buckets(large, bands, shingles, threshold), "late_links"))
     classes = components(links)
@@ -229,7 +229,7 @@ def _links_of_large_buckets(members: DataFrame, bands: DataFrame, shingles: Data
         links += unit_links(unit, threshold)
         yield pa.RecordBatch.from_pylist(links, schema=LINKS)
 
-    return together.mapInArrow(run, "a long, b long, similarity double")
+    return in_batches(together, run, "a long, b long, similarity double")
 
 
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("similarity", pa.float64())])
@@ -268,13 +268,15 @@ def unit_links(unit: list[dict], threshold: float) -> list[dict]:
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents without those whose class has a smaller doc_id; of repeated rows one stays."""
+    """The documents without those whose class has a smaller doc_id; of rows with one id that with the least text digest, then the least row, stays."""
     found = materialise(near_classes(docs, threshold), "classes")
     dropped = materialise(found.where("doc_id <> class_id").select("doc_id").distinct(), "dropped")
     kept = docs.join(dropped, "doc_id", "left_anti")
     repeated = materialise(found.where("doc_id = class_id").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
     if not repeated.isEmpty():
-        once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        comparable = [f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+        order = F.struct(text_key().alias("key"), *comparable)
+        once = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), order).alias("kept")).select("kept.*")
         kept = kept.join(repeated, "doc_id", "left_anti").unionByName(once)
     return kept.select(*docs.columns)
 

@@ -9,14 +9,20 @@ computed per slice of the key space and stored. The driver holds a summary of th
 interval); where the walk hits the inside of an interval, only that interval is summarised more finely and the
 search goes on. What is collected is bounded by the shards and the search depth, not by the number of groups.
 
+A group as large as the capacity fills its shard alone and says nothing about the others, so the groups before and after it are cut by the same search over
+the shards that are left. Where no group sets the capacity, each shard in turn takes as little above the mean of what is left as the rest can
+bear. The largest shard is as small as it can be in every part, and shards are not left empty by a greedy walk.
+
 Defined cases: a null text has no bytes and counts as an empty one; repeated rows are documents of their own; fewer groups than
-shards leave shards empty; a group larger than the mean fills its shard alone; no rows give no rows.
+shards leave shards empty; no rows give no rows.
 """
 
 from __future__ import annotations
 
 import math
 from bisect import bisect_right
+from collections.abc import Callable
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +30,8 @@ from pyspark.sql.window import Window
 
 from codetide.llm.common import materialise, text_key, whole_text
 
+T = TypeVar("T")
+
 SHARDS = 8
 #: Groups of one slice of the key space, whose running sums one task computes.
 SLICE = 50_000
@@ -83,8 +91,25 @@ class EndSummary:
             self._wanted.add(at)
         return low
 
-    def unsure(self) -> bool:
-        return bool(self._wanted)
+    def above(self, position: int) -> int:
+        """Least end beyond a position, likewise."""
+        at = bisect_right(self.intervals, (position, math.inf, math.inf)) - 1
+        if at < 0:
+            return self.intervals[0][0]
+        low, high, n = self.intervals[at]
+        if position >= high:
+            return self.intervals[at + 1][0] if at + 1 < len(self.intervals) else high
+        if n > 2:
+            self._wanted.add(at)
+        return high
+
+    def settled(self, ask: Callable[[], T]) -> T:
+        """The answer once no interval that it depends on has to be divided."""
+        answer = ask()
+        while self._wanted:
+            self.divide()
+            answer = ask()
+        return answer
 
     def divide(self) -> None:
         """Summarise the noted intervals more finely, all in one job."""
@@ -105,33 +130,65 @@ class EndSummary:
         self.intervals = sorted(keep + [tuple(row[1:]) for row in found])
 
 
-def greedy_cuts(summary: EndSummary, capacity: int, shards: int, total: int) -> list[int] | None:
-    """Ends of the shards' last groups, or None where the groups need more shards."""
-    cuts, at = [], 0
+def greedy_cuts(summary: EndSummary, capacity: int, shards: int, start: int, stop: int) -> list[int] | None:
+    """Ends of the last groups of shards from ``start`` to ``stop``, or None where the groups need more shards."""
+    cuts, at = [], start
     for _ in range(shards):
-        at = summary.floor(at + capacity) if at < total else total
+        at = summary.floor(min(at + capacity, stop)) if at < stop else stop
         cuts.append(at)
-    return cuts if at >= total else None
+    return cuts if at >= stop else None
 
 
-def minimax_cuts(ends: DataFrame, largest: int, total: int, shards: int) -> list[int]:
-    """Cuts of the smallest feasible capacity over the stored ends."""
-    summary = EndSummary(ends)
-    low, high = max(largest, -(-total // shards)), -(-total // shards) + largest  # the upper one is always feasible
+def least_capacity(summary: EndSummary, largest: int, shards: int, start: int, stop: int) -> int:
+    """Smallest feasible capacity, by binary search."""
+    mean = -(-(stop - start) // shards)
+    low, high = max(largest, mean), mean + largest  # the upper one is always feasible
     while low < high:
         middle = (low + high) // 2
-        fits = greedy_cuts(summary, middle, shards, total) is not None
-        while summary.unsure():
-            summary.divide()
-            fits = greedy_cuts(summary, middle, shards, total) is not None
+        fits = summary.settled(lambda: greedy_cuts(summary, middle, shards, start, stop)) is not None
         low, high = (low, middle) if fits else (middle + 1, high)
-    cuts = greedy_cuts(summary, low, shards, total)
-    while summary.unsure():
-        summary.divide()
-        cuts = greedy_cuts(summary, low, shards, total)
+    return low
+
+
+def even_cuts(summary: EndSummary, capacity: int, shards: int, start: int, stop: int) -> list[int]:
+    """Cuts within the capacity, each shard as little above the mean of what is left as the rest can bear."""
+    cuts, at = [], start
+    for left in range(shards, 0, -1):
+        if at < stop:
+            first = summary.settled(lambda: summary.above(at))
+            low, high = max(-(-(stop - at) // left), first - at), capacity
+            while low < high:
+                middle = (low + high) // 2
+                fits = summary.settled(lambda: greedy_cuts(summary, capacity, left - 1, summary.floor(min(at + middle, stop)), stop))
+                low, high = (low, middle) if fits is not None else (middle + 1, high)
+            at = summary.settled(lambda: summary.floor(min(at + low, stop)))
+        cuts.append(at)
     return cuts
 
 
+def minimax_cuts(ends: DataFrame, shards: int, start: int, stop: int, summary: EndSummary | None = None) -> list[int]:
+    """Cuts of the groups between two ends over the stored ends; where a group sets the capacity, of both sides of it."""
+    if start >= stop or shards < 1:
+        return [stop] * shards
+    summary = summary or EndSummary(ends)
+    inside = ends.where((F.col("end") > start) & (F.col("end") <= stop))
+    size, end = inside.agg(F.max(F.struct("size", "end")).alias("x")).select("x.*").first()
+    capacity = least_capacity(summary, size, shards, start, stop)
+    if capacity > size or (stop - start) >= size * shards:
+        return even_cuts(summary, capacity, shards, start, stop)
+    before, after = end - size - start, stop - end
+
+    def needed(low: int, high: int) -> int:
+        return next(k for k in range(shards + 1) if low >= high or k and summary.settled(lambda: greedy_cuts(summary, capacity, k, low, high)) is not None)
+
+    share = round((shards - 1) * before / max(1, before + after))
+    first = min(max(share, needed(start, end - size)), shards - 1 - needed(end, stop))
+    return [
+        *minimax_cuts(ends, first, start, end - size, summary), end,
+        *minimax_cuts(ends, shards - 1 - first, end, stop, summary),
+    ]
+
+
 def _shard_of(last_keys: list[str]) -> Column:
     """Number of the shard by the keys of the shards' last groups, ascending."""
     shard = F.lit(0)
@@ -145,10 +202,10 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     sized = materialise(sized_documents(docs), "sized")
     groups = sized.groupBy("key").agg(F.sum("size").alias("size"))
     ends = materialise(group_ends(groups), "ends")
-    largest, total = ends.agg(F.max("size"), F.max("end")).first()
+    total = ends.agg(F.max("end")).first()[0]
     last_keys: list[str] = []
     if total:
-        cuts = sorted({c for c in minimax_cuts(ends, largest, total, shards) if c < total})
+        cuts = sorted({c for c in minimax_cuts(ends, shards, 0, total) if 0 < c < total})
         last_keys = sorted(r.key for r in ends.where(F.col("end").isin(cuts)).select("key").collect())
     cells = max(1, math.ceil(sized.count() / CELL))
     placed = sized.withColumn("shard", _shard_of(last_keys)).withColumn(

@@ -56,6 +56,33 @@ def test_groups_of_very_unequal_size(make_documents, monkeypatch, seed):
     check(make_documents(*((i, rng.choice(texts)) for i in range(400))), 5)
 
 
+@pytest.mark.parametrize("copies", [220, 2000])
+@pytest.mark.parametrize("text", ["one text of many copies", "z" * 40])
+def test_a_group_of_a_third_leaves_no_shard_empty(make_documents, copies, text):
+    """The documents before and after a large group are dealt out over the other shards alike."""
+    rng = random.Random(3)
+    docs = [(i, f"text {i} " + "w" * rng.randrange(20, 180)) for i in range(400 if copies < 1000 else 1200)]
+    table = make_documents(*docs, *((10_000 + i, text) for i in range(copies)))
+    check(table, 8)
+    sizes, large = defaultdict(int), set()
+    for r in sharding.shard_documents(table).collect():
+        sizes[r.shard] += r.size
+        if r.doc_id >= 10_000:
+            large.add(r.shard)
+    others = [n for s, n in sizes.items() if s not in large]
+    assert len(sizes) == 8 and len(large) == 1 and max(others) < 3 * min(others)
+
+
+def test_few_groups_are_spread(make_documents):
+    table = make_documents(*((i, f"{i:02}a") for i in range(9)))
+    check(table, 8)
+    assert len({r.shard for r in sharding.shard_documents(table).collect()}) == 8
+
+
+def test_a_very_long_text(make_documents):
+    check(make_documents((1, "x" * 3_000_000), *((i, "y" * i) for i in range(2, 90))), 8)
+
+
 def test_cases(make_documents):
     docs = make_documents((1, None), (2, ""), (3, "a"), (3, "a"), (None, "é"))
     check(docs, 8)

@@ -109,12 +109,13 @@ def write_archive(pages: DataFrame, path: str) -> None:
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """page_id, header, payload, record: the bytes as they stand in an archive file. Bytes unlike their digest raise."""
+    """page_id, header, payload, record: the bytes as they stand in an archive file. Bytes unlike their digest raise, as does a header without its payload."""
     held = spark.read.parquet(f"{path}/payloads")
     intact = F.sha2("payload", 256) == F.col("sha256")
     held = held.withColumn("payload", F.when(intact, F.col("payload")).otherwise(F.raise_error(F.lit("payload unlike its digest"))))
     headers = spark.read.parquet(f"{path}/headers")
-    joined = headers.join(held, "sha256")
+    missing = F.raise_error(F.concat(F.lit("no payload for "), F.col("sha256"))).cast("binary")
+    joined = headers.join(held, "sha256", "left").withColumn("payload", F.when(F.col("payload").isNull(), missing).otherwise(F.col("payload")))
     revisit = F.col("header").contains(f"{CRLF}WARC-Type: revisit{CRLF}")
     block = F.when(revisit, F.lit("").cast("binary")).otherwise(F.col("payload"))
     record = F.concat(F.col("header").cast("binary"), block, F.lit(CRLF * 2).cast("binary"))

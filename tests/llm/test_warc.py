@@ -45,3 +45,20 @@ def test_damage_is_found(spark, make_pages):
     spark.read.parquet(f"{path}/headers").write.parquet(f"{path}-2/headers")
     with pytest.raises(Exception, match="payload unlike its digest"):
         warc.read_archive(spark, f"{path}-2").collect()
+
+
+def test_a_missing_payload_is_found(spark, make_pages):
+    path = scratch_path(spark, "archive")
+    warc.write_archive(make_pages((1, "u", LONG), (2, "u", "other")), path)
+    spark.read.parquet(f"{path}/payloads").where("octet_length(payload) > 10").write.parquet(f"{path}-3/payloads")
+    spark.read.parquet(f"{path}/headers").write.parquet(f"{path}-3/headers")
+    with pytest.raises(Exception, match="no payload for"):
+        warc.read_archive(spark, f"{path}-3").collect()
+
+
+def test_very_long_payloads(spark, make_pages):
+    long = "é\n" * 1_000_000
+    path = scratch_path(spark, "archive")
+    warc.write_archive(make_pages((1, "u", long), (2, "v", long), (3, "w", long + "x")), path)
+    rows = {r.page_id: r for r in warc.read_archive(spark, path).collect()}
+    assert [bytes(rows[i].payload).decode() for i in (1, 2, 3)] == [long, long, long + "x"]

@@ -5,8 +5,10 @@ increasing subsequence of them is taken, equal words next to an anchor are joine
 same way. Coverage is the share of the template's words that are aligned.
 
 Places are found without loss: ``LEAST_COVERAGE`` of a template's words have to stand within a stretch of ``STRETCH``
-times its length, so only stretches with so many of its words are aligned, the fullest first; what lies in a found notice
-is not looked at again.
+times its length, so only stretches with so many of its words are looked at, the fullest first; what lies in a found notice
+is not looked at again. Before a stretch is aligned, bounds that no alignment can pass sort it out: how many pairs of neighbouring words it has to share with the
+template, and the length of the longest common subsequence, counted with a bit per template word. Where that lacks k words, the stretches that begin
+less than k words away cannot do either, so a text of a license's words in another order costs few looks.
 
 Words that tell licenses apart count besides coverage: a notice's names, numbers and variant words ("Lesser", "NC") all have to be aligned, of a longer
 template the first version number and, by the share that coverage asks for, the variant words; a place with more unaligned variant words than
@@ -14,11 +16,12 @@ that leaves is another license. Where notices overlap, the one with the most ali
 longer licenses are files beside this module; that of AGPL-3.0 is not among them, so only its notice and header are found.
 
 Defined cases: null and empty texts have no notices; a notice that occurs several times is reported as often; repeated rows are
-reported each; of equally full stretches the first is taken; other columns are ignored; no rows give no rows.
+reported each; of equally full stretches the first is taken; texts of any length are worked on whole; other columns are ignored; no rows give no rows.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left
 from collections import Counter
@@ -120,7 +123,7 @@ TEMPLATES = {
     "BSD-2-Clause": _BSD_GRANT + _BSD_DISCLAIMER,
     "BSD-3-Clause": f"{_BSD_GRANT}3. {_BSD_ENDORSE}{_BSD_DISCLAIMER}",
     "BSD-4-Clause": f"{_BSD_GRANT}{_BSD_ADVERTISING}4. {_BSD_ENDORSE}{_BSD_DISCLAIMER}",
-    "GPL header": (
+    "GPL-3.0 header": (
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
         "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later "
         "version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
@@ -197,26 +200,68 @@ def aligned(text: list[str], template: list[str]) -> list[tuple[int, int]]:
     return sorted(pairs)
 
 
+class Template:
+    """Words of a wording, with what its bounds need."""
+
+    def __init__(self, name: str, words: list[str]):
+        self.name, self.words, self.vocabulary, self.often = name, words, frozenset(words), Counter(words)
+        self.neighbours = frozenset(zip(words, words[1:], strict=False))
+        self._bits: dict[str, int] = {}
+        for i, w in enumerate(words):
+            self._bits[w] = self._bits.get(w, 0) | 1 << i
+
+    def in_order(self, text: list[str]) -> int:
+        """Length of the longest common subsequence with a text; a zero bit for each template word that ends a longer one."""
+        whole = open_ = (1 << len(self.words)) - 1
+        for bits in filter(None, map(self._bits.get, text)):
+            taken = open_ & bits
+            open_ = (open_ + taken | open_ - taken) & whole
+        return len(self.words) - open_.bit_count()
+
+
+class Fullest:
+    """Values of which the first largest is asked for again and again while some change."""
+
+    SIZE = 2048
+
+    def __init__(self, values: np.ndarray):
+        self._parts = np.zeros((-(-len(values) // self.SIZE), self.SIZE), dtype=np.int64)
+        self.values = self._parts.reshape(-1)
+        self.values[: len(values)] = values
+        self._most = self._parts.max(axis=1)
+
+    def first(self) -> tuple[int, int]:
+        part = int(self._most.argmax())
+        at = int(self._parts[part].argmax())
+        return part * self.SIZE + at, int(self._parts[part, at])
+
+    def put(self, low: int, values: np.ndarray | int, high: int) -> None:
+        low = max(0, low)
+        self.values[low:high] = values
+        parts = slice(low // self.SIZE, -(-high // self.SIZE))
+        self._most[parts] = self._parts[parts].max(axis=1)
+
+
 class NoticeFinder:
     def __init__(self, templates: dict[str, str], least: float):
         self._least = least
         split = sorted(((name, words) for name, text in templates.items() if (words := words_of(text))), key=lambda t: -len(t[1]))
-        self._templates = [(name, words, frozenset(words), Counter(words)) for name, words in split]
+        self._templates = [Template(name, words) for name, words in split]
 
     def __call__(self, text: str) -> Iterator[tuple[str, float, int, int]]:
         """(template, coverage, first word, word after the last) of every notice."""
         words = words_of(text)
         present = set(words)
         found, won = [], []
-        for name, template, vocabulary, often in self._templates:
-            common = vocabulary & present
-            if sum(often[w] for w in common) >= self._least * len(template):
+        for template in self._templates:
+            common, size = template.vocabulary & present, len(template.words)
+            if sum(template.often[w] for w in common) >= self._least * size:
                 free = np.ones(len(words), dtype=bool)
                 for score, _, first, end, _ in won:
-                    if score >= len(template):  # nothing that is still to come can be better there
+                    if score >= size:  # nothing that is still to come can be better there
                         free[first:end] = False
-                places = self._places(words, name, template, common, often, free)
-                found += [((2 * coverage - 1) * len(template), *notice, coverage) for *notice, coverage in places]
+                places = self._places(words, template, common, free)
+                found += [((2 * coverage - 1) * size, *notice, coverage) for *notice, coverage in places]
                 won = self._best(found, len(words))
         for _, name, first, end, coverage in won:
             yield name, coverage, first, end
@@ -244,33 +289,50 @@ class NoticeFinder:
         more = sum(words[i] in VARIANTS and i not in at for i in range(pairs[0][0], pairs[-1][0]))
         return sum(variants) >= self._least * len(variants) and more <= (1 - self._least) * len(variants)
 
-    def _places(
-        self, words: list[str], name: str, template: list[str], common: frozenset, often: Counter, free: np.ndarray
-    ) -> Iterator[tuple[str, int, int, float]]:
-        need, width = self._least * len(template), int(STRETCH * len(template)) + 1
-        hits = np.fromiter((w in common for w in words), dtype=np.int64, count=len(words))
-        possible = None
+    def _places(self, words: list[str], template: Template, common: frozenset, free: np.ndarray) -> Iterator[tuple[str, int, int, float]]:
+        size, n = len(template.words), len(words)
+        need, width = self._least * size, int(STRETCH * size) + 1
+        hits = np.fromiter((w in common for w in words), dtype=np.int64, count=n)
+
+        def inside(low: int, high: int) -> np.ndarray:
+            """Free words of the template in the stretch from each word on."""
+            sums = np.concatenate([[0], np.cumsum((hits * free)[low : high + width])])
+            return sums[np.minimum(np.arange(high - low) + width, len(sums) - 1)] - sums[: high - low]
+
+        full = inside(0, n) * hits * free
+        if full.max(initial=0) < need:
+            return
+        full[self._shared(words, width, template.often) < need] = 0
+        # Of k aligned pairs all but this many follow each other in both: a gap costs a word of the stretch or of the template.
+        tight = 3 * need - size - width - 1
+        if tight > 0:
+            pairs = zip(words, words[1:], strict=False)
+            paired = np.concatenate([[0], np.cumsum(np.fromiter((p in template.neighbours for p in pairs), dtype=np.int64, count=n - 1))])
+            ends = np.minimum(np.arange(n) + width - 1, n - 1)
+            full[paired[ends] - paired[np.minimum(np.arange(n), n - 1)] < tight] = 0
+        fullest = Fullest(full)
         while True:
-            sums = np.concatenate([[0], np.cumsum(hits * free)])
-            starts = np.flatnonzero(hits * free if possible is None else hits * free * possible)
-            inside = sums[np.minimum(starts + width, len(words))] - sums[starts]
-            if not len(starts) or inside.max() < need:
+            start, most = fullest.first()
+            if most < need:
                 return
-            if possible is None:
-                possible = self._shared(words, width, often) >= need
-                continue
-            start = int(starts[int(np.argmax(inside))])
             # The fullest stretch may begin with stray words and end within the notice, so the alignment looks one template further.
-            taken = [i for i in range(start, min(start + width + len(template), len(words))) if free[i]]
-            pairs = self._within(width, [(taken[i], j) for i, j in aligned([words[i] for i in taken], template)])
-            coverage = len(pairs) / len(template)
-            told = coverage >= self._least and self._told(words, template, pairs)
+            taken = [i for i in range(start, min(start + width + size, n)) if free[i]]
+            looked = [words[i] for i in taken]
+            lacking = math.ceil(need - template.in_order(looked))
+            if lacking > 0:
+                fullest.put(start - lacking + 1, 0, min(start + lacking, n))
+                continue
+            pairs = self._within(width, [(taken[i], j) for i, j in aligned(looked, template.words)])
+            coverage = len(pairs) / size
+            told = coverage >= self._least and self._told(words, template.words, pairs)
             if told:
-                yield name, pairs[0][0], pairs[-1][0] + 1, coverage
-            if told or coverage >= self._least and len(template) > HEADER:  # a whole text of another license holds no notice of this one
-                free[pairs[0][0] : pairs[-1][0] + 1] = False
-            else:
-                free[start] = False
+                yield template.name, pairs[0][0], pairs[-1][0] + 1, coverage
+            fullest.put(start, 0, start + 1)
+            if told or coverage >= self._least and size > HEADER:  # a whole text of another license holds no notice of this one
+                low, high = max(0, pairs[0][0] - width), pairs[-1][0] + 1
+                free[pairs[0][0] : high] = False
+                still = (fullest.values[low:high] > 0) & free[low:high]
+                fullest.put(low, inside(low, high) * still, high)
 
     @staticmethod
     def _shared(words: list[str], width: int, often: Counter) -> np.ndarray:
@@ -297,15 +359,34 @@ class NoticeFinder:
         return pairs[-best[1] : best[0] - best[1]]
 
 
+_form = re.compile(r" ((?:short |long )?notice|header|name)$")
+_finders: dict[tuple, NoticeFinder] = {}
+
+
+def _finder(templates: dict[str, str], least: float) -> NoticeFinder:
+    key = (tuple(templates.items()), least)
+    if key not in _finders:
+        _finders.clear()
+        _finders[key] = NoticeFinder(templates, least)
+    return _finders[key]
+
+
+def license_and_form(template: str) -> tuple[str, str]:
+    """The license that a template belongs to, and whether it is its text or one of the ways to name it."""
+    form = _form.search(template)
+    return (template[: form.start()], form[1]) if form else (template, "text")
+
+
 def find_notices(docs: DataFrame, templates: dict[str, str] | None = None, least: float = LEAST_COVERAGE) -> DataFrame:
-    """doc_id, license, coverage, first_word, end_word: a row for every notice found."""
+    """doc_id, license, form, coverage, first_word, end_word: a row for every notice found."""
     templates = dict(templates or TEMPLATES)
 
     def run(rows: list[dict]) -> Iterator[dict]:
-        find = NoticeFinder(templates, least)
+        find = _finder(templates, least)
         for row in rows:
-            for name, coverage, first, end in find(row["text"]):
-                yield {"doc_id": row["doc_id"], "license": name, "coverage": coverage, "first_word": first, "end_word": end}
+            for template, coverage, first, end in find(row["text"]):
+                name, form = license_and_form(template)
+                yield {"doc_id": row["doc_id"], "license": name, "form": form, "coverage": coverage, "first_word": first, "end_word": end}
 
-    out = "doc_id long, license string, coverage double, first_word long, end_word long"
+    out = "doc_id long, license string, form string, coverage double, first_word long, end_word long"
     return map_text(docs.select("doc_id", whole_text().alias("text")), run, out)

@@ -1,4 +1,6 @@
 import random
+import time
+from collections import Counter
 
 from codetide.llm import licenses as lic
 from conftest import SF_DIR
@@ -16,8 +18,8 @@ def longest_common(a, b):
 def test_every_notice_line_of_the_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     lines = {lic.TEMPLATES[n].lower() + ".": n for n in lic.TEMPLATES}
-    want = {(r.doc_id, lines[x.strip().lower()]) for r in docs.collect() for x in r.text.split("\n") if x.strip().lower() in lines}
-    got = {(r.doc_id, r.license): r.coverage for r in lic.find_notices(docs).collect()}
+    want = {(r.doc_id, *lic.license_and_form(lines[x.strip().lower()])) for r in docs.collect() for x in r.text.split("\n") if x.strip().lower() in lines}
+    got = {(r.doc_id, r.license, r.form): r.coverage for r in lic.find_notices(docs).collect()}
     assert want and want <= set(got) and all(got[k] == 1.0 for k in want)
 
 
@@ -74,6 +76,59 @@ def test_scattered_words_are_no_notice():
     assert not list(lic.NoticeFinder(lic.TEMPLATES, 0.8)(" ".join(f"{w} x y z" for w in words)))
 
 
+def test_common_subsequences():
+    rng = random.Random(4)
+    for _ in range(200):
+        a, b = (rng.choices("abcdef", k=rng.randrange(1, 30)) for _ in range(2))
+        assert lic.Template("t", b).in_order(a) == longest_common(a, b)
+
+
+def exhaustive(words, template):
+    """Whether any stretch with enough of the template's words has an alignment of the needed share, without bounds on their order."""
+    width, n, own = int(lic.STRETCH * len(template)) + 1, len(template), Counter(template)
+    for start in range(len(words)):
+        if words[start] not in own or sum((Counter(words[start : start + width]) & own).values()) < lic.LEAST_COVERAGE * n:
+            continue
+        pairs = lic.NoticeFinder._within(width, lic.aligned(words[start : start + width + n], template))
+        if len(pairs) >= lic.LEAST_COVERAGE * n:
+            return True
+    return False
+
+
+def test_bounds_lose_nothing():
+    """Edited wordings among other words: what an alignment of every stretch finds is found."""
+    rng = random.Random(6)
+    found = 0
+    for round_ in range(150):
+        name = rng.choice(["ISC", "MIT", "BSD-2-Clause", "MPL-2.0 header", "MIT notice"])
+        template = lic.words_of(lic.TEMPLATES[name])
+        words = list(template)
+        for _ in range(rng.randrange(0, max(3, len(words)))):
+            at = rng.randrange(len(words))
+            words[at : at + rng.randrange(2)] = rng.choices([*template, "odd", "words"], k=rng.randrange(2))
+        words = [*rng.choices(template, k=8), *words, *rng.choices(template, k=8)]
+        finder = lic.NoticeFinder({name: lic.TEMPLATES[name]}, lic.LEAST_COVERAGE)
+        finder._told = lambda *_: True
+        got = list(finder(" ".join(words)))
+        assert bool(got) == exhaustive(words, template), (round_, name)
+        found += bool(got)
+    assert 20 < found < 140
+
+
+def test_texts_of_license_words_are_cheap():
+    """Words of a license in random order, in shuffled runs, and a notice repeated."""
+    rng = random.Random(5)
+    words = lic.words_of(lic.TEMPLATES["Apache-2.0"])
+    shuffled = rng.choices(words, k=1_000_000)
+    runs = [w for _ in range(4000) for at in [rng.randrange(len(words) - 5)] for w in words[at : at + 5]]
+    notice = "Released under the MIT License. " * 4000
+    find = lic.NoticeFinder(lic.TEMPLATES, lic.LEAST_COVERAGE)
+    start = time.perf_counter()
+    assert not list(find(" ".join(shuffled))) and not [f for f in find(" ".join(runs)) if f[1] * len(lic.words_of(lic.TEMPLATES[f[0]])) > 50]
+    assert len(list(find(notice))) == 4000
+    assert time.perf_counter() - start < 120
+
+
 def test_longest_increasing():
     rng = random.Random(3)
     for _ in range(200):
@@ -88,7 +143,7 @@ def test_longest_increasing():
 def test_cases(spark, make_documents):
     text = "Released under the MIT License."
     docs = make_documents((1, None), (2, ""), (3, text), (3, text), (None, text), (4, "word " * 30000 + text))
-    rows = sorted((r.doc_id or 0, r.license, r.first_word) for r in lic.find_notices(docs).collect())
+    rows = sorted((r.doc_id or 0, f"{r.license} {r.form}", r.first_word) for r in lic.find_notices(docs).collect())
     assert rows == [(0, "MIT notice", 0), (3, "MIT notice", 0), (3, "MIT notice", 0), (4, "MIT notice", 30000)]
     assert lic.find_notices(docs.limit(0)).count() == 0
     assert lic.find_notices(spark.read.parquet(f"{SF_DIR}/documents.parquet"), {"none": "..."}).count() == 0

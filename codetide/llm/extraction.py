@@ -5,8 +5,8 @@ and sentences; an edge's from the kind of the child. Messages are passed up the
 tree and down again, which gives each node's exact marginal; blocks whose element has a marginal of one half or more are the text.
 Node weights and edge tables are learned together by the likelihood of labelled pages (``labelled_pages``), a bounded number of them, on the driver.
 
-Defined cases: a null page is an empty one; no page text is an empty string; unclosed elements and tags end with the page; a page without an element is one
-text whose node decides; repeated rows get a row each; other columns are ignored; no rows give no rows.
+Defined cases: a null page is an empty one; no page text is an empty string; unclosed elements and tags end with the page; a page without an element is plain text, which the
+model knows as such and takes whole; repeated rows get a row each; other columns are ignored; no rows give no rows.
 """
 
 from __future__ import annotations
@@ -34,12 +34,14 @@ _names = re.compile(r"[a-z]+")
 _camel = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
-def features(node: Node, of_page: int) -> dict[str, float]:
-    """Named features of a node; ``of_page`` is the number of words of the page."""
+def features(node: Node, of_page: int, alone: bool = False) -> dict[str, float]:
+    """Named features of a node; ``of_page`` is the number of words of the page, ``alone`` tells that it has no other node."""
     words, links = node.words, node.link_words
     out = {"bias": 1.0, f"{'tag' if node.names else 'plain'} {node.tag}": 1.0}
     for name in set(_names.findall(_camel.sub(" ", node.names).lower())):
         out[f"name {name}"] = 1.0
+    if alone:
+        out["alone"] = 1.0
     if words:
         out["words"] = min(1.0, math.log1p(words) / 7)
         out["share"] = words / max(1, of_page)
@@ -68,7 +70,7 @@ class TreeModel:
         n, total = len(nodes), nodes[0].words
         own, up, tables = [], [(1.0, 1.0)] * n, []
         for node in nodes:
-            z = sum(weights.get(k, 0.0) * v for k, v in features(node, total).items())
+            z = sum(weights.get(k, 0.0) * v for k, v in features(node, total, n == 1).items())
             p = 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
             own.append([1 - p, p])
             tables.append(self.edges.get(edge_kind(node), ((1.0, 1.0), (1.0, 1.0))))
@@ -104,7 +106,7 @@ def labels_of(page: Page) -> list[int]:
     """1 where more than half of a node's words are main text, by the marks of a labelled page."""
     mark = [0] * len(page.nodes)
     for i, node in enumerate(page.nodes):
-        mark[i] = int(node.label) if node.label else mark[node.parent] if i else 0
+        mark[i] = int(node.label) if node.label else mark[node.parent] if i else int(len(page.nodes) == 1)
     main = [node.own_words * m for node, m in zip(page.nodes, mark, strict=True)]
     for i in range(len(page.nodes) - 1, 0, -1):
         main[page.nodes[i].parent] += main[i]
@@ -120,7 +122,7 @@ class Forest:
             page, first = read_page(source), len(rows)
             labels += labels_of(page)
             for node in page.nodes:
-                rows.append(features(node, page.nodes[0].words))
+                rows.append(features(node, page.nodes[0].words, len(page.nodes) == 1))
                 parents.append(first + node.parent if node.parent >= 0 else -1)
                 depths.append(depths[parents[-1]] + 1 if node.parent >= 0 else 0)
                 kinds.append(EDGE_KINDS.index(edge_kind(node)))

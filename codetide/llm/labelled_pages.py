@@ -23,6 +23,7 @@ NAMES = {
     "main": "content main article post entry story post-content entry-content article-body main-content body-text text post-body",
 }
 
+#: A layout without an element is a page of plain text, all of it main.
 #: @word@ picks a name of that kind; {p} some paragraphs, {s} a sentence, {w} a few words, {l} a list of links, {c} comments.
 LAYOUTS = (
     '<header><a href="/">{w}</a></header><nav><ul>{l}</ul></nav><div class="@ad@">{s}</div><article data-y="1"><h1>{w}</h1>{p}</article><footer>&copy; {w} &middot; {s}</footer>',
@@ -39,6 +40,10 @@ LAYOUTS = (
     '<nav><ul>{l}</ul></nav><aside class="@side@"><h3>{w}</h3><p>{s}</p><p>{s}</p></aside><article class="@main@" data-y="1"><h1>{w}</h1>{p}</article><section id="@comments@"><article class="@comments@">{s}</article><article class="@comments@"><p>{s}</p></article></section><footer><nav>{l}</nav><p>{s}</p></footer>',
     '<main><div class="@ad@"><p>{s}</p></div><h1 data-y="1">{w}</h1><div data-y="1">{p}<ol><li>{s}</li><li>{s}</li></ol><table><tr><th>{w}</th><td>{w}</td></tr></table></div><div class="@share@"><p>{w}</p></div><ul class="@comments@"><li>{s}</li><li><p>{s}</p></li></ul></main><dialog class="@notice@"><p>{s}</p></dialog>',
     '<header><nav>{l}</nav></header><article data-y="1">{p}</article><footer class="@footer@">{s}</footer>',
+    '<nav><ul>{l}</ul></nav><article data-y="1"><h1>{w}</h1>{p}<ul>{l}</ul>{p}</article><aside><ul>{l}</ul></aside><footer>{s}</footer>',
+    '<div class="@menu@">{l}</div><div class="@main@" data-y="1"><h1>{w}</h1>{p}<h2>{w}</h2><ol>{l}</ol>{p}</div><div class="@footer@">{l}</div>',
+    '<header><nav>{l}</nav></header><main><article data-y="1"><h2>{w}</h2>{p}</article><article data-y="1"><h2>{w}</h2>{p}</article><article data-y="1"><h2>{w}</h2>{p}</article></main><footer>{s}</footer>',
+    "{s} {s} {s}",
 )
 
 _SYLLABLES = "an re ti on er th en es ou la de qui ver ein ung los que cion ar in st ly ble at nd".split()
@@ -80,7 +85,8 @@ class PageWriter:
                 return "".join(f'<li><a href="/x">{" ".join(self.words(1, 3))}</a></li>' for _ in range(rng.randint(3, 8)))
             return "".join(f'<div class="{rng.choice(("comment", "reply", "comment-body"))}"><p>{self.sentence()}</p></div>' for _ in range(rng.randint(1, 5)))
 
-        return f"<!DOCTYPE html><html><head><title>x</title></head><body>{_field.sub(fill, layout)}</body></html>"
+        filled = _field.sub(fill, layout)
+        return filled if "<" not in layout else f"<!DOCTYPE html><html><head><title>x</title></head><body>{filled}</body></html>"
 
 
 def labelled_pages(per_layout: int = 30, seed: int = 5, layouts: tuple[str, ...] = LAYOUTS) -> list[str]:

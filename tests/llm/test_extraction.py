@@ -17,10 +17,16 @@ def model():
     return ex.default_model()
 
 
-def marked_text(source):
-    page, mark = read_page(source), []
+def marked_nodes(page):
+    mark = []
     for i, node in enumerate(page.nodes):
-        mark.append(int(node.label) if node.label else mark[node.parent] if i else 0)
+        mark.append(int(node.label) if node.label else mark[node.parent] if i else int(len(page.nodes) == 1))
+    return mark
+
+
+def marked_text(source):
+    page = read_page(source)
+    mark = marked_nodes(page)
     return " ".join(t for n, t in page.blocks if mark[n])
 
 
@@ -41,6 +47,37 @@ def test_unseen_pages_of_all_layouts(model):
     assert right >= 0.9 * len(pages), (right, len(pages))
 
 
+def test_layouts_never_seen():
+    """Each layout in turn is left out of the training: words of its main text that are found, and found words that are of it."""
+    hit = wanted = found = 0
+    for i, layout in enumerate(LAYOUTS[:-1]):  # nothing else is like plain text
+        other = ex.train(labelled_pages(12, layouts=LAYOUTS[:i] + LAYOUTS[i + 1 :]))
+        for source in labelled_pages(6, seed=77, layouts=(layout,)):
+            page, text = read_page(source), marked_text(source)
+            inside = other.marginals(page)
+            marked = marked_nodes(page)
+            for node, block in page.blocks:
+                n = len(block.split())
+                hit, wanted, found = hit + n * (marked[node] and inside[node] >= 0.5), wanted + n * marked[node], found + n * (inside[node] >= 0.5)
+            assert text
+    assert hit > 0.93 * wanted and hit > 0.93 * found, (hit, wanted, found)
+
+
+def test_links_in_an_article_and_several_articles(model):
+    links = "".join(f"<li><a href=/{k}>Link {k}</a></li>" for k in range(4))
+    around = f"<nav><ul>{links}</ul></nav>%s<footer>All rights reserved.</footer>"
+    text = "Some words of the text. And a few more of them here."
+    article = f"<article><h1>A title</h1><p>{text}</p><ul>{links}</ul><p>{text}</p></article>"
+    assert model.text(around % article) == f"A title {text} Link 0 Link 1 Link 2 Link 3 {text}"
+    several = "".join(f"<article><h2>Title {k}</h2><p>{text}</p></article>" for k in range(3))
+    assert model.text(around % f"<main>{several}</main>") == " ".join(f"Title {k} {text}" for k in range(3))
+
+
+@pytest.mark.parametrize("text", ["word", "Plain text without any markup. It has two sentences.", "one\ntwo &amp; three " * 50])
+def test_plain_text(model, text):
+    assert model.text(text) == " ".join(html.unescape(text).split())
+
+
 def test_marginals_equal_enumeration(model):
     """On small trees sum-product gives the marginals of the joint distribution."""
     for source in ("<div class=menu><p>a b.</p></div><article><h1>t</h1><p>x y z.</p></article>", "<p>one<p>two<div><ul><li>a<li>b</ul></div>"):

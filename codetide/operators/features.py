@@ -71,8 +71,18 @@ def repo_activity(events: DataFrame, windows: Windows, bounds: DataFrame | None
     A repository with very many events is spread over its actors in 1 and 2, and an actor
     with very many events is combined before each shuffle. No join, no exact distinct count.
     """
-    calendar = Calendar(windows, day_bounds(events) if bounds is None else bounds)
-    panes = _actor_panes(events.select(*EVENT_COLUMNS), calendar)
+    limits = day_bounds(events) if bounds is None else bounds
+    return activity_from_panes(actor_panes(events, windows, limits), windows, limits)
+
+
+def actor_panes(events: DataFrame, windows: Windows, bounds: DataFrame) -> DataFrame:
+    """Level 1, which can be stored: a pane's rows depend on the events of the pane and on the first day of the history only."""
+    return _actor_panes(events.select(*EVENT_COLUMNS), Calendar(windows, bounds))
+
+
+def activity_from_panes(panes: DataFrame, windows: Windows, bounds: DataFrame) -> DataFrame:
+    """Levels 2 and 3 over panes, be they just computed or stored."""
+    calendar = Calendar(windows, bounds)
     return _per_repo(_per_actor(panes, calendar), calendar).where(
         F.col("events_total") >= windows.min_events
     )

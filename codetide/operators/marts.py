@@ -60,6 +60,24 @@ def hourly_mart(events: DataFrame, approximate: bool = False) -> DataFrame:
     )
 
 
+#: Logarithm of a sketch's number of registers, and the relative deviation of its estimate.
+LG_REGISTERS = 12
+SKETCH_DEVIATION = 1.04 / 2 ** (LG_REGISTERS / 2)
+
+
+def uniques_mart(events: DataFrame) -> DataFrame:
+    """Per hour the counts of a period's report and sketches of the actors and repositories, which can be united over any hours."""
+    return events.groupBy(_hour()).agg(
+        F.count(F.lit(1)).alias("events"),
+        of_type(STAR).alias("stars"),
+        of_type(FORK).alias("forks"),
+        of_type(PULL_REQUEST).alias("prs"),
+        of_type(PUSH).alias("pushes"),
+        F.hll_sketch_agg("actor_id", LG_REGISTERS).alias("actor_sketch"),
+        F.hll_sketch_agg("repo_id", LG_REGISTERS).alias("repo_sketch"),
+    )
+
+
 def merge_mart(mart: DataFrame, keys: list[str], additive: list[str]) -> DataFrame:
     """Add up rows of the same key. Distinct counts are not additive and must not be listed."""
     return mart.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in additive])

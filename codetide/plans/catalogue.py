@@ -20,7 +20,7 @@ from codetide.operators.snapshots import (
     data_bounds,
     snapshot_calendar,
 )
-from codetide.plans import incremental, model_tables, reports, risk_reports, training
+from codetide.plans import aggregates, incremental, model_tables, reports, risk_reports, training
 from codetide.session import materialise, scratch_path
 from codetide.sources import archives, manifest
 from codetide.sources.clickstream import (
@@ -203,6 +203,18 @@ def _over_events(report: Callable[..., DataFrame], *args) -> Query:
     return lambda spark, sf_dir: report(clean(spark, sf_dir), *PERIOD, *args)
 
 
+def rpt_kpi_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The period's figures from hourly sketches, and whether the estimates are within three deviations of the exact numbers."""
+    events = _stored_clean(spark, sf_dir)
+    uniques = materialise(marts.uniques_mart(events), "uniques")
+    exact = reports.kpi(events, *PERIOD).select(F.col("actors").alias("all_actors"), F.col("repos").alias("all_repos"))
+    near = lambda c: F.abs(F.col(c) - F.col(f"all_{c}")) <= 3 * marts.SKETCH_DEVIATION * F.col(f"all_{c}")
+    both = reports.kpi_sketch(uniques, *PERIOD).join(F.broadcast(exact))  # a row each
+    return both.select(
+        "events", "stars", "forks", "prs", "pushes", "events_per_day", near("actors").alias("actors_near"), near("repos").alias("repos_near")
+    )
+
+
 def rpt_repo_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Days of the repository with the most events of the period."""
     events = clean(spark, sf_dir)
@@ -245,6 +257,21 @@ def features_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.drop("top_actor_events", "future_events", "label_available")
 
 
+def features_from_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows from panes that were stored without the events of a middle day and then brought up to date by a load of it."""
+    lines = untidy_lines(read_clickstream(spark, sf_dir))
+    database = f"codetide_{uuid.uuid4().hex}"
+    late = F.col("file_name").startswith(LATE_DAY)
+    ensure_database(spark, database)
+    try:
+        incremental.merge_arrivals(lines.where(~late), database, AS_OF, WINDOWS)
+        incremental.merge_arrivals(lines.where(late), database, AS_OF, WINDOWS)
+        rows = aggregates.stored_activity(spark, database, WINDOWS)
+        return materialise(rows.drop("top_actor_events", "future_events", "label_available"), "from_panes")
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
 def features_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = features.with_ratios(features.repo_activity(clean(spark, sf_dir), WINDOWS))
     return rows.select(
@@ -495,6 +522,7 @@ QUERIES: dict[str, Query] = {
     "mart_merge": mart_merge,
     "data_bounds": bounds,
     "rpt_kpi": _over_events(reports.kpi),
+    "rpt_kpi_sketch": rpt_kpi_sketch,
     "rpt_peak": _over_hourly(reports.peak_hour_of_a_type),
     "rpt_peak_total": _over_hourly(reports.peak_hour),
     "rpt_daily": _over_hourly(reports.daily_events),
@@ -514,6 +542,7 @@ QUERIES: dict[str, Query] = {
     "top_actor": top_actor,
     "labels": labels,
     "features_window": features_window,
+    "features_from_panes": features_from_panes,
     "features_derived": features_derived,
     "dataset_train": dataset_train,
     "dataset_predict": dataset_predict,

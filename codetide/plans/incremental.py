@@ -14,11 +14,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codetide.operators.cleaning import clean_events, dedup_events
+from codetide.operators.snapshots import Windows
+from codetide.plans.aggregates import update_panes, update_uniques
 from codetide.plans.etl import MARTS, dated
-from codetide.schemas import RAW_EVENT, TABLES
+from codetide.schemas import OPTIONAL_TABLES, RAW_EVENT, TABLES
 from codetide.session import materialise, require_utc, scratch
 from codetide.sources.archives import land_lines
-from codetide.sources.tables import append_table, ensure_database, overwrite_partitions, overwrite_table
+from codetide.sources.tables import append_table, ensure_database, overwrite_listed, overwrite_partitions, overwrite_table, table_exists
 from codetide.streaming.archives import arriving_lines
 
 #: Ids of one range of the index, where ids are numbers; ranges of the other ids, by hash.
@@ -61,20 +63,24 @@ def indexed_days(spark: SparkSession, database: str, ids: DataFrame) -> DataFram
     return index.join(wanted, ["id_range", "event_id"], "left_semi").select("event_id", "event_date").distinct()
 
 
-def merge_arrivals(lines: DataFrame, database: str, as_of: dt.datetime | None = None) -> None:
+def merge_arrivals(
+    lines: DataFrame, database: str, as_of: dt.datetime | None = None, panes: Windows | None = None, uniques: bool = False
+) -> None:
     """Land lines (``value``, ``file_name``) of whole archives and bring events and marts up to date.
 
     An id may have a copy in an archive loaded before, on the same day or another; the earliest valid one is kept, so the days that
     are rebuilt are those of the new events and of the copies that they replace. All others are neither read nor written.
-    Running the same arrivals again changes nothing.
+    Running the same arrivals again changes nothing. On request the feature panes of ``panes`` and the hourly sketches are kept, too.
     """
     spark = lines.sparkSession
     require_utc(spark)
     with scratch(spark):
-        _merge(spark, materialise(land_lines(lines), "landed"), database, as_of)
+        _merge(spark, materialise(land_lines(lines), "landed"), database, as_of, panes, uniques)
 
 
-def _merge(spark: SparkSession, landed: DataFrame, database: str, as_of: dt.datetime | None) -> None:
+def _merge(
+    spark: SparkSession, landed: DataFrame, database: str, as_of: dt.datetime | None, panes: Windows | None, uniques: bool
+) -> None:
     overwrite_partitions(landed, f"{database}.events_raw")
     fresh = materialise(dated(clean_events(parsed(landed), as_of), "created_at"), "fresh")
     if fresh.isEmpty():
@@ -97,24 +103,20 @@ def _merge(spark: SparkSession, landed: DataFrame, database: str, as_of: dt.date
     # The index first: a day too many in it costs reading that day, a day too few would lose a copy.
     new = kept.select("event_id", "event_date").join(known, ["event_id", "event_date"], "left_anti")
     append_table(_days_of(new), f"{database}.event_days")
-    _replace_days(spark, rebuilt, days, f"{database}.events_parsed")
+    overwrite_listed(rebuilt, f"{database}.events_parsed", "event_date", days)
     for name, build in MARTS.items():
-        _replace_days(spark, dated(build(rebuilt), "hour"), days, f"{database}.{name}")
-
-
-def _replace_days(spark: SparkSession, rows: DataFrame, days: list[dt.date], table: str) -> None:
-    """Overwrite the days with rows; a touched day that has none any more, its events having moved, is dropped."""
-    stored = materialise(rows, "replacement")
-    overwrite_partitions(stored, table)
-    left = {r.event_date for r in stored.select("event_date").distinct().collect()}
-    for day in days:
-        if day not in left:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (event_date = DATE'{day}')")
+        mart = materialise(dated(build(rebuilt), "hour"), name)
+        overwrite_listed(mart, f"{database}.{name}", "event_date", days)
+    if uniques:
+        update_uniques(spark, database, days)
+    if panes:
+        update_panes(spark, database, panes, days)
 
 
 def load_arrivals(
-    spark: SparkSession, directory: str, database: str, checkpoint: str, as_of: dt.datetime | None = None
-) -> None:
+    spark: SparkSession, directory: str, database: str, checkpoint: str, as_of: dt.datetime | None = None,
+    panes: Windows | None = None, uniques: bool = False,
+) -> None:
     """One incremental run over a directory of archives: all that have appeared since the last run.
 
     The stream's checkpoint lists the files already read, so no list of paths passes through the driver's code, and a batch
@@ -124,11 +126,12 @@ def load_arrivals(
     ensure_database(spark, database)
     query = (
         arriving_lines(spark, directory).writeStream
-        .foreachBatch(lambda batch, _: merge_arrivals(batch, database, as_of))
+        .foreachBatch(lambda batch, _: merge_arrivals(batch, database, as_of, panes, uniques))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    for name in TABLES:  # the stream's batches ran in a session of their own
-        spark.catalog.refreshTable(f"{database}.{name}")
+    for name in [*TABLES, *OPTIONAL_TABLES]:  # the stream's batches ran in a session of their own
+        if table_exists(spark, f"{database}.{name}"):
+            spark.catalog.refreshTable(f"{database}.{name}")

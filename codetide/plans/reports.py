@@ -35,6 +35,19 @@ def kpi(
     return totals.withColumn("events_per_day", F.col("events") / days_in(first_day, last_day))
 
 
+def kpi_sketch(uniques: DataFrame, first_day: dt.date, last_day: dt.date) -> DataFrame:
+    """``kpi`` from the mart of hourly sketches alone: a row per hour is read, whatever the number of events.
+
+    Actors and repositories are estimates with a relative deviation of ``SKETCH_DEVIATION``; all else is exact.
+    """
+    counts = ("events", "stars", "forks", "prs", "pushes")
+    totals = in_period(uniques, "hour", first_day, last_day).agg(
+        *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts),
+        *(F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(f"{c}_sketch")), F.lit(0)).alias(f"{c}s") for c in ("actor", "repo")),
+    )
+    return totals.withColumn("events_per_day", F.col("events") / days_in(first_day, last_day))
+
+
 def peak_hour_of_a_type(hourly: DataFrame, first_day: dt.date, last_day: dt.date) -> DataFrame:
     """Most events of one type in one hour."""
     return in_period(hourly, "hour", first_day, last_day).agg(F.max("event_count").alias("peak"))

@@ -94,3 +94,20 @@ TABLES: dict[str, TableContract] = {
         ("model", "trained_at"),
     ),
 }
+
+# Tables that a user may ask for besides: what reports and snapshots read instead of events.
+OPTIONAL_TABLES: dict[str, TableContract] = {
+    "mart_hourly_uniques": TableContract(
+        "hour timestamp, events bigint, stars bigint, forks bigint, prs bigint, pushes bigint,"
+        " actor_sketch binary, repo_sketch binary, event_date date",
+        ("event_date",),
+        ("hour",),
+    ),
+    "feature_panes": TableContract(
+        "pane int, repo_id bigint, actor_id bigint, repo_name string, language string, events bigint, pushes bigint,"
+        " commits bigint, stars bigint, forks bigint, prs bigint, first_at timestamp, created_at timestamp, days bigint,"
+        " anchor date, half_days int, pane_day date",
+        ("pane_day",),
+        ("repo_id", "actor_id", "pane"),
+    ),
+}

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codetide.schemas import TABLES, TableContract
+from codetide.schemas import OPTIONAL_TABLES, TABLES, TableContract
 
 
 def ensure_table(spark: SparkSession, name: str, contract: TableContract) -> None:
@@ -19,6 +21,12 @@ def ensure_database(spark: SparkSession, database: str) -> None:
         ensure_table(spark, f"{database}.{name}", contract)
 
 
+def ensure_optional(spark: SparkSession, database: str, table: str) -> str:
+    """Declare one of the optional tables; returns its full name."""
+    ensure_table(spark, f"{database}.{table}", OPTIONAL_TABLES[table])
+    return f"{database}.{table}"
+
+
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
@@ -51,6 +59,15 @@ def _insert_overwrite(df: DataFrame, name: str, mode: str) -> None:
         conf.set(key, before)
 
 
+def overwrite_listed(df: DataFrame, name: str, column: str, values: list[dt.date]) -> None:
+    """Replace the partitions of the listed dates with rows that were stored before; a date without rows is dropped."""
+    overwrite_partitions(df, name)
+    left = {r[0] for r in df.select(column).distinct().collect()}
+    for value in values:
+        if value not in left:
+            df.sparkSession.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({column} = DATE'{value}')")
+
+
 def append_table(df: DataFrame, name: str) -> None:
     _conform(df, name).write.mode("append").insertInto(name)
 
@@ -61,7 +78,7 @@ def _conform(df: DataFrame, name: str) -> DataFrame:
     The rebalance keeps a day from being scattered into one small file per task, and lets
     adaptive execution split a day that holds most of the rows.
     """
-    contract = TABLES.get(name.split(".")[-1])
+    contract = (TABLES | OPTIONAL_TABLES).get(name.split(".")[-1])
     target = df.sparkSession.table(name).schema
     out = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.fields])
     if contract and contract.partition_by:

@@ -464,6 +464,12 @@ ORACLES: dict[str, str] = {
          count(*) FILTER (event_type = 'PullRequestEvent') AS prs,
          count(*) FILTER (event_type = 'PushEvent') AS pushes,
          count(*) / {DAYS}.0::DOUBLE AS events_per_day
+  FROM period"""),
+    "rpt_kpi_sketch": query("period", f"""
+  SELECT count(*) AS events, count(*) FILTER (event_type = 'WatchEvent') AS stars,
+         count(*) FILTER (event_type = 'ForkEvent') AS forks, count(*) FILTER (event_type = 'PullRequestEvent') AS prs,
+         count(*) FILTER (event_type = 'PushEvent') AS pushes, count(*) / {DAYS}.0::DOUBLE AS events_per_day,
+         true AS actors_near, true AS repos_near
   FROM period"""),
     "rpt_peak": query("hourly_period", "SELECT max(event_count) AS peak FROM hourly_period"),
     "rpt_peak_total": query("period", """
@@ -517,6 +523,7 @@ ORACLES: dict[str, str] = {
     "top_actor": query("top_actor", "SELECT * FROM top_actor"),
     "labels": query("train", "SELECT snapshot_date, repo_id, future_events, abandoned FROM train"),
     "features_window": query("windowed", "SELECT * FROM windowed"),
+    "features_from_panes": query("windowed", "SELECT * FROM windowed"),
     "features_derived": query("rows", """
   SELECT snapshot_date, repo_id, top_actor_share, events_per_active_day, commits_per_push, trend_ratio,
          events_per_actor FROM rows"""),

@@ -40,13 +40,15 @@ BLOCK_ERRORS = RADIUS // BLOCKS
 ITEMS = 2048
 #: Windows fingerprinted at a time.
 PIECE = 2048
+#: Windows that are not worth looking for equal ones among.
+FEW = 128
 
 _word = re.compile(r"[^\W_]+")
 _NEAR = np.array([[bin(a ^ b).count("1") <= BLOCK_ERRORS for b in range(256)] for a in range(256)])
 
 
-def words_of(text: str) -> list[bytes]:
-    return [w.encode() for w in _word.findall(text.lower())]
+def words_of(text: str) -> list[str]:
+    return _word.findall(text.lower())
 
 
 def signs(shingles: np.ndarray) -> np.ndarray:
@@ -81,10 +83,12 @@ class BenchmarkIndex:
             self.by_size[int(size)] = (of_size, own, [_NEAR[:, own[:, b]] for b in range(BLOCKS)])
 
     def near(self, size: int, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of window and item, item by item, of all fingerprints within the radius. Equal fingerprints are compared once."""
+        """Pairs of window and item, item by item, of all fingerprints within the radius. Of many equal fingerprints are compared once."""
         of_size, own, tables = self.by_size[size]
-        once, same = np.unique(np.ascontiguousarray(found).view(f"V{BLOCKS}").ravel(), return_inverse=True)
-        once = once.view(np.uint8).reshape(-1, BLOCKS)
+        once, same = found, slice(None)
+        if len(found) > FEW:
+            once, same = np.unique(np.ascontiguousarray(found).view(f"V{BLOCKS}").ravel(), return_inverse=True)
+            once = once.view(np.uint8).reshape(-1, BLOCKS)
         candidate = np.zeros((len(once), len(of_size)), dtype=bool)
         for b, table in enumerate(tables):
             candidate |= table[once[:, b]]

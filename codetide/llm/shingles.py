@@ -5,13 +5,7 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-from codetide.llm.common import Remembered
-
 SHINGLE = 5
-#: New words after which a worker forgets those not met lately.
-REMEMBERED = 100_000
-
-_numbers = Remembered(xxhash.xxh3_64_intdigest, REMEMBERED)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -24,8 +18,9 @@ def mixed(x: np.ndarray) -> np.ndarray:
 _FACTORS = mixed(np.arange(1, SHINGLE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
-def word_numbers(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_numbers.__getitem__, words), dtype=np.uint64, count=len(words))
+def word_numbers(words: list[bytes] | list[str]) -> np.ndarray:
+    """Hashes of the words in UTF-8. To hash a word takes less than to look it up among those met before."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
 
 
 def shingle_numbers(words: np.ndarray) -> np.ndarray:

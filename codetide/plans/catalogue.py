@@ -24,6 +24,7 @@ from codetide.plans import aggregates, incremental, model_tables, reports, risk_
 from codetide.session import materialise, scratch_path
 from codetide.sources import archives, manifest
 from codetide.sources.clickstream import (
+    cut_archive,
     landed_all,
     landed_before_last_day,
     raw_events,
@@ -33,6 +34,7 @@ from codetide.sources.clickstream import (
     untidy_lines,
 )
 from codetide.sources.tables import ensure_database
+from codetide.streaming.archives import land_new_archives
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,6 +84,24 @@ def raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archives.land_lines(archives.read_lines(spark, folder))
 
 
+def archive_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines landed of each archive, the largest of which was cut in the transfer, with the reason why it is set aside."""
+    lines = untidy_lines(read_clickstream(spark, sf_dir))
+    folder = store_archives(lines, scratch_path(spark, "arriving"))
+    largest = lines.groupBy("file_name").agg(F.count(F.lit(1)).alias("n")).where(F.col("file_name").rlike(archives.ARCHIVE_NAME))
+    cut_archive(spark, folder, largest.orderBy(F.desc("n"), "file_name").first().file_name)
+    database = f"codetide_{uuid.uuid4().hex}"
+    ensure_database(spark, database)
+    try:
+        land_new_archives(spark, folder, database, scratch_path(spark, "state"))
+        landed = archives.landed_counts(spark.table(f"{database}.events_raw"))
+        aside = spark.table(f"{database}.archives_quarantined").select("source_file", "reason")
+        both = landed.join(aside, "source_file", "full").select("source_file", F.coalesce("lines", F.lit(0)).alias("lines"), "reason")
+        return materialise(both, "quarantine")
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
 def incremental_etl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean events after a load of all archives but those of one middle day, and then of that day."""
     lines = untidy_lines(read_clickstream(spark, sf_dir))
@@ -502,6 +522,7 @@ SNAPSHOT = dt.date(2024, 1, 22)
 QUERIES: dict[str, Query] = {
     "raw_scan": raw_scan,
     "raw_landing": raw_landing,
+    "archive_quarantine": archive_quarantine,
     "incremental_etl": incremental_etl,
     "incremental_files": incremental_files,
     "landed_counts": landed_counts,

@@ -19,9 +19,9 @@ from codetide.plans.aggregates import update_panes, update_uniques
 from codetide.plans.etl import MARTS, dated
 from codetide.schemas import OPTIONAL_TABLES, RAW_EVENT, TABLES
 from codetide.session import materialise, require_utc, scratch
-from codetide.sources.archives import land_lines
+from codetide.sources.archives import land_lines, set_aside, whole_archives
 from codetide.sources.tables import append_table, ensure_database, overwrite_listed, overwrite_partitions, overwrite_table, table_exists
-from codetide.streaming.archives import arriving_lines
+from codetide.streaming.archives import each_arrival
 
 #: Ids of one range of the index, where ids are numbers; ranges of the other ids, by hash.
 RANGE_IDS, HASH_RANGES = 1 << 22, 256
@@ -119,19 +119,18 @@ def load_arrivals(
 ) -> None:
     """One incremental run over a directory of archives: all that have appeared since the last run.
 
-    The stream's checkpoint lists the files already read, so no list of paths passes through the driver's code, and a batch
-    that failed is given again.
+    Archives that cannot be read to their end are set aside with the reason; nothing of them is landed.
     """
     require_utc(spark)
     ensure_database(spark, database)
-    query = (
-        arriving_lines(spark, directory).writeStream
-        .foreachBatch(lambda batch, _: merge_arrivals(batch, database, as_of, panes, uniques))
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+
+    def load(files: DataFrame) -> None:
+        with scratch(files.sparkSession):
+            found = materialise(whole_archives(files), "found")
+            set_aside(found, database)
+            merge_arrivals(found.where("reason is null"), database, as_of, panes, uniques)
+
+    each_arrival(spark, directory, checkpoint, load)
     for name in [*TABLES, *OPTIONAL_TABLES]:  # the stream's batches ran in a session of their own
         if table_exists(spark, f"{database}.{name}"):
             spark.catalog.refreshTable(f"{database}.{name}")

@@ -47,6 +47,8 @@ TABLES: dict[str, TableContract] = {
         "event_hour int, source_file string, raw string, event_date date",
         ("event_date", "source_file"),
     ),
+    # Archives that could not be read to their end: nothing of them is landed.
+    "archives_quarantined": TableContract("source_file string, path string, reason string"),
     "events_parsed": TableContract(
         "event_id string, event_type string, actor_id bigint, actor_login string,"
         " repo_id bigint, repo_name string, language string, commits_count int,"

@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import gzip
+import io
+import zlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codetide.schemas import RAW_EVENT
-from codetide.sources.tables import overwrite_partitions
+from codetide.session import materialise, scratch
+from codetide.sources.tables import append_table, overwrite_partitions
 
 # Pattern and layout of an archive name.
 ARCHIVE_NAME = r"^(\d{4}-\d{2}-\d{2})-(\d{1,2})\.json\.gz$"
@@ -86,16 +93,64 @@ def landed_counts(landed: DataFrame) -> DataFrame:
     return landed.groupBy("source_file").agg(F.count(F.lit(1)).alias("lines"))
 
 
-def land_new_archives(spark: SparkSession, directory: str, table: str) -> int:
-    """Land the archives that the table does not hold yet; returns how many.
+#: Characters of lines that are handed on at a time; bytes of archives that a task is handed at a time, one archive at least.
+LINES_AT_ONCE, ARCHIVES_AT_ONCE = 4 << 20, 32 << 20
+
+
+def archive_fault(content: bytes) -> str | None:
+    """Why an archive cannot be read to its end, or None. It is unpacked piece by piece and its checksum compared.
+
+    A file without a byte never gets here: the file source gives no row for it, and its hour stays missing.
+    """
+    try:
+        with gzip.GzipFile(fileobj=io.BytesIO(content)) as unpacked:
+            while unpacked.read(1 << 20):
+                pass
+    except EOFError:
+        return "truncated"
+    except (gzip.BadGzipFile, zlib.error):
+        return "corrupt"
+    return None
+
+
+_WHOLE = pa.schema([("file_name", pa.string()), ("path", pa.string()), ("value", pa.string()), ("reason", pa.string())])
+
+
+def whole_archives(files: DataFrame) -> DataFrame:
+    """file_name, path, value, reason: the lines of archives (``path``, ``content``) that are intact; of others one row with the reason.
 
-    Each file is its own partition of the table and is overwritten as a whole, so a run
-    that died half way is repaired by the next one. Only the list of new file names, 24 per
-    day of history, passes through the driver, as it does in any file scan.
+    The file source gives the lines before a fault and then fails or goes on, so archives are unpacked here, an archive at a time.
     """
-    pending = not_landed(list_archives(spark, directory), spark.table(table).select("source_file"))
-    paths = [row.path for row in pending.select("path").collect()]
-    if not paths:
-        return 0
-    overwrite_partitions(land_lines(read_lines(spark, *paths)), table)
-    return len(paths)
+    files.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARCHIVES_AT_ONCE))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, content in zip(*batch.columns, strict=True):
+                path, content = path.as_py(), content.as_py()
+                name, reason = path.rsplit("/", 1)[-1], archive_fault(content)
+                if reason:
+                    yield pa.RecordBatch.from_pylist([{"file_name": name, "path": path, "reason": reason}], schema=_WHOLE)
+                    continue
+                with gzip.open(io.BytesIO(content), "rt", encoding="utf-8", errors="replace") as unpacked:
+                    while lines := unpacked.readlines(LINES_AT_ONCE):
+                        rows = [[name] * len(lines), [path] * len(lines), [x.rstrip("\n") for x in lines], [None] * len(lines)]
+                        yield pa.RecordBatch.from_arrays([pa.array(r, pa.string()) for r in rows], schema=_WHOLE)
+
+    return files.select("path", "content").mapInArrow(run, "file_name string, path string, value string, reason string")
+
+
+def set_aside(found: DataFrame, database: str) -> None:
+    """Record the archives that could not be read; one that is known already is not recorded again."""
+    table = f"{database}.archives_quarantined"
+    faulty = found.where(F.col("reason").isNotNull() & F.col("file_name").rlike(ARCHIVE_NAME))
+    known = found.sparkSession.table(table).select("path")
+    new = faulty.select(source_key(F.col("file_name")).alias("source_file"), "path", "reason").distinct().join(known, "path", "left_anti")
+    append_table(materialise(new, "faulty"), table)
+
+
+def land_batch(files: DataFrame, database: str) -> None:
+    """Land the lines of intact archives and set the others aside. Each file is its own partition and overwritten as a whole."""
+    with scratch(files.sparkSession):
+        found = materialise(whole_archives(files), "found")
+        set_aside(found, database)
+        overwrite_partitions(land_lines(found.where("reason is null")), f"{database}.events_raw")

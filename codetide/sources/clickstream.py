@@ -131,6 +131,16 @@ def store_archives(lines: DataFrame, path: str) -> str:
     return folder.toString()
 
 
+def cut_archive(spark: SparkSession, folder: str, name: str) -> None:
+    """Replace an archive by its first half, as a broken transfer leaves it. For tests and queries."""
+    content = spark.read.format("binaryFile").load(f"{folder}/{name}").select("content").first()[0]
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+    out = path.getFileSystem(conf).create(path, True)
+    out.write(bytearray(content[: len(content) // 2]))
+    out.close()
+
+
 def landed_all(clicks: DataFrame) -> DataFrame:
     """Landed table of a load that has taken the whole stream."""
     hour = F.col("ts").cast("timestamp")

@@ -401,6 +401,17 @@ ORACLES: dict[str, str] = {
          || '}}}},"created_at":"' || created_text || '"}' AS line
         FROM raw)
   WHERE happened IS NOT NULL"""),
+    "archive_quarantine": query("raw", """
+  SELECT source_file, CASE WHEN cut THEN 0 ELSE lines END AS lines, CASE WHEN cut THEN 'truncated' END AS reason
+  FROM (
+    SELECT source_file, landed AS lines, row_number() OVER (ORDER BY written DESC, source_file || '.gz') = 1 AS cut
+    FROM (
+      SELECT strftime(happened, '%Y-%m-%d') || '-' || hour(happened) || '.json' AS source_file,
+             CAST(sum(CASE WHEN event_id % 67 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS landed,
+             sum(1 + CAST(event_id % 67 = 0 AS INTEGER) + CAST(event_id % 59 = 0 AS INTEGER)) AS written
+      FROM raw WHERE happened IS NOT NULL GROUP BY 1
+    )
+  )"""),
     "incremental_etl": query("clean", "SELECT * FROM clean"),
     "incremental_files": query("landed", """
   SELECT DISTINCT strftime(ts, '%Y-%m-%d') || '-' || hour(ts) || '.json.gz' AS file_name,

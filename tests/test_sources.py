@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from codetide.plans import etl
 from codetide.sources import archives, manifest, tables
+from codetide.streaming import archives as streaming
 from test_cleaning import NOW, event
 
 
@@ -50,18 +51,49 @@ def test_a_broken_line_reads_as_nulls(spark, folder):
     assert sorted(str(r.id) for r in raw.collect()) == ["3", "None"]
 
 
-def test_incremental_landing(spark, folder, database):
-    table = f"{database}.events_raw"
-    assert archives.land_new_archives(spark, str(folder), table) == 3
-    assert archives.land_new_archives(spark, str(folder), table) == 0
-    assert spark.table(table).count() == 5
+def test_incremental_landing(spark, folder, database, tmp_path):
+    state = str(tmp_path / "state")
+    land = lambda: streaming.land_new_archives(spark, str(folder), database, state)
+    counts = lambda: {r.source_file: r.lines for r in archives.landed_counts(spark.table(f"{database}.events_raw")).collect()}
+    land()
+    first = {"2025-03-01-9.json": 2, "2025-03-01-23.json": 2, "2025-03-02-0.json": 1}
+    assert counts() == first
+    land()
+    assert counts() == first
     with gzip.open(folder / "2025-03-02-1.json.gz", "wt") as f:
         f.write(json.dumps(event("5")) + "\n")
-    assert archives.land_new_archives(spark, str(folder), table) == 1
-    counts = {r.source_file: r.lines for r in archives.landed_counts(spark.table(table)).collect()}
-    assert counts == {
-        "2025-03-01-9.json": 2, "2025-03-01-23.json": 2, "2025-03-02-0.json": 1, "2025-03-02-1.json": 1,
-    }
+    land()
+    assert counts() == first | {"2025-03-02-1.json": 1}
+
+
+def test_both_ways_of_reading_give_the_same_lines(spark, folder):
+    files = spark.read.format("binaryFile").load(str(folder))
+    whole = archives.whole_archives(files.select("path", "content"))
+    assert sorted(map(str, archives.land_lines(whole).collect())) == sorted(map(str, archives.land_lines(archives.read_lines(spark, str(folder))).collect()))
+
+
+def test_faulty_archives_are_set_aside(spark, folder, database, tmp_path):
+    """Cut, damaged inside, damaged checksum, no archive at all; two members are no fault, and an empty file is a missing hour."""
+    text = "".join(json.dumps(event(str(i))) + "\n" for i in range(3000)).encode()
+    packed = gzip.compress(text)
+    damaged = bytearray(packed)
+    damaged[len(packed) // 2] ^= 0xFF
+    files = {
+        "2025-03-05-0": packed[:-9], "2025-03-05-1": packed[: len(packed) // 2], "2025-03-05-2": bytes(damaged),
+        "2025-03-05-3": packed[:-8] + b"\0" * 8, "2025-03-05-4": b"no archive", "2025-03-05-5": b"", "2025-03-05-6": packed + packed,
+    }
+    for name, content in files.items():
+        (folder / f"{name}.json.gz").write_bytes(content)
+    for _ in range(2):
+        streaming.land_new_archives(spark, str(folder), database, str(tmp_path / "state"))
+    aside = {r.source_file: r.reason for r in spark.table(f"{database}.archives_quarantined").collect()}
+    assert set(aside) == {f"2025-03-05-{k}.json" for k in range(5)}  # an empty file has no row in any scan
+    assert aside["2025-03-05-0.json"] == aside["2025-03-05-1.json"] == "truncated"
+    assert aside["2025-03-05-2.json"] in ("corrupt", "truncated") and aside["2025-03-05-3.json"] == aside["2025-03-05-4.json"] == "corrupt"
+    landed = spark.table(f"{database}.events_raw")
+    assert {r.source_file: r.lines for r in archives.landed_counts(landed.where("event_date = date'2025-03-05'")).collect()} == {"2025-03-05-6.json": 6000}
+    hours = manifest.hours_of_days(spark.sql("select date'2025-03-05' first_day, date'2025-03-05' last_day"))
+    assert {r.event_hour for r in manifest.missing_hours(hours, landed).collect()} == set(range(24)) - {6}
 
 
 def test_manifests(spark):

@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as contract
 import corpus_pipeline as pipeline
 from codetide.llm import quality, toxicity
-from codetide.llm.common import DOCUMENT_COLUMNS, documents, read_table
+from codetide.llm.common import DOCUMENT_COLUMNS, documents, materialise, read_table
 from llm.test_decontamination import brute as brute_leaks
 from llm.test_neardup import brute_classes
 from llm.test_quality import by_hand
@@ -72,3 +72,16 @@ def test_empty_table(spark):
     docs = documents(spark, FOLDER).limit(0)
     for _, stage in pipeline.STAGES:
         assert stage(spark, docs, FOLDER).count() == 0
+
+
+def test_cases(spark, make_documents):
+    """Nulls, a very long text, repeated rows and clashing names pass through all stages."""
+    text = lambda k: " ".join(f"w{k}x{j}" for j in range(60))
+    docs = make_documents((1, None), (2, ""), (3, text(3)), (3, text(3)), (None, text(4)), (5, text(5)), (6, text(5)), (7, " ".join(text(k) for k in range(900, 2000))))
+    docs = docs.unionByName(make_documents((8, text(8)), source=None)).selectExpr("*", "'x' as r_id", "'x' as row", "'x' as key", "'x' as node", "'x' as cell")
+    for name, stage in pipeline.STAGES:
+        before, docs = docs, materialise(stage(spark, docs, FOLDER), name)
+        if name != "packing":
+            assert docs.columns == before.columns
+    assert sorted((r.doc_id or 0) for r in docs.select("doc_id").distinct().collect()) == [0, 3, 5, 7, 8]
+    assert docs.where("doc_id = 3").count() == 1

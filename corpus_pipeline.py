@@ -2,6 +2,10 @@
 
 Each stage works on all that its predecessor kept and is written before the next one reads it, so a lost executor costs
 no more than tasks of one stage. The first four return the columns of documents; the last returns the packed pieces.
+
+Defined cases, besides those that the operators' modules state: a document with a null text has no toxic word and goes in the second stage, as it has too
+few words; one without an id is no copy of another and stays as such; of rows that repeat an id and a text one stays, of different texts under one id
+that with the least digest; a null source is a host of its own; further columns, whatever their names, are kept up to the last stage; no rows give no rows.
 """
 
 from __future__ import annotations

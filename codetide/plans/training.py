@@ -44,8 +44,8 @@ BOOST_ITERATIONS, BOOST_RATE, BOOST_DEPTH, BOOST_PATIENCE, BOOST_BINS = 500, 0.0
 # The library's limit; the size of a leaf ends the growth before.
 FOREST_DEPTH = 30
 
-# Boosting is fitted with so many rounds at first, which mostly shows the least loss and the patience after it; else with all.
-BOOST_FIRST = 128
+# Boosting is fitted with so many rounds at first, which shows an early least loss and the patience after it; then with four times the patience; then with all.
+BOOST_FIRST = 64
 
 #: Rows of a task when trees are fitted: many for large sets; for small ones enough to keep the cores busy.
 ROWS_PER_TASK, FEWEST_ROWS = 100_000, 500
@@ -129,8 +129,8 @@ def boosted_trees(train: DataFrame, languages: list[str], **params) -> PipelineM
     """Boosting on the rows that are not ``is_validation``, ended by the loss on those that are.
 
     A longer run with the same seed begins with the trees of a shorter one, so the model is one that was cut to the rounds up to the least loss
-    before ``patience`` rounds without improvement. Nothing is fitted again for that; where the first ``BOOST_FIRST`` rounds do not show it, all are
-    fitted.
+    before ``patience`` rounds without improvement. Nothing is fitted again for that; only where ``BOOST_FIRST`` rounds, then four times the patience, do
+    not show it, a longer run is fitted.
     """
     most = params.pop("maxIter", BOOST_ITERATIONS)
     patience = params.pop("patience", BOOST_PATIENCE)
@@ -155,7 +155,7 @@ def boosted_trees(train: DataFrame, languages: list[str], **params) -> PipelineM
 
     if held.isEmpty():
         return PipelineModel([*stages.stages, fit(most)])
-    for rounds in sorted({min(max(BOOST_FIRST, 2 * patience), most), most}):
+    for rounds in sorted({min(n, most) for n in (BOOST_FIRST, 4 * patience, most)}):
         model = fit(rounds)
         keep, over = rounds_kept(model.evaluateEachIteration(held), patience)
         if over:

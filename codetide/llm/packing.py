@@ -29,7 +29,7 @@ CHUNK = 3000
 #: Sequences filled less than this are packed again with those of other chunks.
 WELL_FILLED = 0.98
 #: New words after which a worker forgets those not met lately.
-REMEMBERED = 150_000
+REMEMBERED = 300_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids array<long>"
 

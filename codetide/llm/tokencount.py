@@ -27,7 +27,7 @@ from codetide.llm.common import Remembered, map_text, whole_text
 SPACE_MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 #: New words after which a worker forgets those not met lately.
-REMEMBERED = 150_000
+REMEMBERED = 300_000
 
 
 def vocabulary_path() -> str:

@@ -54,7 +54,8 @@ TABLES: dict[str, TableContract] = {
         " repo_id bigint, repo_name string, language string, commits_count int,"
         " action string, created_at timestamp, event_date date",
         ("event_date",),
-        ("event_type", "repo_id", "created_at", "event_id"),
+        # By repository inside a day, so that a look-up of one skips the pages of the others.
+        ("repo_name", "created_at", "event_id"),
     ),
     # Days in which an event id is or was stored, so that a load finds its copies without reading the history.
     "event_days": TableContract(

@@ -140,6 +140,32 @@ def test_stored_events_are_pruned_by_period(spark, folder, database, capsys):
     assert "ReadSchema: struct<repo_id:bigint,created_at:timestamp>" in out
 
 
+def test_a_look_up_of_one_repository_skips_pages(spark, database):
+    """Of a day with 200,000 events the scan gives a tenth at most for one repository out of 1,000."""
+    from codetide.plans import reports
+
+    table = f"{database}.events_parsed"
+    day = dt.date(2025, 3, 1)
+    rows = spark.range(200_000).selectExpr(
+        "string(id) event_id", "'PushEvent' event_type", "id % 97 actor_id", "'a' actor_login", "pmod(xxhash64(id), 1000) repo_id",
+        "'org/r' || pmod(xxhash64(id), 1000) repo_name", "'Go' language", "1 commits_count", "string(null) action",
+        "timestamp_seconds(1740787200 + id % 86400) created_at", "date'2025-03-01' event_date",
+    )
+    tables.overwrite_table(rows.coalesce(1), table)
+    found = reports.repo_days(spark.table(table), day, day, "org/r500")
+    frame = found.select("*")
+    want = rows.where("repo_name = 'org/r500'").count()
+    plan = frame._jdf.queryExecution().executedPlan()
+    frame.collect()
+    scans = plan.collectLeaves() if plan.nodeName() != "AdaptiveSparkPlan" else plan.executedPlan().collectLeaves()
+    leaves = [scans.apply(i) for i in range(scans.size())]
+    while any(x.nodeName().endswith("QueryStage") for x in leaves):
+        inner = [x.plan().collectLeaves() if x.nodeName().endswith("QueryStage") else None for x in leaves]
+        leaves = [y.apply(i) for y in inner if y for i in range(y.size())] + [x for x, y in zip(leaves, inner, strict=True) if y is None]
+    (scan,) = [x for x in leaves if x.nodeName().startswith("Scan")]
+    assert want <= scan.metrics().apply("numOutputRows").value() <= 20_000
+
+
 def test_sinks(spark, database):
     name = f"{database}.mart_hourly_activity"
     rows = spark.sql(

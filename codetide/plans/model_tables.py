@@ -7,6 +7,7 @@ can score with them, and a model can be read without the library that fitted it.
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, LogisticRegressionModel, RandomForestClassificationModel
@@ -21,6 +22,8 @@ LINEAR = "feature string, mean double, deviation double, coefficient double"
 INTERCEPT = "(intercept)"
 #: Depth that the library allows a tree.
 DEEPEST = 30
+#: Rows that walk down all trees, of a task and of a block at most on average; blocks of a task at least.
+ROWS_PER_WALK, ROWS_PER_BLOCK, BLOCKS_PER_TASK = 10_000, 256, 4
 
 
 def feature_names(languages: list[str]) -> list[str]:
@@ -104,22 +107,33 @@ def linear_probability(rows: DataFrame, terms: DataFrame, languages: list[str],
 def ensemble_probability(rows: DataFrame, nodes: DataFrame, languages: list[str], boosted: bool, *key: str) -> DataFrame:
     """The key columns and ``probability``: every row meets every tree, walks down it, and the leaves are added up.
 
-    The trees are a row each, as many as the model was told to have, so that they are broadcast.
+    The trees are a row each, as many as the model was told to have, so that they are broadcast. The join copies a tree for each row that meets
+    it, and a tree may have thousands of nodes, so the rows meet it in blocks.
     """
     values = feature_values(languages)
     place = F.array_position(F.array(*(F.lit(n) for n in values)), F.col("feature")).cast("int")
     node = F.struct("node", F.nullif(place, F.lit(0)).alias("at"), "threshold", "left", "right", "value")
     trees = nodes.groupBy("tree", "weight").agg(F.array_sort(F.collect_list(node)).alias("nodes"))
-    met = rows.select(*key, F.array(*values.values()).alias("x")).join(F.broadcast(trees))
-
-    def step(at: Column, _: Column) -> Column:
-        here = F.get(F.col("nodes"), at)  # nodes are numbered from 0 without a gap
-        return F.when(here["at"].isNull(), at).otherwise(
-            F.when(F.element_at("x", here["at"]) <= here["threshold"], here["left"]).otherwise(here["right"])
-        )
-
-    leaf = F.aggregate(F.sequence(F.lit(1), F.lit(DEEPEST)), F.lit(0), step)
-    reached = met.select(*key, "weight", F.get(F.col("nodes"), leaf)["value"].alias("value"))
+    # The rows are long work for few bytes: their number decides on the tasks.
+    n = rows.count()
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, -(-n // ROWS_PER_WALK))
+    blocks = max(BLOCKS_PER_TASK * tasks, -(-n // ROWS_PER_BLOCK))
+    own = rows.select(*key, F.array(*values.values()).alias("x"))
+    block = F.pmod(F.xxhash64(*own.columns), F.lit(blocks)).alias("block")
+    blocked = own.groupBy(block).agg(F.collect_list(F.struct(*own.columns)).alias("rows")).repartition(tasks)
+    met = blocked.join(F.broadcast(trees))
+
+    def leaf(x: Column) -> Column:
+        def step(at: Column, _: Column) -> Column:
+            here = F.get(F.col("nodes"), at)  # nodes are numbered from 0 without a gap
+            return F.when(here["at"].isNull(), at).otherwise(
+                F.when(F.element_at(x, here["at"]) <= here["threshold"], here["left"]).otherwise(here["right"])
+            )
+
+        return F.aggregate(F.sequence(F.lit(1), F.lit(DEEPEST)), F.lit(0), step)
+
+    ends = F.transform("rows", lambda row: F.struct(*(row[c].alias(c) for c in key), F.get(F.col("nodes"), leaf(row["x"]))["value"].alias("value")))
+    reached = met.select("weight", F.explode(ends).alias("end")).select("weight", "end.*")
     total = F.sum(F.col("weight") * F.col("value"))
     probability = 1 / (1 + F.exp(-2 * total)) if boosted else total / F.sum("weight")
     return reached.groupBy(*key).agg(probability.alias("probability"))
@@ -135,15 +149,39 @@ def probability_by_rows(spark: SparkSession, model: PipelineModel, rows: DataFra
     return ensemble_probability(rows, tree_rows(spark, model), languages, isinstance(last, GBTClassificationModel), *key)
 
 
+def _saved_parts(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, dict]:
+    """Nodes and trees of a saved ensemble, the number of the tree first, and what is said of the whole."""
+    data, trees = spark.read.parquet(f"{path}/data"), spark.read.parquet(f"{path}/treesMetadata")
+    return data.withColumnRenamed(data.columns[0], "treeID"), trees, json.loads(spark.read.text(f"{path}/metadata").first().value)
+
+
+def _save_parts(spark: SparkSession, path: str, data: DataFrame, trees: DataFrame, about: dict) -> str:
+    data.write.parquet(f"{path}/data")
+    trees.write.parquet(f"{path}/treesMetadata")
+    spark.createDataFrame([(json.dumps(about),)], "value string").coalesce(1).write.text(f"{path}/metadata")
+    return path
+
+
 def cut_to(spark: SparkSession, model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
     """The model with its first ``rounds`` trees: the saved one without the rest, loaded again. A fit of that length has the same trees."""
-    whole, part = scratch_path(spark, "whole"), scratch_path(spark, "part")
+    whole = scratch_path(spark, "whole")
     model.write().save(whole)
-    spark.read.parquet(f"{whole}/data").where(F.col("treeID") < rounds).write.parquet(f"{part}/data")
-    trees = spark.read.parquet(f"{whole}/treesMetadata")
-    trees.where(F.col(trees.columns[0]) < rounds).write.parquet(f"{part}/treesMetadata")
-    about = json.loads(spark.read.text(f"{whole}/metadata").first().value)
+    data, trees, about = _saved_parts(spark, whole)
     about["numTrees"] = rounds
     about["paramMap"]["maxIter"] = rounds
-    spark.createDataFrame([(json.dumps(about),)], "value string").coalesce(1).write.text(f"{part}/metadata")
-    return GBTClassificationModel.load(part)
+    kept = data.where(F.col("treeID") < rounds), trees.where(F.col(trees.columns[0]) < rounds)
+    return GBTClassificationModel.load(_save_parts(spark, scratch_path(spark, "part"), *kept, about))
+
+
+def joined_forest(spark: SparkSession, saved: dict[str, int]) -> RandomForestClassificationModel:
+    """One forest of the trees of several saved ones, given by path and number of trees."""
+    nodes, forests, before = [], [], 0
+    for path, n in saved.items():
+        data, trees, about = _saved_parts(spark, path)
+        number = trees.columns[0]
+        nodes.append(data.withColumn("treeID", (F.col("treeID") + before).cast("int")))
+        forests.append(trees.withColumn(number, (F.col(number) + before).cast("int")))
+        before += n
+    about["numTrees"] = about["paramMap"]["numTrees"] = before
+    path = _save_parts(spark, scratch_path(spark, "joined"), reduce(DataFrame.unionByName, nodes), reduce(DataFrame.unionByName, forests), about)
+    return RandomForestClassificationModel.load(path)

@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import ElementwiseProduct, OneHotEncoder, StandardScaler, StringIndexerModel, VectorAssembler
@@ -30,8 +32,8 @@ from codetide.operators.split import (
     with_split,
     with_validation,
 )
-from codetide.plans.model_tables import cut_to, model_rows
-from codetide.session import ensure_checkpoints, materialise, require_utc, scratch
+from codetide.plans.model_tables import cut_to, joined_forest, model_rows
+from codetide.session import ensure_checkpoints, materialise, require_utc, scratch, scratch_path
 from codetide.sources.tables import append_table, overwrite_partitions
 
 LABEL, WEIGHT, FEATURES = "abandoned", "class_weight", "features"
@@ -50,6 +52,9 @@ BOOST_FIRST = 64
 #: Rows of a task when trees are fitted: many for large sets; for small ones enough to keep the cores busy.
 ROWS_PER_TASK, FEWEST_ROWS = 100_000, 500
 
+#: Forests that are fitted at the same time at most; what their seeds are apart, since a seed and the number of a part of the rows are added up.
+MOST_FITS, SEED_STEP = 32, 1_000_003
+
 
 def feature_stages(languages: list[str]) -> list:
     """Language one-hot and the numeric columns as one vector.
@@ -96,8 +101,19 @@ def _dealt(rows: DataFrame, fewest: int = FEWEST_ROWS) -> DataFrame:
     return materialise(rows.repartition(parts, "repo_id", "snapshot_date"), "fit_rows")
 
 
+def shares(trees: int, parts: int) -> list[int]:
+    """``trees`` dealt out to ``parts`` forests, one tree each at least."""
+    parts = max(1, min(trees, parts))
+    return [trees // parts + (i < trees % parts) for i in range(parts)]
+
+
 def random_forest(train: DataFrame, languages: list[str], **params) -> PipelineModel:
-    """The node that a row has reached in each tree is kept with the row, so a level does not walk down all trees again."""
+    """A forest that is fitted as several at the same time, each with a share of the trees and draws of its own, and joined to one.
+
+    Every task of a level holds the statistics of all nodes of the level, however few rows it has, and sends them on. So the cores are kept busy
+    by trees, which share nothing, and the rows are in as few parts as tasks can read.
+    The node that a row has reached in each tree is kept with the row, so a level does not walk down all trees again.
+    """
     settings = {
         "numTrees": FOREST_TREES,
         "minInstancesPerNode": FOREST_MIN_LEAF,
@@ -107,11 +123,25 @@ def random_forest(train: DataFrame, languages: list[str], **params) -> PipelineM
         "seed": SPLIT_SEED,
         **params,
     }
-    ensure_checkpoints(train.sparkSession)
-    rows = _dealt(with_class_weight(train))
+    spark = train.sparkSession
+    ensure_checkpoints(spark)
+    rows = _dealt(with_class_weight(train), ROWS_PER_TASK)
     stages = Pipeline(stages=feature_stages(languages)).fit(rows)
-    model = RandomForestClassifier(featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT, **settings)
-    return PipelineModel([*stages.stages, model.fit(stages.transform(rows))])
+    featured = stages.transform(rows).select(FEATURES, LABEL, WEIGHT)
+    own = shares(settings["numTrees"], min(MOST_FITS, spark.sparkContext.defaultParallelism))
+
+    def fit(part: int):
+        drawn = settings | {"numTrees": own[part], "seed": settings["seed"] + part * SEED_STEP}
+        if len(own) > 1:  # for one tree alone the library would draw no features
+            drawn = {"featureSubsetStrategy": "sqrt"} | drawn
+        return RandomForestClassifier(featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT, **drawn).fit(featured)
+
+    if len(own) == 1:
+        return PipelineModel([*stages.stages, fit(0)])
+    paths = [scratch_path(spark, "forest") for _ in own]
+    with ThreadPool(len(own)) as pool:
+        pool.map(inheritable_thread_target(spark)(lambda part: fit(part).write().save(paths[part])), range(len(own)), chunksize=1)
+    return PipelineModel([*stages.stages, joined_forest(spark, dict(zip(paths, own, strict=True)))])
 
 
 def rounds_kept(losses: list[float], patience: int) -> tuple[int, bool]:

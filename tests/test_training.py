@@ -123,6 +123,44 @@ def test_rows_of_a_model_give_its_probabilities(spark, many):
         assert rows.where("feature like 'language=%'").count() > 0 and not set(rows.columns) & {"nodeData", "place"}
 
 
+def test_a_forest_is_fitted_in_shares(spark, many, monkeypatch):
+    """Each fit reads few rows in one part, since every part holds the statistics of all nodes; the trees are as many as asked for, and differ."""
+    fit, seen = training.RandomForestClassifier.fit, []
+
+    def watched(self, rows):
+        seen.append((self.getNumTrees(), self.getFeatureSubsetStrategy(), rows.rdd.getNumPartitions()))
+        return fit(self, rows)
+
+    monkeypatch.setattr(training.RandomForestClassifier, "fit", watched)
+    noise = F.pmod(F.xxhash64("id", F.lit(3)), F.lit(3)).cast("boolean").cast("int")
+    train, test = training.training_rows(many.withColumn("abandoned", noise))
+    model = training.random_forest(materialise(train, "train"), ["Go"], numTrees=7, maxDepth=5)
+    assert sorted(seen) == [(1, "sqrt", 1), (2, "sqrt", 1), (2, "sqrt", 1), (2, "sqrt", 1)]
+    forest = model.stages[-1]
+    assert forest.getNumTrees == 7 == len(forest.trees) and len({str(t) for t in trees_of(model)}) == 7
+    nodes = model_tables.tree_rows(spark, model)
+    assert nodes.select("tree").distinct().count() == 7 and nodes.where("node = 0").count() == 7
+
+    seen.clear()
+    alone = training.random_forest(materialise(train, "train"), ["Go"], numTrees=1, maxDepth=5)
+    assert seen == [(1, "auto", 1)] and alone.stages[-1].getNumTrees == 1
+
+
+def test_rows_meet_trees_in_blocks_and_on_all_cores(spark, many):
+    """A few stored rows lie in one part; the walk over them does not."""
+    rule = (F.col("hours_since_last") > 100).cast("int")
+    train, test = training.training_rows(many.withColumn("abandoned", rule))
+    model = training.random_forest(materialise(train, "train"), ["Go"], **SMALL["random_forest"])
+    one = materialise(training.prepared(test).coalesce(1), "one")
+    twice = one.unionByName(one.where("id < 50")).withColumn("id", F.expr("if(id % 40 = 7, null, id)"))
+    walked = model_tables.probability_by_rows(spark, model, twice, "id")
+    assert "RoundRobinPartitioning(4)" in walked._jdf.queryExecution().toString()
+    joins = walked.join(training.score(model, twice.where("id is not null")).select("id", "probability").distinct().toDF("id", "other"), "id")
+    assert joins.count() == one.where("id % 40 <> 7").count() and joins.where("abs(probability - other) > 1e-12").count() == 0
+    assert walked.where("id is null").count() == 1
+    assert model_tables.probability_by_rows(spark, model, one.limit(0), "id").count() == 0
+
+
 def test_checkpoints_outlive_a_run(spark):
     ensure_checkpoints(spark)
     folder = spark.sparkContext.getCheckpointDir()

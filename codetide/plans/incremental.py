@@ -30,8 +30,12 @@ MOST_RANGES = 10_000
 
 
 def parsed(landed: DataFrame) -> DataFrame:
-    """Raw events of landed lines; a broken line gives a row of nulls, which the cleaning drops."""
-    return landed.select(F.from_json("raw", RAW_EVENT).alias("event")).select("event.*")
+    """Raw events of landed lines; a broken line gives a row of nulls, which the cleaning drops.
+
+    The event is generated, not projected: the filters of the cleaning would otherwise be moved below the parser and
+    parse the line again for each field that they look at.
+    """
+    return landed.select(F.inline(F.array(F.from_json("raw", RAW_EVENT))))
 
 
 def id_range(event_id: str = "event_id") -> Column:
@@ -93,12 +97,15 @@ def _merge(
     touched = fresh.select("event_date").union(known.select("event_date")).distinct()
     days = sorted(r.event_date for r in touched.collect())  # at most as many as the calendar has
     stored = spark.table(f"{database}.events_parsed").where(F.col("event_date").isin(days)).select(*fresh.columns)
-    copies = stored.join(ids, "event_id", "left_semi")
-    others = stored.join(ids, "event_id", "left_anti")
-    events = [c for c in fresh.columns if c != "event_date"]
-    kept = dated(dedup_events(fresh.unionByName(copies).select(*events)), "created_at")
-    kept = materialise(kept.select(*fresh.columns), "kept")
-    rebuilt = materialise(others.unionByName(kept), "days")
+    if stored.isEmpty():  # the new events, which have been deduplicated, are all that these days have
+        kept = rebuilt = fresh
+    else:
+        copies = stored.join(ids, "event_id", "left_semi")
+        others = stored.join(ids, "event_id", "left_anti")
+        events = [c for c in fresh.columns if c != "event_date"]
+        kept = dated(dedup_events(fresh.unionByName(copies).select(*events)), "created_at")
+        kept = materialise(kept.select(*fresh.columns), "kept")
+        rebuilt = materialise(others.unionByName(kept), "days")
 
     # The index first: a day too many in it costs reading that day, a day too few would lose a copy.
     new = kept.select("event_id", "event_date").join(known, ["event_id", "event_date"], "left_anti")

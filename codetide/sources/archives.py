@@ -55,17 +55,14 @@ def land_lines(lines: DataFrame) -> DataFrame:
 
     Expects the columns ``value`` and ``file_name``. Whole lines are kept as they are.
     """
-    name = F.col("file_name")
-    stripped = F.btrim("value", F.lit(WHITE_SPACE))
-    return (
-        lines.where(name.rlike(ARCHIVE_NAME))
-        .select(
-            F.to_date(F.regexp_extract(name, ARCHIVE_NAME, 1)).alias("event_date"),
-            F.regexp_extract(name, ARCHIVE_NAME, 2).cast("int").alias("event_hour"),
-            source_key(name).alias("source_file"),
-            stripped.alias("raw"),
-        )
-        .where(F.col("raw") != "")
+    name, value = F.col("file_name"), F.col("value")
+    bare = lambda text: F.btrim(text, F.lit(WHITE_SPACE))
+    # Most lines begin with a letter and need not be stripped to tell that they are not blank. Names are cut by place once they match.
+    return lines.where(name.rlike(ARCHIVE_NAME) & ((bare(F.left(value, F.lit(1))) != "") | (bare(value) != ""))).select(
+        F.to_date(F.left(name, F.lit(10))).alias("event_date"),
+        F.substring_index(F.substring(name, 12, 3), ".", 1).cast("int").alias("event_hour"),
+        F.when(name.endswith(".gz"), F.left(name, F.length(name) - 3)).otherwise(source_key(name)).alias("source_file"),
+        bare(value).alias("raw"),
     )
 
 

@@ -1,13 +1,16 @@
 import datetime as dt
 import gzip
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from codetide.plans import etl
-from codetide.sources import archives, manifest, tables
+from codetide.session import materialise
+from codetide.sources import archives, clickstream, manifest, tables
 from codetide.streaming import archives as streaming
+from conftest import SF_DIR
 from test_cleaning import NOW, event
 
 
@@ -46,6 +49,25 @@ def test_landing_keeps_whole_lines_of_well_named_files(spark, folder):
     assert all(r.raw == r.raw.strip() for r in rows)
 
 
+def test_landing_strips_and_names_as_the_pattern_says(spark):
+    white = archives.WHITE_SPACE
+    values = ["a", "", None, white, "\u3000", f"{white}b c{white}", "\u200bx", "d\u00a0", "\ue000", "\U0001f600"]
+    names = ["2025-03-01-9.json.gz", "2025-03-01-23.json.gz", "2025-03-01-9.json.gz\n", "2025-03-01-123.json.gz", "x2025-03-01-9.json.gz", None]
+    lines = materialise(spark.createDataFrame([(v, n) for v in values for n in names], "value string, file_name string"), "lines")
+    found = sorted((str(r.event_date), r.event_hour, r.source_file, r.raw) for r in archives.land_lines(lines).collect())
+    stripped = [v.strip(white) for v in values if v and v.strip(white)]
+    sources = [("2025-03-01", 9, "2025-03-01-9.json"), ("2025-03-01", 23, "2025-03-01-23.json"), ("2025-03-01", 9, "2025-03-01-9.json\n")]
+    assert found == sorted((*s, v) for s in sources for v in stripped)
+
+
+def test_mapping_is_short_enough_to_be_compiled(spark):
+    """The JVM never compiles a method of more than 8,000 bytes."""
+    clicks = clickstream.read_clickstream(spark, SF_DIR)
+    for frame in (clickstream.raw_events(clicks), archives.land_lines(clickstream.untidy_lines(clicks))):
+        code = spark._jvm.PythonSQLUtils.explainString(frame._jdf.queryExecution(), "codegen")
+        assert 0 < max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", code))) <= 8000
+
+
 def test_a_broken_line_reads_as_nulls(spark, folder):
     raw = archives.read_archives(spark, str(folder / "2025-03-01-23.json.gz"))
     assert sorted(str(r.id) for r in raw.collect()) == ["3", "None"]

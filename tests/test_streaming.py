@@ -5,8 +5,10 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from codetide.operators.cleaning import clean_events
 from codetide.plans import etl, incremental
 from codetide.plans.etl import MARTS
+from codetide.session import materialise
 from codetide.sources import tables as tables_
 from codetide.streaming import archives as stream
 from test_cleaning import NOW, event
@@ -49,6 +51,34 @@ def test_a_late_archive_loses_nothing(spark, load):
     assert [i for i, _ in run()] == ["1", "2", "3", "4"] and tables(spark) == before
 
 
+def test_a_line_is_parsed_once(spark):
+    """The filters of the cleaning are not moved below the parser; a broken line is a row of nulls, a wrong field alone is null."""
+    size = event("3") | {"payload": {"size": "many"}}
+    lines = [json.dumps(event("1")), "{broken", "[]", None, json.dumps(event("2", kind="IssuesEvent")), json.dumps(size)]
+    landed = materialise(spark.createDataFrame([(x,) for x in lines], "raw string"), "landed")
+    raw = incremental.parsed(landed)
+    clean = clean_events(raw, NOW)
+    assert clean._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+    assert sorted(str(r.id) for r in raw.collect()) == ["1", "2", "3", "None", "None", "None"]
+    assert sorted((r.event_id, r.commits_count) for r in clean.collect()) == [("1", clean.where("event_id = '1'").first().commits_count), ("3", 0)]
+
+
+def test_events_of_new_days_are_deduplicated_once(spark, load, monkeypatch):
+    """The days of a load that have no stored events are written as they were cleaned; others meet their stored copies."""
+    inbox, run = load
+    calls, dedup = [], incremental.dedup_events
+    monkeypatch.setattr(incremental, "dedup_events", lambda events: calls.append(1) or dedup(events))
+    one = event("1", at="2025-03-02T09:10:00Z")
+    put(inbox, "2025-03-02-9.json.gz", one, one | {"created_at": "2025-03-02T09:05:00Z"}, event("2", at="2025-03-03T00:00:00Z"))
+    first = [("1", "2025-03-02 09:05:00"), ("2", "2025-03-03 00:00:00")]
+    assert run() == first and not calls
+    put(inbox, "2025-03-05-9.json.gz", event("3", at="2025-03-05T09:10:00Z"))
+    assert run() == [*first, ("3", "2025-03-05 09:10:00")] and not calls
+    put(inbox, "2025-03-06-9.json.gz", event("3", at="2025-03-06T09:10:00Z"), event("1", at="2025-03-02T09:00:00Z"))
+    assert run() == [("1", "2025-03-02 09:00:00"), first[1], ("3", "2025-03-05 09:10:00")] and calls
+    assert sum(r.total_events for r in spark.table("arrivals.mart_repo_activity").collect()) == 3
+
+
 def test_copies_across_days_leave_the_earliest(spark, load):
     inbox, run = load
     put(inbox, "2025-03-02-9.json.gz", event("1", at="2025-03-02T09:10:00Z"))

@@ -32,7 +32,8 @@ from codetide.operators.split import (
     with_split,
     with_validation,
 )
-from codetide.plans.model_tables import cut_to, joined_forest, model_rows
+from codetide.plans.forest import stored_forest
+from codetide.plans.model_tables import StoredForest, cut_to, joined_forest, model_rows, share_path
 from codetide.session import ensure_checkpoints, materialise, require_utc, scratch, scratch_path
 from codetide.sources.tables import append_table, overwrite_partitions
 
@@ -55,6 +56,9 @@ ROWS_PER_TASK, FEWEST_ROWS = 100_000, 500
 #: Forests that are fitted at the same time at most; what their seeds are apart, since a seed and the number of a part of the rows are added up.
 MOST_FITS, SEED_STEP = 32, 1_000_003
 
+#: Rows times trees of a forest that the library fits: it holds all nodes on the driver. What may differ in a larger one; its least rows.
+GROWN_BY_LIBRARY, GROWN_WITH, FEWEST_GROWN = 500_000, {"numTrees", "maxDepth", "minInstancesPerNode", "seed"}, 1_000
+
 
 def feature_stages(languages: list[str]) -> list:
     """Language one-hot and the numeric columns as one vector.
@@ -108,8 +112,9 @@ def shares(trees: int, parts: int) -> list[int]:
 
 
 def random_forest(train: DataFrame, languages: list[str], **params) -> PipelineModel:
-    """A forest that is fitted as several at the same time, each with a share of the trees and draws of its own, and joined to one.
+    """A forest that the library fits, or for more rows one that grows in tasks and stays stored (``plans.forest``).
 
+    The library fits several at the same time, each with a share of the trees and draws of its own, which are joined to one.
     Every task of a level holds the statistics of all nodes of the level, however few rows it has, and sends them on. So the cores are kept busy
     by trees, which share nothing, and the rows are in as few parts as tasks can read.
     The node that a row has reached in each tree is kept with the row, so a level does not walk down all trees again.
@@ -125,9 +130,15 @@ def random_forest(train: DataFrame, languages: list[str], **params) -> PipelineM
     }
     spark = train.sparkSession
     ensure_checkpoints(spark)
-    rows = _dealt(with_class_weight(train), ROWS_PER_TASK)
+    weights = {r[LABEL]: r[WEIGHT] for r in class_weights(train).collect() if r[LABEL] is not None}
+    n = train.count()
+    grows = n * settings["numTrees"] > GROWN_BY_LIBRARY and n >= FEWEST_GROWN and set(params) <= GROWN_WITH and set(weights) == {0, 1}
+    rows = _dealt(with_class_weight(train), FEWEST_ROWS if grows else ROWS_PER_TASK)
     stages = Pipeline(stages=feature_stages(languages)).fit(rows)
     featured = stages.transform(rows).select(FEATURES, LABEL, WEIGHT)
+    if grows:
+        grown = (settings[name] for name in ("numTrees", "maxDepth", "minInstancesPerNode", "seed"))
+        return PipelineModel([*stages.stages, stored_forest(featured, FEATURES, LABEL, weights, *grown)])
     own = shares(settings["numTrees"], min(MOST_FITS, spark.sparkContext.defaultParallelism))
 
     def fit(part: int):
@@ -138,10 +149,11 @@ def random_forest(train: DataFrame, languages: list[str], **params) -> PipelineM
 
     if len(own) == 1:
         return PipelineModel([*stages.stages, fit(0)])
-    paths = [scratch_path(spark, "forest") for _ in own]
+    path = scratch_path(spark, "forest")
     with ThreadPool(len(own)) as pool:
-        pool.map(inheritable_thread_target(spark)(lambda part: fit(part).write().save(paths[part])), range(len(own)), chunksize=1)
-    return PipelineModel([*stages.stages, joined_forest(spark, dict(zip(paths, own, strict=True)))])
+        save = inheritable_thread_target(spark)(lambda part: fit(part).write().save(share_path(path, part)))
+        pool.map(save, range(len(own)), chunksize=1)
+    return PipelineModel([*stages.stages, joined_forest(spark, StoredForest(path, own))])
 
 
 def rounds_kept(losses: list[float], patience: int) -> tuple[int, bool]:

@@ -103,10 +103,14 @@ class EndSummary:
             self._wanted.add(at)
         return high
 
+    def unsure(self) -> bool:
+        """Whether an answer given since the last division may be off."""
+        return bool(self._wanted)
+
     def settled(self, ask: Callable[[], T]) -> T:
         """The answer once no interval that it depends on has to be divided."""
         answer = ask()
-        while self._wanted:
+        while self.unsure():
             self.divide()
             answer = ask()
         return answer
